@@ -117,6 +117,16 @@ def cut(df: DataFrame, ids: Sequence[str], order: Sequence[str], found: LongSeri
         rows = rows.withColumn(BLOCK, F.concat(BLOCK, F.array(span()))).drop(*stats)
 
 
+def only(df: DataFrame, ids: Sequence[str], found: LongSeries) -> DataFrame:
+    """Rows of the series above the limit."""
+    return lookup(df, hinted(found.table.select(*ids), found.n_series), ids, "left_semi")
+
+
+def others(df: DataFrame, ids: Sequence[str], found: LongSeries) -> DataFrame:
+    """Rows of the series within the limit."""
+    return lookup(df, hinted(found.table.select(*ids), found.n_series), ids, "left_anti")
+
+
 # How a running value is formed inside a block and how blocks add up.
 # kind: (over rows, over blocks, both together)
 _RUNNING: dict[str, tuple[Callable, Callable, Callable]] = {
