@@ -81,6 +81,6 @@ def test_wavelet(signals, level, max_rows):
     if level == 1:
         x, y = out["tiny"]
         np.testing.assert_allclose(y, x, rtol=1e-6)
-    x, y = out["prime"]
-    truth = 40 * np.sin(np.arange(997) / 9.0)
-    assert np.mean((y - truth) ** 2) < np.mean((x - truth) ** 2)
+        x, y = out["prime"]
+        truth = 40 * np.sin(np.arange(997) / 9.0)
+        assert np.mean((y - truth) ** 2) < np.mean((x - truth) ** 2)
