@@ -327,8 +327,9 @@ def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) ->
         spread = blocks.lookup(fine, blocks.hinted(means, n_series), ids, "left")
         deviations.append(spread.groupBy(*ids).agg(F.avg(F.abs(d - F.col("__mean"))).alias("__dev")))
     dev_schema = T.StructType(id_fields + [T.StructField("__dev", T.DoubleType())])
-    for done, approx in enumerate(waiting[:level]):
-        def deviation(pdf: pd.DataFrame, done: int = done) -> pd.DataFrame:
+
+    def deviation_after(done: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
             x = pdf.sort_values("__pos")["__x"].to_numpy()
             if level > depth(int(pdf["__size"].iloc[0])):
                 raise ValueError(f"a series has fewer than {level} levels")
@@ -336,8 +337,10 @@ def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) ->
                 x, fine = analyse(x)
             return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in ids},
                                  "__dev": [float(np.mean(np.abs(fine - np.mean(fine))))]})
+        return run
 
-        deviations.append(sized(approx).groupBy(*ids).applyInPandas(deviation, dev_schema))
+    for done, approx in enumerate(waiting[:level]):
+        deviations.append(sized(approx).groupBy(*ids).applyInPandas(deviation_after(done), dev_schema))
     limits = reliable(sized(union_rows(*deviations)).select(*ids, "__size", (
         F.col("__dev") / DEVIATION_FACTOR * F.sqrt(2 * F.ln("__size"))).alias("__limit")))
 
@@ -346,16 +349,17 @@ def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) ->
 
     out_schema = T.StructType(id_fields + [T.StructField("__pos", T.LongType()),
                                            T.StructField("__x", T.DoubleType())])
-    finished = []
-    for done, approx in enumerate(waiting):
-        def finish(pdf: pd.DataFrame, done: int = done) -> pd.DataFrame:
+
+    def finish_after(done: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("__pos")
             levels = depth(int(pdf["__size"].iloc[0])) - done
             x = hard_threshold(pdf["__x"].to_numpy(), levels, float(pdf["__limit"].iloc[0]))
             return pdf.assign(__x=x)[[*ids, "__pos", "__x"]]
+        return run
 
-        finished.append(limited(approx).groupBy(*ids).applyInPandas(finish, out_schema))
-
+    finished = [limited(approx).groupBy(*ids).applyInPandas(finish_after(done), out_schema)
+                for done, approx in enumerate(waiting)]
     smooth = finished.pop()
     for done in range(len(details) - 1, -1, -1):
         kept = limited(details[done]).select(
