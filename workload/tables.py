@@ -91,13 +91,14 @@ cls AS (SELECT l.toxic AS part, l.quality AS label, d.score, CASE WHEN d.score >
                             FROM documents) d ON l.doc_id = d.doc_id)"""
 
 
-def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+def rounded(df: DataFrame, digits: int | None, *columns: str) -> DataFrame:
     return df.withColumns({c: neat(F.col(c), digits) for c in columns})
 
 
-def neat(c: Column, digits: int) -> Column:
-    """Rounded double without a negative zero."""
-    return F.round(c.cast("double"), digits) + F.lit(0.0)
+def neat(c: Column, digits: int | None) -> Column:
+    """Rounded double without a negative zero; to single precision without digits."""
+    c = c.cast("float").cast("double") if digits is None else F.round(c.cast("double"), digits)
+    return c + F.lit(0.0)
 
 
 def scratch(spark: SparkSession) -> str:

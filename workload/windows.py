@@ -35,7 +35,10 @@ def frame_sql(func: str, over: str) -> str:
 
 
 def least_sql(value: str, over: str, least: int, digits: int, held: str = "count(ch0)") -> str:
-    return f"round(CASE WHEN {held} OVER {over} >= {least} THEN CAST({value} AS DOUBLE) END, {digits}) + 0.0"
+    held_value = f"CASE WHEN {held} OVER {over} >= {least} THEN CAST({value} AS DOUBLE) END"
+    if digits is None:
+        return f"CAST(CAST({held_value} AS FLOAT) AS DOUBLE) + 0.0"
+    return f"round({held_value}, {digits}) + 0.0"
 
 
 def feature(spark, sf_dir, *specs, digits=6, max_rows=None):
@@ -44,8 +47,8 @@ def feature(spark, sf_dir, *specs, digits=6, max_rows=None):
     return rounded(out.select("id", "time", *[s.column for s in specs]), digits, *[s.column for s in specs])
 
 
-# Digits are chosen so that a mean of cents never ends in an exact half.
-DIGITS = {"sum": 6, "mean": 8, "median": 6, "min": 6, "max": 6, "std": 6, "var": 6, "count": 6, "skew": 4,
+# Digits are chosen so that a mean of cents never ends in an exact half; variances go to single precision.
+DIGITS = {"sum": 6, "mean": 8, "median": 6, "min": 6, "max": 6, "std": 6, "var": None, "count": 6, "skew": 4,
           "kurt": 4, "sem": 6, "rank": 6}
 
 for _func, _digits in DIGITS.items():
