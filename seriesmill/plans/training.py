@@ -50,8 +50,9 @@ def train_classifier(df: DataFrame, features: Sequence[str], label: str = "targe
     stages = [StringIndexer(inputCol=c, outputCol=f"__{c}_index", handleInvalid="keep") for c in strings]
     inputs = [f"__{c}_index" if c in strings else c for c in features]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="__features"))
-    model = GBTClassifier(labelCol=label, featuresCol="__features", rawPredictionCol="__raw",
-                          probabilityCol="__probability", predictionCol="__class", seed=seed, **(params or {}))
+    model = GBTClassifier(labelCol=label, featuresCol="__features", predictionCol="__class", seed=seed,
+                          **(params or {}))
+    model = model.setRawPredictionCol("__raw").setProbabilityCol("__probability")
     if validation:
         model = model.setValidationIndicatorCol(validation)
     return Pipeline(stages=[*stages, model]).fit(pool)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from seriesmill.functions.scalar import convert, file_stem, map_code, normalize_name, total_seconds
@@ -12,9 +13,7 @@ from seriesmill.plans.preparation import Step, build_features, default_features,
 from seriesmill.schema import LABELS, TARGET_CODES, FillRule
 from seriesmill.sources import files
 from workload.tables import labels, measurements, neat, query, rounded, scratch, table, with_m
-from workload.windows import BLOCK_ROWS, frame_sql, least_sql
-
-from pyspark.ml import Pipeline
+from workload.windows import BLOCK_ROWS
 
 LABELS_SQL = "lab AS (SELECT doc_id AS id, CASE WHEN quality = 1 THEN 'OD' ELSE 'ID' END AS target FROM labels)"
 MARKED_SQL = """marked AS (SELECT m.*, CASE lab.target WHEN 'OD' THEN 0 WHEN 'ID' THEN 1 ELSE -1 END AS target
@@ -91,10 +90,10 @@ def plotted(spark, sf_dir):
 
 @query("clip", with_m("""
     SELECT id, time, CASE WHEN ch0 IS NULL THEN NULL ELSE least(greatest(ch0, 5), 40) END AS ch0,
-           greatest(ch2, 0) + 0.0 AS ch2 FROM m"""))
+           round(greatest(ch2, 0), 6) + 0.0 AS ch2 FROM m"""))
 def clip(spark, sf_dir):
     rows = recordings(spark, sf_dir).select("id", "time", "ch0", "ch2")
-    return rounded(clean.clip(rows, {"ch0": (5, 40), "ch2": (0, None), "absent": (0, 1)}), 9, "ch2")
+    return rounded(clean.clip(rows, {"ch0": (5, 40), "ch2": (0, None), "absent": (0, 1)}), 6, "ch2")
 
 
 @query("inf_to_null", with_m("SELECT id, time, CASE WHEN isinf(ch0_inf) THEN NULL ELSE ch0_inf END AS ch0_inf FROM m"))
@@ -434,6 +433,12 @@ def read_snapshot(spark, sf_dir):
     return files.read_snapshot(spark, files.write_snapshot(m, f"{scratch(spark)}/m"))
 
 
+@query("write_snapshot", with_m("SELECT kind, count(*) AS n FROM m GROUP BY kind"))
+def write_snapshot(spark, sf_dir):
+    path = files.write_snapshot(measurements(spark, sf_dir).select("id", "time", "kind"), f"{scratch(spark)}/m")
+    return files.read_snapshot(spark, path).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("read_latest", with_m("SELECT id, time, 'new' AS state FROM m"))
 def read_latest(spark, sf_dir):
     folder = scratch(spark)
