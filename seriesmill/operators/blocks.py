@@ -27,7 +27,7 @@ from seriesmill.storage import reliable
 BLOCK, PIECE = "__block", "__piece"
 
 # Rows of one series that a single task may hold.
-MAX_ROWS = 2_000_000
+MAX_ROWS = 1_000_000
 # Rows up to which a lookup table is broadcast.
 BROADCAST_ROWS = 4_000_000
 

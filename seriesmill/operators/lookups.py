@@ -45,7 +45,7 @@ def mark_target(df: DataFrame, labels: DataFrame, key: str = "id", target: str =
 
     The last label of a key wins: by ``order``, or in file order for labels read from one file.
     """
-    coded = _last_per_key(labels, key, target, order).withColumn(target, map_code(F.col(target), codes))
+    coded = _last_per_key(labels.withColumn(target, map_code(F.col(target), codes)), key, target, order)
     marked = attach(df.drop(target), coded, [key])
     return marked.withColumn(target, F.coalesce(F.col(target), F.lit(UNDEFINED)).cast("int"))
 

@@ -1,6 +1,6 @@
 """Denoising of whole series: low-pass by Fourier transform, hard threshold of wavelet coefficients.
 
-A short series is one group of ``applyInPandas``.  A series above ``max_rows`` is spread:
+Short series are transformed whole, many per task.  A series above ``max_rows`` is spread:
 
 * the low-pass is a circular convolution with a known kernel, done with a transform of length
   columns x rows, so that every task transforms one row or one column of that matrix;
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmill.operators import blocks
+from seriesmill.operators import blocks, kernels
 from seriesmill.operators.lookups import union_rows
 from seriesmill.storage import reliable
 
@@ -114,13 +114,11 @@ def wavelet_array(x: np.ndarray, level: int = 1) -> np.ndarray:
 
 def _per_series(df: DataFrame, column: str, name: str, ids: Sequence[str], order: Sequence[str],
                 fn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([(c, "ascending") for c in order])
+    def compute(rows: pa.Table, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
         x = rows[column].to_numpy().astype("float64")
-        return rows.append_column(name, pa.array(fn(x).astype("float32"), from_pandas=True))
+        return [np.concatenate([fn(x[a:b]) for a, b in zip(starts, ends)]).astype("float32")]
 
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.FloatType())])
-    return df.groupBy(*ids).applyInArrow(run, schema)
+    return kernels.over_whole_series(df, ids, order, [T.StructField(name, T.FloatType())], compute)
 
 
 # ---------------------------------------------------------------- one series over many tasks

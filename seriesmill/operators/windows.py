@@ -6,17 +6,25 @@ Frames always stay inside one series.  See ``blocks`` for how series of any leng
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from seriesmill.operators import blocks
+from seriesmill.operators import blocks, kernels
 from seriesmill.storage import reliable
 
 CLOSED = ("right", "left", "both", "neither")
 
+# Functions that need the values of the frame at hand (None is a quantile), and the frame lengths in rows
+# above which sliding kernels take over from Spark windows.
+HOLISTIC = (None, "median", "rank")
+WIDE_HOLISTIC, WIDE = 24, 64
+
 
 @dataclass(frozen=True)
 class RollingSpec:
@@ -76,6 +84,16 @@ class RollingSpec:
             return self.min_periods
         return 1 if self.window is None else self.window
 
+    @property
+    def wide(self) -> bool:
+        """Whether a kernel that slides is cheaper than a window that redoes each frame."""
+        if not (self.func is None or isinstance(self.func, str)):
+            return False
+        holistic = self.func in HOLISTIC
+        if self.window is None:
+            return holistic
+        return self.window > (WIDE_HOLISTIC if holistic else WIDE)
+
     @property
     def reach(self) -> tuple[int, int]:
         """First and last row of a bounded frame, relative to the current row."""
@@ -162,9 +180,15 @@ def _weighted(spec: RollingSpec, x: Column, by: WindowSpec) -> Column:
     return F.try_divide(total, mass)
 
 
+def _finite(source: str) -> Column:
+    """The source as doubles; NaN and infinities are missing."""
+    x = F.col(f"`{source}`").cast("double")
+    return F.when(F.abs(x) < float("inf"), x)
+
+
 def _result(spec: RollingSpec, by: WindowSpec) -> Column:
     """The feature over its frame, without filter and shift."""
-    x = F.col(f"`{spec.source}`").cast("double")
+    x = _finite(spec.source)
     frame = by.rowsBetween(blocks.FROM_START, 0) if spec.window is None else by.rowsBetween(*spec.reach)
     held = F.count(F.lit(1) if spec.func == "count" else x).over(frame)
     if spec.win_type:
@@ -178,17 +202,39 @@ def _result(spec: RollingSpec, by: WindowSpec) -> Column:
     return F.when(held >= spec.least, value)
 
 
+def _features(df: DataFrame, specs: Sequence[RollingSpec], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """All specs over series that fit one task: one exchange and one sort serve them."""
+    by = Window.partitionBy(*keys).orderBy(*order)
+    narrow, wide = [s for s in specs if not s.wide], [s for s in specs if s.wide]
+    if narrow:
+        df = df.select("*", *[_result(s, by).alias(s.column) for s in narrow])
+    if not wide:
+        return df
+
+    def compute(rows: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+        sources = {s.source: kernels.numbers(rows, s.source) for s in wide}
+        for s in wide:
+            first, last = (None, 0) if s.window is None else s.reach
+            begin, end = kernels.frames(starts, ends, first, last)
+            x = sources[s.source]
+            if s.win_type:
+                taps = weights(s.win_type, s.window, s.std)
+                yield kernels.slide_weighted(x, begin, end, first, taps, s.func == "mean", s.least)
+            else:
+                yield kernels.slide(x, begin, end, s.func, s.quantile, s.least)
+
+    fields = [T.StructField(s.column, T.DoubleType()) for s in wide]
+    return kernels.over_whole_series(df, keys, order, fields, compute)
+
+
 def _bounded(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order: Sequence[str],
              max_rows: int) -> DataFrame:
     """Bounded frames of long series: all specs share the pieces and their halo."""
     back = max(0, *(-s.reach[0] for s in specs))
     ahead = max(0, *(s.reach[1] for s in specs))
 
-    def add(rows: DataFrame, keys: list[str]) -> DataFrame:
-        by = Window.partitionBy(*keys).orderBy(*order)
-        return rows.select("*", *[_result(s, by).alias(s.column) for s in specs])
-
-    return blocks.over_series(df, ids, order, back, ahead, add, max_rows)
+    return blocks.over_series(df, ids, order, back, ahead,
+                              lambda rows, keys: _features(rows, specs, keys, order), max_rows)
 
 
 # Highest central moment a function of an expanding frame needs.
@@ -213,10 +259,10 @@ def _growing(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order:
     if centred:
         # Powers of the distance to the mean of the series: the shift keeps the sums well conditioned.
         centre = reliable(df.groupBy(*ids).agg(
-            *[F.avg(F.col(f"`{x}`").cast("double")).alias(f"__centre_{x}") for x in centred]))
+            *[F.avg(_finite(x)).alias(f"__centre_{x}") for x in centred]))
         df = blocks.lookup(df, blocks.hinted(centre, centre.count()), ids, "left")
     for source, highest in moments.items():
-        x = F.col(f"`{source}`").cast("double")
+        x = _finite(source)
         totals[f"__held_{source}"] = ("sum", F.when(x.isNotNull(), 1).otherwise(0))
         for kind in ("sum", "min", "max"):
             totals[f"__{kind}_{source}"] = (kind, x)
@@ -287,8 +333,7 @@ def rolling(df: DataFrame, specs: Sequence[RollingSpec], ids: Sequence[str] = ("
     shifts = {s.column: s.shift for s in specs if s.shift}
 
     def in_one(rows: DataFrame, group: list[RollingSpec], keys: list[str]) -> DataFrame:
-        by = Window.partitionBy(*keys).orderBy(*order)
-        return rows.select("*", *[_result(s, by).alias(s.column) for s in group])
+        return _features(rows, group, keys, order)
 
     def in_pieces(rows: DataFrame, group: list[RollingSpec], keys: list[str]) -> DataFrame:
         bounded = [s for s in group if s.window is not None]

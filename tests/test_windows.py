@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from seriesmill.operators import blocks
+from seriesmill.operators import blocks, windows
 from seriesmill.operators.windows import FUNCTIONS, RollingSpec, diff, rolling, shift, weights
 
 NEVER, CUT = 10_000, 20
@@ -25,8 +25,16 @@ def same(a, b, tol=1e-7):
     np.testing.assert_allclose(a.to_numpy(dtype=float), b, rtol=tol, atol=tol)
 
 
+@pytest.fixture(params=["windows", "kernels"])
+def engine(request, monkeypatch):
+    """Run with every frame as a Spark window, or with every frame in a sliding kernel."""
+    limit = 10**9 if request.param == "windows" else 0
+    monkeypatch.setattr(windows, "WIDE", limit)
+    monkeypatch.setattr(windows, "WIDE_HOLISTIC", limit)
+
+
 @pytest.mark.parametrize("max_rows", [NEVER, CUT])
-def test_rolling_functions(series, series_df, max_rows):
+def test_rolling_functions(series, series_df, max_rows, engine):
     specs = [RollingSpec("x", f, window=9, min_periods=4, name=f) for f in FUNCTIONS]
     specs.append(RollingSpec("x", quantile=0.3, window=9, min_periods=4, name="q"))
     out = got(rolling(series_df, specs, max_rows=max_rows), [s.name for s in specs])
@@ -38,7 +46,7 @@ def test_rolling_functions(series, series_df, max_rows):
 
 @pytest.mark.parametrize("max_rows", [NEVER, CUT])
 @pytest.mark.parametrize("window", [3, 4])
-def test_frames(series, series_df, window, max_rows):
+def test_frames(series, series_df, window, max_rows, engine):
     cases = [(c, k) for c in (False, True) for k in ("right", "left", "both", "neither")]
     specs = [RollingSpec("x", "sum", window=window, min_periods=1, center=c, closed=k, name=f"{c}_{k}")
              for c, k in cases]
@@ -90,7 +98,7 @@ def test_shift_and_diff(series, series_df, max_rows):
     same(moved["x"], want(series, lambda g: g.x.shift(-2)))
 
 
-def test_min_periods_defaults_to_the_window(spark):
+def test_min_periods_defaults_to_the_window(spark, engine):
     rows = [("a", float(i), v) for i, v in enumerate([None, 1.0, 2.0, None, 4.0, 5.0, 6.0])]
     df = spark.createDataFrame(rows, "id string, time double, x double")
     out = got(rolling(df, [RollingSpec("x", "mean", window=3, name="m")]), ["m"])["m"]
@@ -101,7 +109,7 @@ def test_min_periods_defaults_to_the_window(spark):
 
 @pytest.mark.parametrize("max_rows", [NEVER, CUT])
 @pytest.mark.parametrize("center", [False, True])
-def test_weighted(series, series_df, center, max_rows):
+def test_weighted(series, series_df, center, max_rows, engine):
     w = np.array(weights("triang", 5))
     specs = [RollingSpec("x", f, window=5, min_periods=2, win_type="triang", center=center, name=f)
              for f in ("sum", "mean")]
@@ -182,6 +190,25 @@ def test_blocks_are_bounded(series_df):
     assert max(sizes) <= 2 * CUT and len(sizes) <= n_blocks and sum(sizes) == 180
 
 
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_kernels_do_not_depend_on_batches(spark, series, series_df, batch, monkeypatch):
+    monkeypatch.setattr(windows, "WIDE_HOLISTIC", 0)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        out = got(rolling(series_df, [RollingSpec("x", "median", window=30, min_periods=1, center=True, name="m")]), ["m"])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    same(out["m"], want(series, lambda g: g.x.rolling(30, 1, center=True).median()))
+
+
+@pytest.mark.parametrize("n", [0, 1])
+def test_infinities_are_missing(spark, engine, n):
+    rows = [("a", 0.0, float("inf")), ("a", 1.0, 1.0), ("a", 2.0, float("nan")), ("a", 3.0, 3.0)]
+    df = spark.createDataFrame(rows, "id string, time double, x double")
+    out = got(rolling(df, [RollingSpec("x", "mean", window=4, min_periods=n, name="m")]), ["m"])["m"]
+    assert np.isnan(out[0]) and out.tolist()[1:] == [1, 1, 2]
+
+
 def test_null_ids_form_a_series(spark):
     df = spark.range(90).selectExpr("if(id % 3 = 0, 'a', null) as id", "id as time", "1.0D as x")
     spec = [RollingSpec("x", "sum", window=50, min_periods=1, name="s")]
