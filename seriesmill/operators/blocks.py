@@ -85,36 +85,43 @@ def long_series(df: DataFrame, ids: Sequence[str], order: Sequence[str], max_row
     return LongSeries(reliable(sizes.where(above)), n_series) if n_series else None
 
 
-def cut(df: DataFrame, ids: Sequence[str], order: Sequence[str], found: LongSeries,
-        max_rows: int) -> tuple[DataFrame, int]:
-    """Add a block key that grows with the order, NULL for short series; also the most blocks there are.
+class Cut(NamedTuple):
+    """Rows with a block key that grows with the order, NULL for short series; rows __n of each block."""
+
+    rows: DataFrame
+    sizes: DataFrame
+    n_blocks: int
+
+
+def cut(df: DataFrame, ids: Sequence[str], order: Sequence[str], found: LongSeries, max_rows: int) -> Cut:
+    """Cut the long series into blocks.
 
     Blocks are equal spans of the first order column.  Where rows are bunched, a span that still holds
     more than 2 * max_rows is cut again, until none does.
     """
     at = micros(df, order[0]).cast("double")
     stats = ("__n", "__lo", "__hi")
+    wide = (F.col("__n") > 2 * max_rows) & (F.col("__lo") < F.col("__hi"))
+    spans = F.ceil(F.col("__n") / max_rows).cast("long")
 
     def span() -> Column:
-        n = F.ceil(F.col("__n") / max_rows).cast("long")
-        return F.coalesce(F.width_bucket(at, F.col("__lo"), F.col("__hi"), n), F.lit(0)).cast("long")
+        return F.coalesce(F.width_bucket(at, F.col("__lo"), F.col("__hi"), spans), F.lit(0)).cast("long")
 
     rows = lookup(df, hinted(found.table, found.n_series), ids, "left")
-    rows = rows.withColumn(BLOCK, F.when(F.col("__n").isNotNull(), F.array(span()))).drop(*stats)
-    n_blocks = found.table.agg(F.sum(F.ceil(F.col("__n") / max_rows) + 1)).first()[0]
+    rows = rows.withColumn(BLOCK, F.when(F.col("__n").isNotNull(), span())).drop(*stats)
     while True:
-        counts = rows.where(F.col(BLOCK).isNotNull()).groupBy(*ids, BLOCK).agg(
+        sizes = reliable(rows.where(F.col(BLOCK).isNotNull()).groupBy(*ids, BLOCK).agg(
             F.count(F.lit(1)).alias("__n"), F.min(at).alias("__lo"), F.max(at).alias("__hi")
-        )
-        wide = reliable(counts.where((F.col("__n") > 2 * max_rows) & (F.col("__lo") < F.col("__hi"))))
-        seen = wide.agg(
-            F.count(F.lit(1)).alias("wide"), F.sum(F.ceil(F.col("__n") / max_rows) + 1).alias("blocks")
-        ).first()
-        if not seen["wide"]:
-            return rows, n_blocks
-        n_blocks += seen["blocks"]
-        rows = lookup(rows, hinted(wide, seen["wide"]), [*ids, BLOCK], "left")
-        rows = rows.withColumn(BLOCK, F.concat(BLOCK, F.array(span()))).drop(*stats)
+        ))
+        n_blocks, n_wide = sizes.agg(F.count(F.lit(1)), F.count_if(wide)).first()
+        if not n_wide:
+            return Cut(rows, sizes, n_blocks)
+        # Number the blocks anew, leaving room for the parts of the wide ones.
+        room = F.sum(F.when(wide, spans + 2).otherwise(1)).over(
+            Window.partitionBy(*ids).orderBy(BLOCK).rowsBetween(FROM_START, -1))
+        places = sizes.select(*ids, BLOCK, *stats, F.coalesce(room, F.lit(0)).alias("__start"))
+        rows = lookup(rows, hinted(places, n_blocks), [*ids, BLOCK], "left")
+        rows = rows.withColumn(BLOCK, F.col("__start") + F.when(wide, span()).otherwise(0)).drop(*stats, "__start")
 
 
 def only(df: DataFrame, ids: Sequence[str], found: LongSeries) -> DataFrame:
@@ -148,14 +155,15 @@ def _per_block(kind: str, x: Column, order: Sequence[Column], backwards: bool) -
 
 def run_totals(df: DataFrame, ids: Sequence[str], order: Sequence[str],
                columns: dict[str, tuple[str, Column]], backwards: bool = False,
-               max_rows: int = MAX_ROWS) -> DataFrame:
+               max_rows: int = MAX_ROWS, found: LongSeries | None = None) -> DataFrame:
     """Add running values from the first row of each series up to the current one.
 
     ``columns`` maps a name to (kind, expression), kind one of sum, min, max, last; ``last`` is the latest
-    value that is not NULL.  ``backwards`` runs from the last row instead.
+    value that is not NULL.  ``backwards`` runs from the last row instead.  ``found`` passes on a check of
+    the same series.
     """
     direction = F.desc if backwards else F.asc
-    found = long_series(df, ids, order, max_rows)
+    found = found or long_series(df, ids, order, max_rows)
 
     def running(kind: str, x: Column, keys: Sequence[str]) -> Column:
         w = Window.partitionBy(*keys).orderBy(*[direction(c) for c in order]).rowsBetween(FROM_START, 0)
@@ -164,7 +172,7 @@ def run_totals(df: DataFrame, ids: Sequence[str], order: Sequence[str],
     if found is None:
         return df.select("*", *[running(kind, x, ids).alias(name) for name, (kind, x) in columns.items()])
 
-    rows, n_blocks = cut(df, ids, order, found, max_rows)
+    rows, _, n_blocks = cut(df, ids, order, found, max_rows)
     key = [*ids, BLOCK]
     by = [F.col(c) for c in order]
     earlier = Window.partitionBy(*ids).orderBy(direction(BLOCK)).rowsBetween(FROM_START, -1)
@@ -183,29 +191,30 @@ def run_totals(df: DataFrame, ids: Sequence[str], order: Sequence[str],
 
 
 def number_rows(df: DataFrame, ids: Sequence[str], order: Sequence[str], name: str,
-                max_rows: int = MAX_ROWS) -> DataFrame:
+                max_rows: int = MAX_ROWS, found: LongSeries | None = None) -> DataFrame:
     """Add the position of each row in its series, from 0."""
-    out = run_totals(df, ids, order, {name: ("sum", F.lit(1).cast("long"))}, max_rows=max_rows)
+    out = run_totals(df, ids, order, {name: ("sum", F.lit(1).cast("long"))}, max_rows=max_rows, found=found)
     return out.withColumn(name, F.col(name) - 1)
 
 
 def over_series(df: DataFrame, ids: Sequence[str], order: Sequence[str], back: int, ahead: int,
-                add: Callable[[DataFrame, list[str]], DataFrame], max_rows: int = MAX_ROWS) -> DataFrame:
+                add: Callable[[DataFrame, list[str]], DataFrame], max_rows: int = MAX_ROWS,
+                found: LongSeries | None = None) -> DataFrame:
     """Run ``add(rows, partition columns)`` where each result needs at most ``back`` rows before it and
-    ``ahead`` rows after it in its series.  Long series are handed over piece by piece with that halo."""
-    found = long_series(df, ids, order, max_rows)
+    ``ahead`` rows after it in its series.  Long series are handed over piece by piece with that halo.
+    ``found`` passes on a check of the same series."""
+    found = found or long_series(df, ids, order, max_rows)
     if found is None:
         return add(df, list(ids))
     # Small blocks, so that a halo of whole blocks stays small next to a piece.
-    rows, n_blocks = cut(df, ids, order, found, max(1, max_rows // 8))
+    rows, sizes, n_blocks = cut(df, ids, order, found, max(1, max_rows // 8))
     key = [*ids, BLOCK]
     size = max(max_rows, back + ahead)
     along = Window.partitionBy(*ids).orderBy(BLOCK)
-    sizes = rows.where(F.col(BLOCK).isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     placed = sizes.select(
-        *key, "n",
-        F.coalesce(F.sum("n").over(along.rowsBetween(FROM_START, -1)), F.lit(0)).alias("start"),
-        F.max("n").over(Window.partitionBy(*ids)).alias("most"),
+        *key, F.col("__n").alias("n"),
+        F.coalesce(F.sum("__n").over(along.rowsBetween(FROM_START, -1)), F.lit(0)).alias("start"),
+        F.max("__n").over(Window.partitionBy(*ids)).alias("most"),
     )
     # A piece holds the blocks that start in its range of positions.  A block also goes to every piece
     # with a row at most ``back`` after its end or ``ahead`` before its start.

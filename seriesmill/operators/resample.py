@@ -87,7 +87,8 @@ def resample_mean(df: DataFrame, time_step: int | None = None, time: str = "time
         buckets = placed.withColumn("__t", F.col("__day") + bucket(F.col("__t")) * step).drop("__day")
     grid = spans.select(*ids, "__day", bucket(F.col("__min")).alias("__a"), bucket(F.col("__max")).alias("__b"))
     grid = grid.withColumn("__c", F.explode(F.sequence("__a", "__b", F.lit(GRID_ROWS).cast("long"))))
-    grid = grid.withColumn("__i", F.explode(F.sequence(
+    # A long grid leaves in chunks, so that its rows are made by many tasks.
+    grid = grid.repartition(*ids, "__c").withColumn("__i", F.explode(F.sequence(
         "__c", F.least(F.col("__b"), F.col("__c") + GRID_ROWS - 1))))
     grid = grid.select(*ids, (F.col("__day") + F.col("__i") * step).alias("__t"))
     # Grid rows carry no sums, so one aggregate both averages and keeps the empty buckets.

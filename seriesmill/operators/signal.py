@@ -127,7 +127,7 @@ def _indexed(df: DataFrame, column: str, ids: Sequence[str], order: Sequence[str
              max_rows: int) -> DataFrame:
     """Rows of the long series with __pos, __n and __x, kept so that positions stay as they are."""
     rows = blocks.only(df, ids, found)
-    rows = blocks.number_rows(rows, ids, order, "__pos", max_rows)
+    rows = blocks.number_rows(rows, ids, order, "__pos", max_rows, found)
     sizes = blocks.hinted(found.table.select(*ids, F.col("__n").cast("long").alias("__n")), found.n_series)
     rows = blocks.lookup(rows, sizes, ids, "left")
     return reliable(rows.withColumn("__x", F.col(f"`{column}`").cast("double")))
@@ -140,17 +140,17 @@ def _shape(n: int) -> tuple[int, int]:
 
 
 def _turns(a: np.ndarray, b: int, m: int) -> np.ndarray:
-    """exp(-2 pi i a b / m) with the product reduced exactly."""
-    return np.exp(-2j * np.pi * ((a.astype(object) * b % m).astype("float64") / m))
+    """exp(-2 pi i a b / m) for a b below m, so that the product is exact."""
+    return np.exp(-2j * np.pi * (a * b) / m)
 
 
 def _kernel(d: np.ndarray, n: int, bins: int) -> np.ndarray:
     """Circular kernel that keeps the bins 0 .. bins of n samples, at the offsets d."""
-    wide = (2 * bins + 1) * d.astype(object) % (2 * n)
-    angle = np.pi * d.astype("float64") / n
-    top = np.sin(np.pi * wide.astype("float64") / n)
+    # The product is reduced to one turn before it is rounded; beyond 2 ** 31 samples it needs wide integers.
+    exact = d.astype(object) if n > 2**31 else d
+    wide = ((2 * bins + 1) * exact % (2 * n)).astype("float64")
     with np.errstate(invalid="ignore", divide="ignore"):
-        value = top / (n * np.sin(angle))
+        value = np.sin(np.pi * wide / n) / (n * np.sin(np.pi * d / n))
     return np.where(d % n == 0, (2 * bins + 1) / n, value)
 
 

@@ -228,13 +228,13 @@ def _features(df: DataFrame, specs: Sequence[RollingSpec], keys: Sequence[str],
 
 
 def _bounded(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order: Sequence[str],
-             max_rows: int) -> DataFrame:
+             max_rows: int, found: blocks.LongSeries | None) -> DataFrame:
     """Bounded frames of long series: all specs share the pieces and their halo."""
     back = max(0, *(-s.reach[0] for s in specs))
     ahead = max(0, *(s.reach[1] for s in specs))
 
     return blocks.over_series(df, ids, order, back, ahead,
-                              lambda rows, keys: _features(rows, specs, keys, order), max_rows)
+                              lambda rows, keys: _features(rows, specs, keys, order), max_rows, found)
 
 
 # Highest central moment a function of an expanding frame needs.
@@ -242,7 +242,7 @@ _MOMENT = {"std": 2, "var": 2, "sem": 2, "skew": 3, "kurt": 4}
 
 
 def _growing(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order: Sequence[str],
-             max_rows: int) -> DataFrame:
+             max_rows: int, found: blocks.LongSeries | None) -> DataFrame:
     """Expanding frames of long series, from running totals over blocks."""
     for spec in specs:
         if not isinstance(spec.func, str) or spec.func in ("median", "rank"):
@@ -268,7 +268,7 @@ def _growing(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order:
             totals[f"__{kind}_{source}"] = (kind, x)
         for p in range(1, highest + 1):
             totals[f"__{p}_{source}"] = ("sum", F.pow(x - F.col(f"`__centre_{source}`"), p))
-    df = blocks.run_totals(df, ids, order, totals, max_rows=max_rows)
+    df = blocks.run_totals(df, ids, order, totals, max_rows=max_rows, found=found)
 
     def value(spec: RollingSpec) -> Column:
         n = F.col(f"`__held_{spec.source}`")
@@ -335,20 +335,23 @@ def rolling(df: DataFrame, specs: Sequence[RollingSpec], ids: Sequence[str] = ("
     def in_one(rows: DataFrame, group: list[RollingSpec], keys: list[str]) -> DataFrame:
         return _features(rows, group, keys, order)
 
+    found = blocks.long_series(df, ids, order, max_rows)
+
     def in_pieces(rows: DataFrame, group: list[RollingSpec], keys: list[str]) -> DataFrame:
+        known = found if keys == ids else None
         bounded = [s for s in group if s.window is not None]
         if bounded:
-            rows = _bounded(rows, bounded, keys, order, max_rows)
+            rows = _bounded(rows, bounded, keys, order, max_rows, known)
         growing = [s for s in group if s.window is None]
-        return _growing(rows, growing, keys, order, max_rows) if growing else rows
+        return _growing(rows, growing, keys, order, max_rows, known) if growing else rows
 
-    if blocks.long_series(df, ids, order, max_rows) is None:
+    if found is None:
         if len(_by_filter(specs)) + bool(shifts) > 1:
             df = df.repartition(*ids)  # one exchange serves every window below
         df = _apply(df, specs, ids, in_one)
         return _lagged(df, shifts, ids, order) if shifts else df
     df = _apply(df, specs, ids, in_pieces)
-    return shift(df, shifts, ids, order, max_rows) if shifts else df
+    return shift(df, shifts, ids, order, max_rows, found) if shifts else df
 
 
 def _lagged(rows: DataFrame, columns: dict[str, int], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -357,11 +360,12 @@ def _lagged(rows: DataFrame, columns: dict[str, int], keys: Sequence[str], order
 
 
 def shift(df: DataFrame, columns: dict[str, int], ids: Sequence[str] = ("id",),
-          order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS) -> DataFrame:
+          order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS,
+          found: blocks.LongSeries | None = None) -> DataFrame:
     """Replace each column by its value ``n`` rows earlier (later if negative) in the series."""
     back, ahead = max(0, *columns.values()), max(0, *(-n for n in columns.values()))
     return blocks.over_series(df, ids, order, back, ahead,
-                              lambda rows, keys: _lagged(rows, columns, keys, order), max_rows)
+                              lambda rows, keys: _lagged(rows, columns, keys, order), max_rows, found)
 
 
 def diff(df: DataFrame, column: str, name: str, ids: Sequence[str] = ("id",),

@@ -82,9 +82,12 @@ def read_directory(spark: SparkSession, path: str | PurePath, suffix: str = ".pa
 
 
 def write_groups(df: DataFrame, path: str | PurePath, key: str = "id", buckets: int = 64) -> None:
-    """Write rows under a folder per bucket of ids, so that reads of some ids skip the others."""
-    df.withColumn("group_bucket", group_bucket(key, buckets)).write.mode("overwrite").partitionBy(
-        "group_bucket").parquet(_path(path))
+    """Write rows under a folder per bucket of ids, so that reads of some ids skip the others.
+
+    Rows are brought together by bucket before they are written; a large bucket stays in several tasks.
+    """
+    bucketed = df.withColumn("group_bucket", group_bucket(key, buckets)).hint("rebalance", "group_bucket")
+    bucketed.write.mode("overwrite").partitionBy("group_bucket").parquet(_path(path))
 
 
 def group_bucket(key: str, buckets: int) -> Column:
