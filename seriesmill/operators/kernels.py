@@ -75,14 +75,19 @@ def frames(starts: np.ndarray, ends: np.ndarray, first: int | None, last: int) -
     return begin.astype("int64"), np.maximum(begin, np.clip(at + last + 1, low, high)).astype("int64")
 
 
-def slide(x: np.ndarray, begin: np.ndarray, end: np.ndarray, func: str | None, q: float | None,
+def slide(x: np.ndarray, begin: np.ndarray, end: np.ndarray, func: str | Callable | None, q: float | None,
           least: int) -> np.ndarray:
-    """A named function, or a quantile, of each frame that holds ``least`` values (rows, for count)."""
+    """A function, or a quantile, of each frame that holds ``least`` values (rows, for count).
+
+    A custom function sees the whole frame with its missing values.
+    """
     if func == "count":
         held = np.concatenate([[0], np.cumsum(~np.isnan(x))])
         return np.where(end - begin >= least, (held[end] - held[begin]).astype("float64"), np.nan)
     frame = pd.Series(x).rolling(_Frames(begin=begin, end=end), min_periods=max(1, least))
-    return (frame.quantile(q) if func is None else getattr(frame, func)()).to_numpy()
+    if func is None:
+        return frame.quantile(q).to_numpy()
+    return (frame.apply(func, raw=False) if callable(func) else getattr(frame, func)()).to_numpy()
 
 
 def slide_weighted(x: np.ndarray, begin: np.ndarray, end: np.ndarray, first: int, weights: Sequence[float],

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -30,14 +31,14 @@ WIDE_HOLISTIC, WIDE = 24, 64
 class RollingSpec:
     """One feature.
 
-    ``func`` is a name from ``FUNCTIONS``, a Series -> scalar ``pandas_udf``, or None when ``quantile`` is
-    given; ``func`` wins if both are.  ``window=None`` is an expanding frame.  With ``filter_column`` the
+    ``func`` is a name from ``FUNCTIONS``, a function of a pandas Series to a number, or None when
+    ``quantile`` is given; ``func`` wins if both are.  ``window=None`` is an expanding frame.  With ``filter_column`` the
     frame counts only the rows equal to ``filter_value`` and other rows get NULL.  ``shift`` moves the
     result by rows of the whole series, forward if positive.
     """
 
     source: str
-    func: str | Callable | None = None
+    func: str | Callable[[pd.Series], float] | None = None
     quantile: float | None = None
     window: int | None = None
     min_periods: int | None = None
@@ -87,8 +88,8 @@ class RollingSpec:
     @property
     def wide(self) -> bool:
         """Whether a kernel that slides is cheaper than a window that redoes each frame."""
-        if not (self.func is None or isinstance(self.func, str)):
-            return False
+        if callable(self.func):
+            return True
         holistic = self.func in HOLISTIC
         if self.window is None:
             return holistic
@@ -195,10 +196,8 @@ def _result(spec: RollingSpec, by: WindowSpec) -> Column:
         value = _weighted(spec, x, by)
     elif spec.func is None:
         value = quantile_of(_sorted_frame(x, frame), spec.quantile)
-    elif isinstance(spec.func, str):
-        value = FUNCTIONS[spec.func](x, frame)
     else:
-        value = spec.func(x).over(frame)
+        value = FUNCTIONS[spec.func](x, frame)
     return F.when(held >= spec.least, value)
 
 

@@ -130,6 +130,13 @@ def test_weighted(series, series_df, center, max_rows, engine):
     same(out["mean"], want(series, lambda g: weighted(g, True)))
 
 
+@pytest.mark.parametrize("closed, center", [("right", False), ("both", True), ("left", False)])
+def test_windows_longer_than_pieces(series, series_df, closed, center, engine):
+    spec = RollingSpec("x", "mean", window=61, min_periods=2, closed=closed, center=center, name="m")
+    out = got(rolling(series_df, [spec], max_rows=10), ["m"])
+    same(out["m"], want(series, lambda g: g.x.rolling(61, 2, center=center, closed=closed).mean()))
+
+
 def test_weights():
     assert weights("boxcar", 3) == [1, 1, 1]
     np.testing.assert_allclose(weights("triang", 5), [1 / 3, 2 / 3, 1, 2 / 3, 1 / 3])
@@ -139,7 +146,6 @@ def test_weights():
 
 @pytest.mark.parametrize("max_rows", [NEVER, CUT])
 def test_custom_function(series, series_df, max_rows):
-    @F.pandas_udf("double")
     def spread(v: pd.Series) -> float:
         return float(v.max() - v.min())
 
@@ -148,6 +154,9 @@ def test_custom_function(series, series_df, max_rows):
     out = got(rolling(series_df, [spec], max_rows=max_rows), [spec.column])
     expected = want(series, lambda g: g.x.rolling(5, 2).apply(lambda v: np.nanmax(v) - np.nanmin(v)))
     same(out[spec.column], expected)
+    if max_rows == NEVER:
+        grown = got(rolling(series_df, [RollingSpec("x", spread, name="g")]), ["g"])["g"]
+        same(grown, want(series, lambda g: g.x.expanding(1).max() - g.x.expanding(1).min()))
 
 
 def test_spec_is_checked(series_df):

@@ -187,8 +187,7 @@ def _spread(v: pd.Series) -> float:
 @query("rolling_udaf", with_m(
     f"SELECT id, time, {least_sql(f'max(ch0) OVER {ROLL} - min(ch0) OVER {ROLL}', ROLL, 3, 6)} AS y FROM m"))
 def rolling_udaf(spark, sf_dir):
-    spread = F.pandas_udf(_spread, "double")
-    return feature(spark, sf_dir, RollingSpec("ch0", spread, window=10, min_periods=3, name="y"))
+    return feature(spark, sf_dir, RollingSpec("ch0", _spread, window=10, min_periods=3, name="y"))
 
 
 _BY = "OVER (PARTITION BY id ORDER BY time)"
