@@ -16,6 +16,7 @@ from __future__ import annotations
 import functools
 import operator
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,11 +35,18 @@ BROADCAST_ROWS = 4_000_000
 FROM_START = Window.unboundedPreceding
 
 
-class LongSeries(NamedTuple):
-    """Series above the limit: one row each (ids, __n, __lo, __hi), at most rows / max_rows of them."""
+@dataclass(frozen=True)
+class LongSeries:
+    """Series above the limit: one row each (ids, __n, __lo, __hi), at most rows / max_rows of them.
+
+    False if there are none.  A check can be handed to every operator on the same series.
+    """
 
-    table: DataFrame
     n_series: int
+    table: DataFrame | None = None
+
+    def __bool__(self) -> bool:
+        return self.n_series > 0
 
 
 def hinted(table: DataFrame, rows: int) -> DataFrame:
@@ -74,15 +82,16 @@ def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> Da
     return joined.drop(*[f"__right_{k}" for k in keys])
 
 
-def long_series(df: DataFrame, ids: Sequence[str], order: Sequence[str], max_rows: int) -> LongSeries | None:
-    """Find the series with more than ``max_rows`` rows, or None.  One map-side combined aggregate."""
+def long_series(df: DataFrame, ids: Sequence[str] = ("id",), order: Sequence[str] = ("time",),
+                max_rows: int = MAX_ROWS) -> LongSeries:
+    """Find the series with more than ``max_rows`` rows.  One map-side combined aggregate."""
     at = micros(df, order[0]).cast("double")
     sizes = df.groupBy(*ids).agg(
         F.count(F.lit(1)).alias("__n"), F.min(at).alias("__lo"), F.max(at).alias("__hi")
     )
     above = F.col("__n") > max_rows
     n_series = sizes.agg(F.count_if(above)).first()[0]
-    return LongSeries(reliable(sizes.where(above)), n_series) if n_series else None
+    return LongSeries(n_series, reliable(sizes.where(above)) if n_series else None)
 
 
 class Cut(NamedTuple):
@@ -163,13 +172,13 @@ def run_totals(df: DataFrame, ids: Sequence[str], order: Sequence[str],
     the same series.
     """
     direction = F.desc if backwards else F.asc
-    found = found or long_series(df, ids, order, max_rows)
+    found = long_series(df, ids, order, max_rows) if found is None else found
 
     def running(kind: str, x: Column, keys: Sequence[str]) -> Column:
         w = Window.partitionBy(*keys).orderBy(*[direction(c) for c in order]).rowsBetween(FROM_START, 0)
         return _RUNNING[kind][0](x).over(w)
 
-    if found is None:
+    if not found:
         return df.select("*", *[running(kind, x, ids).alias(name) for name, (kind, x) in columns.items()])
 
     rows, _, n_blocks = cut(df, ids, order, found, max_rows)
@@ -203,8 +212,8 @@ def over_series(df: DataFrame, ids: Sequence[str], order: Sequence[str], back: i
     """Run ``add(rows, partition columns)`` where each result needs at most ``back`` rows before it and
     ``ahead`` rows after it in its series.  Long series are handed over piece by piece with that halo.
     ``found`` passes on a check of the same series."""
-    found = found or long_series(df, ids, order, max_rows)
-    if found is None:
+    found = long_series(df, ids, order, max_rows) if found is None else found
+    if not found:
         return add(df, list(ids))
     # Small blocks, so that a halo of whole blocks stays small next to a piece.
     rows, sizes, n_blocks = cut(df, ids, order, found, max(1, max_rows // 8))

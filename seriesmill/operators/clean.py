@@ -58,8 +58,12 @@ def fill_label(df: DataFrame, column: str = "target", value: int = 0) -> DataFra
 
 
 def fill(df: DataFrame, rules: Mapping[str, FillRule], ids: Sequence[str] = ("id",),
-         order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS) -> DataFrame:
-    """Fill missing values inside each series; columns that share a kind of rule share one pass."""
+         order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS,
+         found: blocks.LongSeries | None = None) -> DataFrame:
+    """Fill missing values inside each series; columns that share a kind of rule share one pass.
+
+    ``found`` passes on a check of the same series.
+    """
     rules = {c: r for c, r in rules.items() if c in df.columns and (r.value is not None or r.method)}
     for c, r in rules.items():
         if r.value is None and r.method not in ("ffill", "bfill"):
@@ -70,6 +74,8 @@ def fill(df: DataFrame, rules: Mapping[str, FillRule], ids: Sequence[str] = ("id
     carried = {c: r for c, r in rules.items() if r.value is None}
     near = {c: r for c, r in carried.items() if r.limit is not None}
     columns = df.columns
+    if found is None and (counted or carried):
+        found = blocks.long_series(df, ids, order, max_rows)
 
     def literal(c: str) -> Column:
         return F.lit(rules[c].value).cast(df.schema[c].dataType)
@@ -79,7 +85,7 @@ def fill(df: DataFrame, rules: Mapping[str, FillRule], ids: Sequence[str] = ("id
     if counted:
         # The limit counts missing rows of the series in total, not in a run.
         totals = {f"__gap_{c}": ("sum", F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0)) for c in counted}
-        df = blocks.run_totals(df, ids, order, totals, max_rows=max_rows)
+        df = blocks.run_totals(df, ids, order, totals, False, max_rows, found)
         df = df.withColumns({
             c: F.when(F.col(f"`{c}`").isNull() & (F.col(f"`__gap_{c}`") <= r.limit), literal(c))
             .otherwise(F.col(f"`{c}`")) for c, r in counted.items()
@@ -95,11 +101,11 @@ def fill(df: DataFrame, rules: Mapping[str, FillRule], ids: Sequence[str] = ("id
 
         back = max([r.limit for r in near.values() if r.method == "ffill"], default=0)
         ahead = max([r.limit for r in near.values() if r.method == "bfill"], default=0)
-        df = blocks.over_series(df, ids, order, back, ahead, add, max_rows)
+        df = blocks.over_series(df, ids, order, back, ahead, add, max_rows, found)
     for method in ("ffill", "bfill"):
         far = [c for c, r in carried.items() if r.limit is None and r.method == method]
         if far:
             totals = {f"__seen_{c}": ("last", F.col(f"`{c}`")) for c in far}
-            df = blocks.run_totals(df, ids, order, totals, method == "bfill", max_rows)
+            df = blocks.run_totals(df, ids, order, totals, method == "bfill", max_rows, found)
             df = df.withColumns({c: F.col(f"`__seen_{c}`") for c in far})
     return df.select(*[F.col(f"`{c}`") for c in columns])

@@ -210,16 +210,16 @@ def _low_pass_long(rows: DataFrame, ids: list[str], threshold: float) -> DataFra
 
 def fft_denoise(df: DataFrame, column: str, name: str | None = None, threshold: float = DEFAULT_THRESHOLD,
                 ids: Sequence[str] = ("id",), order: Sequence[str] = ("time",),
-                max_rows: int = blocks.MAX_ROWS) -> DataFrame:
+                max_rows: int = blocks.MAX_ROWS, found: blocks.LongSeries | None = None) -> DataFrame:
     """Drop all frequencies above the threshold.  Missing values must be filled before."""
     ids, name = list(ids), name or f"{column}_fft"
     if threshold >= 1 / (2 * SPACING):
         # Nothing lies above the highest frequency a series can hold.
         return df.withColumn(name, F.col(f"`{column}`").cast("float"))
-    found = blocks.long_series(df, ids, order, max_rows)
-    short = df if found is None else blocks.others(df, ids, found)
+    found = blocks.long_series(df, ids, order, max_rows) if found is None else found
+    short = blocks.others(df, ids, found) if found else df
     out = _per_series(short, column, name, ids, order, lambda x: low_pass(x, threshold))
-    if found is None:
+    if not found:
         return out
     rows = _indexed(df, column, ids, order, found, max_rows)
     return out.unionByName(_filled_in(rows, _low_pass_long(rows, ids, threshold), ids, name))
@@ -372,7 +372,7 @@ def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) ->
 
 def wavelet_denoise(df: DataFrame, column: str, name: str | None = None, level: int = 1,
                     ids: Sequence[str] = ("id",), order: Sequence[str] = ("time",),
-                    max_rows: int = blocks.MAX_ROWS) -> DataFrame:
+                    max_rows: int = blocks.MAX_ROWS, found: blocks.LongSeries | None = None) -> DataFrame:
     """Hard-threshold all detail coefficients of a periodic db4 transform.
 
     ``level`` picks the detail (1 is the finest) that the noise is estimated from.  A series too short for
@@ -381,10 +381,10 @@ def wavelet_denoise(df: DataFrame, column: str, name: str | None = None, level:
     if level < 1:
         raise ValueError("level counts from 1")
     ids, name = list(ids), name or f"{column}_wavelet"
-    found = blocks.long_series(df, ids, order, max_rows)
-    short = df if found is None else blocks.others(df, ids, found)
+    found = blocks.long_series(df, ids, order, max_rows) if found is None else found
+    short = blocks.others(df, ids, found) if found else df
     out = _per_series(short, column, name, ids, order, lambda x: wavelet_array(x, level))
-    if found is None:
+    if not found:
         return out
     rows = _indexed(df, column, ids, order, found, max_rows)
     return out.unionByName(_filled_in(rows, _wavelet_long(rows, ids, level, max_rows), ids, name))

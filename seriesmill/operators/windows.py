@@ -322,8 +322,10 @@ def _apply(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str],
 
 
 def rolling(df: DataFrame, specs: Sequence[RollingSpec], ids: Sequence[str] = ("id",),
-            order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS) -> DataFrame:
-    """Add one column per spec.  ``order`` must be a total order within a series."""
+            order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS,
+            found: blocks.LongSeries | None = None) -> DataFrame:
+    """Add one column per spec.  ``order`` must be a total order within a series.  ``found`` passes on a
+    check of the same series."""
     ids, order = list(ids), list(order)
     for spec in specs:
         for column in (spec.source, spec.filter_column):
@@ -334,7 +336,7 @@ def rolling(df: DataFrame, specs: Sequence[RollingSpec], ids: Sequence[str] = ("
     def in_one(rows: DataFrame, group: list[RollingSpec], keys: list[str]) -> DataFrame:
         return _features(rows, group, keys, order)
 
-    found = blocks.long_series(df, ids, order, max_rows)
+    found = blocks.long_series(df, ids, order, max_rows) if found is None else found
 
     def in_pieces(rows: DataFrame, group: list[RollingSpec], keys: list[str]) -> DataFrame:
         known = found if keys == ids else None
@@ -344,7 +346,7 @@ def rolling(df: DataFrame, specs: Sequence[RollingSpec], ids: Sequence[str] = ("
         growing = [s for s in group if s.window is None]
         return _growing(rows, growing, keys, order, max_rows, known) if growing else rows
 
-    if found is None:
+    if not found:
         if len(_by_filter(specs)) + bool(shifts) > 1:
             df = df.repartition(*ids)  # one exchange serves every window below
         df = _apply(df, specs, ids, in_one)

@@ -46,7 +46,8 @@ class Step(Transformer):
 
 
 def preprocess(df: DataFrame, schema=MEASUREMENTS, ids: Sequence[str] = ("id",), order: Sequence[str] = ("time",),
-               narrow: bool = False, max_rows: int = blocks.MAX_ROWS) -> DataFrame:
+               narrow: bool = False, max_rows: int = blocks.MAX_ROWS,
+               found: blocks.LongSeries | None = None) -> DataFrame:
     """Clip, infinities to missing, fill, cast to the declared types, in this order.
 
     Bounds therefore catch infinities of declared columns.  ``narrow`` also shrinks undeclared columns,
@@ -57,7 +58,7 @@ def preprocess(df: DataFrame, schema=MEASUREMENTS, ids: Sequence[str] = ("id",),
     return (
         df.transform(clean.clip, clip_bounds(schema))
         .transform(clean.inf_to_null)
-        .transform(clean.fill, rules, ids, order, max_rows)
+        .transform(clean.fill, rules, ids, order, max_rows, found)
         .transform(columns.cast_declared, types, narrow)
     )
 

@@ -129,10 +129,11 @@ def rows_per_chunk(df: DataFrame, megabytes: float = CHUNK_MB) -> int:
 
 
 def chunk_rows(df: DataFrame, rows: int | None = None, ids: Sequence[str] = ("id",),
-               order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS) -> DataFrame:
+               order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS,
+               found: blocks.LongSeries | None = None) -> DataFrame:
     """Add ``chunk_id``: consecutive rows of a series in disjoint chunks that cover all of them."""
     size = rows or rows_per_chunk(df)
-    numbered = blocks.number_rows(df, ids, order, "chunk_id", max_rows)
+    numbered = blocks.number_rows(df, ids, order, "chunk_id", max_rows, found)
     return numbered.withColumn("chunk_id", F.floor(F.col("chunk_id") / size).cast("long"))
 
 

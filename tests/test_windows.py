@@ -218,6 +218,15 @@ def test_infinities_are_missing(spark, engine, n):
     assert np.isnan(out[0]) and out.tolist()[1:] == [1, 1, 2]
 
 
+def test_one_check_serves_many_operators(series, series_df):
+    found = blocks.long_series(series_df, max_rows=CUT)
+    spec = [RollingSpec("x", "mean", window=9, min_periods=1, shift=1, name="m"), RollingSpec("x", "sum", name="s")]
+    out = got(rolling(series_df, spec, max_rows=CUT, found=found), ["m", "s"])
+    same(out["m"], want(series, lambda g: g.x.rolling(9, 1).mean().shift(1)))
+    same(out["s"], want(series, lambda g: g.x.expanding(1).sum()))
+    assert found and not blocks.long_series(series_df, max_rows=NEVER)
+
+
 def test_null_ids_form_a_series(spark):
     df = spark.range(90).selectExpr("if(id % 3 = 0, 'a', null) as id", "id as time", "1.0D as x")
     spec = [RollingSpec("x", "sum", window=50, min_periods=1, name="s")]

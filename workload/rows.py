@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from seriesmill.functions.scalar import convert, file_stem, map_code, normalize_name, total_seconds
 from seriesmill.functions.metrics import mean_abs_dev
 from seriesmill.operators import clean, columns, lookups
+from seriesmill.operators.blocks import long_series
 from seriesmill.operators.windows import RollingSpec, rolling
 from seriesmill.plans.preparation import Step, build_features, default_features, plot_series, preprocess
 from seriesmill.schema import LABELS, TARGET_CODES, FillRule
@@ -40,9 +41,11 @@ def recordings(spark, sf_dir, *more):
           FROM clean c LEFT JOIN lab USING (id)) GROUP BY target""", CLEAN_SQL, LABELS_SQL))
 def flagship(spark, sf_dir):
     """Clean, mark, rolling median per recording, average of it per defect type."""
-    rows = preprocess(recordings(spark, sf_dir))
+    rows = recordings(spark, sf_dir)
+    found = long_series(rows)  # one check for all steps
+    rows = preprocess(rows, found=found)
     marked = lookups.mark_target(rows, labels(spark, sf_dir))
-    featured = rolling(marked, [RollingSpec("ch0", "median", window=120, min_periods=1, name="med")])
+    featured = rolling(marked, [RollingSpec("ch0", "median", window=120, min_periods=1, name="med")], found=found)
     out = featured.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.avg("med").alias("median_ch0"))
     return rounded(out, 4, "median_ch0")
 
