@@ -21,10 +21,10 @@ from seriesmill.storage import reliable
 
 CLOSED = ("right", "left", "both", "neither")
 
-# Functions that need the values of the frame at hand (None is a quantile), and the frame lengths in rows
-# above which sliding kernels take over from Spark windows.
+# Functions that need the values of the frame at hand; None is a quantile.
 HOLISTIC = (None, "median", "rank")
-WIDE_HOLISTIC, WIDE = 24, 64
+# Cost of all features of a row above which sliding kernels take over from Spark windows; measured.
+WIDE = 80
 
 
 @dataclass(frozen=True)
@@ -86,14 +86,14 @@ class RollingSpec:
         return 1 if self.window is None else self.window
 
     @property
-    def wide(self) -> bool:
-        """Whether a kernel that slides is cheaper than a window that redoes each frame."""
+    def cost(self) -> float:
+        """Rows a Spark window goes through for one result, as it redoes a sliding frame for every row."""
         if callable(self.func):
-            return True
+            return math.inf
         holistic = self.func in HOLISTIC
         if self.window is None:
-            return holistic
-        return self.window > (WIDE_HOLISTIC if holistic else WIDE)
+            return math.inf if holistic else 0
+        return self.window * (3 if holistic else 1)
 
     @property
     def reach(self) -> tuple[int, int]:
@@ -204,7 +204,9 @@ def _result(spec: RollingSpec, by: WindowSpec) -> Column:
 def _features(df: DataFrame, specs: Sequence[RollingSpec], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All specs over series that fit one task: one exchange and one sort serve them."""
     by = Window.partitionBy(*keys).orderBy(*order)
-    narrow, wide = [s for s in specs if not s.wide], [s for s in specs if s.wide]
+    sliding = sum(s.cost for s in specs) > WIDE
+    wide = [s for s in specs if sliding and s.cost]
+    narrow = [s for s in specs if s not in wide]
     if narrow:
         df = df.select("*", *[_result(s, by).alias(s.column) for s in narrow])
     if not wide:

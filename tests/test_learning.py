@@ -300,6 +300,24 @@ def test_training_stage(marked, tmp_path):
     assert set(none.values()) == {None}
 
 
+@pytest.mark.parametrize("partitions", [1, 13])
+def test_results_do_not_depend_on_partitions_or_row_order(spark, series_df, partitions):
+    from seriesmill.operators.windows import RollingSpec, rolling
+
+    def run(df):
+        out = rolling(df, [RollingSpec("x", "median", window=30, min_periods=1, name="m")], max_rows=40)
+        folds = split.fold_assignment(df, 2).collect()
+        return sorted(map(str, out.select("id", "time", "m").collect())), sorted(map(str, folds))
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    expected = run(series_df)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        assert run(series_df.orderBy(F.desc("time"))) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_plot_series(marked):
     predictions = marked.where("id in ('p1', 'p2') and time < 6").select("id", "time", F.lit(0.7).alias("prediction_cont"))
     out = plot_series(marked, predictions, rows=5)

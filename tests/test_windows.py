@@ -30,7 +30,6 @@ def engine(request, monkeypatch):
     """Run with every frame as a Spark window, or with every frame in a sliding kernel."""
     limit = 10**9 if request.param == "windows" else 0
     monkeypatch.setattr(windows, "WIDE", limit)
-    monkeypatch.setattr(windows, "WIDE_HOLISTIC", limit)
 
 
 @pytest.mark.parametrize("max_rows", [NEVER, CUT])
@@ -201,7 +200,7 @@ def test_blocks_are_bounded(series, series_df):
 
 @pytest.mark.parametrize("batch", [1, 7, 10_000])
 def test_kernels_do_not_depend_on_batches(spark, series, series_df, batch, monkeypatch):
-    monkeypatch.setattr(windows, "WIDE_HOLISTIC", 0)
+    monkeypatch.setattr(windows, "WIDE", 0)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     try:
         out = got(rolling(series_df, [RollingSpec("x", "median", window=30, min_periods=1, center=True, name="m")]), ["m"])
