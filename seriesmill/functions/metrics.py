@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.operators import blocks
 from seriesmill.operators.lookups import attach, union_rows
+from seriesmill.storage import reliable
 
 # The small term of mape; metrics reduced over batches by median, the others by mean.
 MAPE_EPSILON = 1e-6
@@ -64,7 +65,8 @@ def metric_reduce(batches: DataFrame, names: Sequence[str] = REGRESSION,
     """One row over per-batch metrics: the median for error metrics, the mean for the others."""
     medians = [n for n in names if n in MEDIAN_METRICS]
     means = [n for n in names if n not in MEDIAN_METRICS]
-    if batches.limit(max_rows + 1).count() <= max_rows:
+    batches = reliable(batches)  # one row per batch, read several times
+    if batches.count() <= max_rows:
         out = batches.agg(*[F.percentile(n, F.lit(0.5)).alias(n) for n in medians],
                           *[F.avg(n).alias(n) for n in means])
         return out.select(*names)

@@ -22,7 +22,7 @@ def attach(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left"
     keys with more than ``max_rows`` rows: these keys are few, so their part of the table is broadcast.
     """
     on = list(on)
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if table.count() <= broadcast_rows:
         return df.join(F.broadcast(table), on, how)
     heavy = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows).select(*on)
     heavy = reliable(heavy)

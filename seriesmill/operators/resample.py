@@ -13,6 +13,7 @@ from seriesmill.operators import blocks
 from seriesmill.operators.blocks import micros
 from seriesmill.operators.lookups import attach
 from seriesmill.operators.windows import diff
+from seriesmill.storage import reliable
 
 DAY = 86_400
 # Grid buckets made from one row; longer grids grow in two steps.
@@ -30,6 +31,8 @@ def common_timestep(df: DataFrame, times: Sequence[str] = ("time",), ids: Sequen
 
     The smallest wins ties; over several time columns the smallest of their steps counts.
     """
+    if not times:
+        raise ValueError("name at least one time column")
     by = list(ids) if per_series else []
     steps = []
     for time in times:
@@ -83,6 +86,7 @@ def resample_mean(df: DataFrame, time_step: int | None = None, time: str = "time
     if time_step == cell // unit:
         buckets = sums
     else:
+        spans = reliable(spans)  # one row per series, read several times
         placed = attach(sums, spans.select(*ids, "__day"), ids, max_rows=max_rows)
         buckets = placed.withColumn("__t", F.col("__day") + bucket(F.col("__t")) * step).drop("__day")
     grid = spans.select(*ids, "__day", bucket(F.col("__min")).alias("__a"), bucket(F.col("__max")).alias("__b"))

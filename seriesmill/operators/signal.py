@@ -36,6 +36,7 @@ DB4 = (
 LOW = np.array(DB4[::-1])
 HIGH = np.array([(-1) ** k * DB4[k] for k in range(8)])
 TAPS = len(DB4)
+HALO = TAPS // 2 - 1
 
 
 # ---------------------------------------------------------------- one series in one task
@@ -65,13 +66,20 @@ def analyse(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[at] @ LOW, x[at] @ HIGH
 
 
+def interleave(approx: np.ndarray, detail: np.ndarray) -> np.ndarray:
+    """Samples of the coefficients after the first HALO ones, which only reach into them."""
+    count = len(approx) - HALO
+    x = np.zeros(2 * count)
+    for k in range(TAPS):
+        at = slice(HALO - k // 2, HALO - k // 2 + count)
+        x[k % 2::2] += LOW[k] * approx[at] + HIGH[k] * detail[at]
+    return x
+
+
 def synthesise(approx: np.ndarray, detail: np.ndarray, n: int) -> np.ndarray:
     """Undo ``analyse`` for a series of n samples."""
-    half = len(approx)
-    x = np.zeros(2 * half)
-    at = (2 * np.arange(half)[:, None] + np.arange(TAPS)) % (2 * half)
-    np.add.at(x, at, approx[:, None] * LOW + detail[:, None] * HIGH)
-    return x[:n]
+    around = np.arange(-HALO, len(approx)) % len(approx)
+    return interleave(approx[around], detail[around])[:n]
 
 
 def depth(n: int) -> int:
@@ -234,21 +242,26 @@ def _filled_in(rows: DataFrame, values: DataFrame, ids: list[str], name: str) ->
 def _blocked(rows: DataFrame, ids: list[str], size: int, before: int, after: int) -> DataFrame:
     """Spread (ids, __n, __pos, ...) over blocks of ``size`` positions of a circle of ``__n``, each with the
     rows just before and after it.  Adds __block and __at, the position as the block sees it."""
-    n = F.col("__n")
-    last = F.floor((n - 1) / size)
-
-    def copies(shift: int) -> Column:
-        at = (F.col("__pos") + shift * n).cast("long")
-        low = F.greatest(F.floor((at - after) / size), F.lit(0))
-        high = F.least(F.floor((at + before) / size), last)
-        seen = F.transform(F.sequence(low, high), lambda b: F.struct(
-            b.cast("long").alias("__block"), at.alias("__at")))
-        near = F.filter(seen, lambda s: (at >= s["__block"] * size - before)
-                        & (at < F.least((s["__block"] + 1) * size, n) + after))
-        return F.when(low <= high, near).otherwise(
-            F.array().cast("array<struct<__block:bigint,__at:bigint>>"))
-
-    spread = rows.withColumn("__c", F.explode(F.concat(copies(0), copies(1), copies(-1))))
+    n, pos = F.col("__n"), F.col("__pos")
+    own, last = F.floor(pos / size), F.floor((n - 1) / size)
+
+    def copy(block: Column, at: Column) -> Column:
+        return F.struct(block.cast("long").alias("__block"), at.cast("long").alias("__at"))
+
+    zero = F.lit(0)
+    to_previous = (own > 0) & (pos - own * size < after)
+    to_next = (own < last) & ((own + 1) * size - pos <= before)
+    # Across the seam; a last block shorter than the halo lets it reach the block before, too.
+    to_last, to_first = pos < after, pos >= n - before
+    to_last_but_one = (last > 0) & (pos + n < last * size + after)
+    copies = F.array_compact(F.array(
+        copy(own, pos),
+        F.when(to_previous, copy(own - 1, pos)), F.when(to_next, copy(own + 1, pos)),
+        F.when(to_last, copy(last, pos + n)), F.when(to_last_but_one, copy(last - 1, pos + n)),
+        F.when(to_first, copy(zero, pos - n)),
+    ))
+    shared = to_previous | to_next | to_last | to_last_but_one | to_first
+    spread = rows.withColumn("__c", F.explode(F.when(shared, copies).otherwise(F.array(copy(own, pos)))))
     return spread.select(*rows.columns, "__c.__block", "__c.__at")
 
 
@@ -276,19 +289,14 @@ def _level_down(rows: DataFrame, ids: list[str], size: int) -> DataFrame:
 
 def _level_up(rows: DataFrame, ids: list[str], size: int) -> DataFrame:
     """Undo ``_level_down`` for (ids, __n, __pos, __a, __d): (ids, __pos, __x), with the repeated sample."""
-    spread = _blocked(rows, ids, size // 2, TAPS // 2 - 1, 0)
+    spread = _blocked(rows, ids, size // 2, HALO, 0)
     schema = T.StructType([rows.schema[c] for c in ids] + [
         T.StructField("__pos", T.LongType()), T.StructField("__x", T.DoubleType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__at")
-        n, start = int(pdf["__n"].iloc[0]), int(pdf["__block"].iloc[0]) * (size // 2)
-        halo = TAPS // 2 - 1
-        a, d = pdf["__a"].to_numpy(), pdf["__d"].to_numpy()
-        count = min(start + size // 2, n) - start
-        x = np.zeros(2 * len(a) + TAPS)
-        np.add.at(x, 2 * np.arange(len(a))[:, None] + np.arange(TAPS), a[:, None] * LOW + d[:, None] * HIGH)
-        x = x[2 * halo: 2 * (halo + count)]
+        start = int(pdf["__block"].iloc[0]) * (size // 2)
+        x = interleave(pdf["__a"].to_numpy(), pdf["__d"].to_numpy())
         return pd.DataFrame({**{c: [pdf[c].iloc[0]] * len(x) for c in ids},
                              "__pos": 2 * start + np.arange(len(x)), "__x": x})
 

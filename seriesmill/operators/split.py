@@ -38,8 +38,8 @@ def group_holdout(df: DataFrame, n_test: int = 1, test_ids: Sequence | None = No
 def group_numbers(df: DataFrame, key: str = "id", name: str = "group_id",
                   max_rows: int = blocks.MAX_ROWS) -> DataFrame:
     """(name, number): a dense number from 0 for each distinct normalised name, in name order."""
-    names = df.select(normalize_name(F.col(f"`{key}`").cast("string")).alias("name")).distinct()
-    if names.limit(max_rows + 1).count() <= max_rows:
+    names = reliable(df.select(normalize_name(F.col(f"`{key}`").cast("string")).alias("name")).distinct())
+    if names.count() <= max_rows:
         return names.withColumn(name, F.dense_rank().over(Window.orderBy("name")).cast("int") - 1)
     # A spread sort; ids of monotonically_increasing_id hold the partition above 33 bits of position.
     rows = reliable(names.orderBy("name").withColumn("__id", F.monotonically_increasing_id()))
@@ -89,7 +89,7 @@ def fold_assignment(df: DataFrame, n_splits: int = 2, key: str = "id",
     The dealing only needs how many groups there are of each size; the sizes are at most sqrt(2 * rows)
     different numbers.  Each group then finds its fold from its place among the groups of its size.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("__size"))
+    sizes = reliable(df.groupBy(key).agg(F.count(F.lit(1)).alias("__size")))
     loads, runs = [0] * n_splits, []
     for size, count in sizes.groupBy("__size").count().orderBy(F.desc("__size")).collect():
         runs += [(size, *run) for run in _rounds(loads, size, count)]

@@ -58,19 +58,19 @@ def preprocessed(spark, sf_dir):
     return out.select("id", "time", *[neat(F.col(c), None).alias(c) for c in ("ch0", "ch1", "ch2")])
 
 
-@query("feature_pipeline", with_m(
+@query("build_features", with_m(
     "SELECT id, time, " + ", ".join(
         f"round(CASE WHEN count({c}) OVER {_MEDIAN} >= 1 THEN median({c}) OVER {_MEDIAN} END, 6) + 0.0 "
         f"AS {c}_median_120_shift_0" for c in ("ch0", "ch1", "ch2")) + " FROM m"))
-def feature_pipeline(spark, sf_dir):
+def features(spark, sf_dir):
     out, new = build_features(recordings(spark, sf_dir), default_features(min_periods=1))
     return rounded(out.select("id", "time", *new), 6, *new)
 
 
-@query("step_pipeline", with_m("""
+@query("named_steps", with_m("""
     SELECT id, time, round(CASE WHEN count(*) OVER w >= 1 THEN avg(least(greatest(ch2, 0), 50)) OVER w END, 6) + 0.0 AS y
     FROM m WINDOW w AS (PARTITION BY id ORDER BY time ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""))
-def step_pipeline(spark, sf_dir):
+def named_steps(spark, sf_dir):
     """Named steps chained as a Spark ML pipeline."""
     rows = recordings(spark, sf_dir).select("id", "time", "ch2")
     spec = RollingSpec("ch2", "mean", window=3, min_periods=1, name="y")
