@@ -208,6 +208,12 @@ def model_rows(spark, sf_dir):
     return rolling(marked, specs)
 
 
+def held_out_rows(spark, sf_dir):
+    """Model rows with a fifth of the recordings held out."""
+    rows = model_rows(spark, sf_dir)
+    return split.group_holdout(rows, measurements(spark, sf_dir).select("id").distinct().count() // 5)
+
+
 @query("feature_pool", with_m("""
     SELECT id, time, coalesce(ch0, -1e30) AS ch0, CAST(target AS DOUBLE) AS target FROM marked WHERE target >= 0""",
     LABELS_SQL, MARKED_SQL))
@@ -229,7 +235,7 @@ def train_classifier(spark, sf_dir):
 @query("predict")
 def predict(spark, sf_dir):
     """Scores of held-out recordings, averaged over two models."""
-    rows = reliable(split.group_holdout(model_rows(spark, sf_dir), HELD_OUT))
+    rows = reliable(held_out_rows(spark, sf_dir))
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     models = [training.train_classifier(train, FEATURES, seed=s, params=PARAMS) for s in (1, 2)]
     return rounded(training.predict(models, test, FEATURES), 6, "prediction_cont")
@@ -244,6 +250,6 @@ def cross_validate(spark, sf_dir):
 @query("evaluate_test")
 def evaluate_test(spark, sf_dir):
     """The training stage: final model, scores of the held-out recordings, their metrics."""
-    rows = split.group_holdout(model_rows(spark, sf_dir), 60)
+    rows = held_out_rows(spark, sf_dir)
     out = training.train_and_score(rows, FEATURES, skip_cv=True, params=PARAMS)
     return rounded(out["metrics"], 6, *_METRICS)
