@@ -11,7 +11,7 @@ from seriesmill.operators import clean, columns, lookups
 from seriesmill.operators.blocks import long_series
 from seriesmill.operators.windows import RollingSpec, rolling
 from seriesmill.plans.preparation import Step, build_features, default_features, plot_series, preprocess
-from seriesmill.schema import LABELS, TARGET_CODES, FillRule
+from seriesmill.schema import LABELS, FillRule
 from seriesmill.sources import files
 from workload.tables import labels, measurements, neat, query, rounded, scratch, table, with_m
 from workload.windows import BLOCK_ROWS
