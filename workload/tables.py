@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesmill.operators.windows import shift
 from seriesmill.storage import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,12 +63,8 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each value against the previous value of its series."""
-    from pyspark.sql import Window
-
-    m = measurements(spark, sf_dir)
-    previous = F.lag("value").over(Window.partitionBy("id").orderBy("time"))
-    rows = m.select("id", F.col("value").alias("y_true"), previous.alias("y_pred"))
-    return rows.where(F.col("y_pred").isNotNull())
+    m = measurements(spark, sf_dir).select("id", "time", F.col("value").alias("y_true"), F.col("value").alias("y_pred"))
+    return shift(m, {"y_pred": 1}).where(F.col("y_pred").isNotNull()).drop("time")
 
 
 REGRESSION_SQL = """
