@@ -30,9 +30,11 @@ def group_holdout(df: DataFrame, n_test: int = 1, test_ids: Sequence | None = No
                   seed: int = SEED) -> DataFrame:
     """Add ``split``: test for the named or sampled measurements, train for the rest."""
     if test_ids is None:
-        test_ids = [r[0] for r in sample_ids(df, n_test, key, seed).collect()]  # n_test rows
-    is_test = F.coalesce(F.col(f"`{key}`").isin(list(test_ids)), F.lit(False)) if test_ids else F.lit(False)
-    return df.withColumn("split", F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
+        chosen = reliable(sample_ids(df, n_test, key, seed))
+    else:
+        chosen = df.sparkSession.createDataFrame([(i,) for i in test_ids], T.StructType([df.schema[key]])).distinct()
+    marked = attach(df, chosen.withColumn("split", F.lit("test")), [key])
+    return marked.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("split", F.lit("train")).alias("split"))
 
 
 def group_numbers(df: DataFrame, key: str = "id", name: str = "group_id",
