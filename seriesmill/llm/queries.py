@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import bpe
+from seriesmill.llm import bpe, packing, warc
 from seriesmill.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -24,3 +24,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.coded(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), keep_text=False)
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"), least=0)
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
