@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import bpe, packing, pii, quality_knn, quality_rules, warc
+from seriesmill.llm import bpe, fingerprints, packing, pii, quality_knn, quality_rules, warc
 from seriesmill.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -52,3 +52,8 @@ def op1_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                         "failed_bits", "policy")
+
+
+@query
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
