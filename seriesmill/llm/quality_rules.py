@@ -56,7 +56,7 @@ def _repeated(ws: Column) -> Column:
 
 def measured(documents: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """(doc_id, ``keep``..., measurements): every measurement of every whole text, 0 throughout for null."""
-    keep = [c for c in keep or [] if c not in ("doc_id", "text")]
+    keep = [c for c in keep or [] if c != "doc_id"]
     text = F.coalesce(F.col("text"), F.lit(""))
     without = lambda characters: F.length(F.translate(text, characters, ""))
     long = lambda c: c.cast("long")
@@ -72,7 +72,7 @@ def measured(documents: DataFrame, keep: list[str] | None = None) -> DataFrame:
         long(capitals).alias("n_capitals"),
         long(F.length(text) - without("!")).alias("n_exclamations"),
     )
-    rows = pick(documents, "doc_id", "text", *keep).withColumn("_m", F.explode(F.array(counted)))
+    rows = pick(documents, "doc_id", "text", *(c for c in keep if c != "text")).withColumn("_m", F.explode(F.array(counted)))
     places = {"n_words": "_m.w.n_words", "n_repeat_words": "_m.w.n_repeat_words", "n_lines": "_m.l.n_lines", "n_dup_lines": "_m.l.n_dup_lines"}
     return rows.select("doc_id", *keep, *(F.col(places.get(m, f"_m.{m}")).alias(m) for m in MEASURES))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import bpe, fingerprints, lm_scoring, near_dedup, packing, pii, quality_knn, quality_rules, warc
+from seriesmill.llm import bpe, fingerprints, lm_scoring, near_dedup, packing, pii, quality_knn, quality_rules, toxicity, warc
 from seriesmill.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -67,3 +67,8 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
