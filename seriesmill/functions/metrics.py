@@ -121,12 +121,16 @@ def auc(df: DataFrame, by: Sequence[str] = (), y: str = "label", score: str = "s
 
 
 def classification_metrics(df: DataFrame, by: Sequence[str] = (), y: str = "label", p: str = "prediction",
-                           score: str | None = None, max_rows: int = blocks.MAX_ROWS) -> DataFrame:
-    """All classification metrics.  ``score`` is what the ROC curve is drawn from, the class if None."""
+                           score: str | None = None, max_rows: int = blocks.MAX_ROWS,
+                           names: Sequence[str] = CLASSIFICATION) -> DataFrame:
+    """The named classification metrics, all by default.  ``score`` is what the ROC curve is drawn from, the class if
+    None; the curve is only drawn if its area is asked for."""
     df, keys = _grouped(df, by)
     counts = confusion(df, keys, y, p)
-    rates = counts.select(*keys, *[c.alias(n) for n, c in _rates().items()])
-    return rates.join(auc(df, keys, y, score or p, max_rows), keys, "left").select(*by, *CLASSIFICATION)
+    rates = counts.select(*keys, *[c.alias(n) for n, c in _rates().items() if n in names])
+    if "auc" in names:
+        rates = rates.join(auc(df, keys, y, score or p, max_rows), keys, "left")
+    return rates.select(*by, *names)
 
 
 def fold_table(folds: DataFrame, names: Sequence[str] = CLASSIFICATION, fold: str = "fold") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.operators.blocks import micros
+from seriesmill.operators.blocks import micros, ticks_per_second
 
 # Accepted method names.
 METHODS = ("divide", "subtract", "substract", "normalize")
@@ -52,5 +52,8 @@ def map_code(value: Column, codes: Mapping) -> Column:
 
 
 def total_seconds(df: DataFrame, start: str, end: str) -> Column:
-    """Seconds between two time columns, with their fraction."""
-    return (micros(df, end) - micros(df, start)) / F.lit(1_000_000.0)
+    """Seconds between two time columns, with their fraction; numeric columns hold seconds."""
+    units = ticks_per_second(df, start), ticks_per_second(df, end)
+    if units[0] == units[1]:  # the difference of exact numbers is exact
+        return (micros(df, end) - micros(df, start)) / F.lit(float(units[0]))
+    return micros(df, end) / F.lit(float(units[1])) - micros(df, start) / F.lit(float(units[0]))

@@ -31,6 +31,8 @@ BLOCK, PIECE = "__block", "__piece"
 MAX_ROWS = 1_000_000
 # Rows up to which a lookup table is broadcast.
 BROADCAST_ROWS = 4_000_000
+# Bytes up to which it is, whatever its rows.
+BROADCAST_BYTES = 256 << 20
 
 FROM_START = Window.unboundedPreceding
 
@@ -49,6 +51,26 @@ class LongSeries:
         return self.n_series > 0
 
 
+def width(table: DataFrame) -> Column:
+    """Bytes of a row, about: fixed types by their size, strings by their length, others by that of their text."""
+    total = F.lit(16).cast("long")
+    for f in table.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + 8 + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + 16 + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            total = total + 16
+    return total
+
+
+def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """May the table be broadcast, by its counted rows and bytes?"""
+    n, size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(width(table)), F.lit(0))).first()
+    return n <= rows and size <= BROADCAST_BYTES
+
+
 def hinted(table: DataFrame, rows: int) -> DataFrame:
     """Broadcast a table whose row count is known to be small; otherwise leave the choice to Spark."""
     return F.broadcast(table) if rows <= BROADCAST_ROWS else table
@@ -72,6 +94,11 @@ def micros(df: DataFrame, column: str) -> Column:
     raise TypeError(f"{column} must be a time or numeric column, not {dtype.simpleString()}")
 
 
+def ticks_per_second(df: DataFrame, column: str) -> int:
+    """Units of ``micros`` in a second: numbers are seconds, times are microseconds."""
+    return 1 if isinstance(df.schema[column].dataType, T.NumericType) else 1_000_000
+
+
 def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on keys that may be NULL; the key columns of ``table`` are not kept."""
     right = table.withColumnsRenamed({k: f"__right_{k}" for k in keys})
@@ -102,35 +129,83 @@ class Cut(NamedTuple):
     n_blocks: int
 
 
+# Where a value stands in the order of a window: NULL, -Infinity, finite, Infinity, NaN.
+_EDGES = 6  # block numbers besides those of the spans
+
+
+def _standing(at: Column) -> Column:
+    return (F.when(at.isNull(), 0).when(at == float("-inf"), 1).when(F.isnan(at), 4)
+            .when(at == float("inf"), 3).otherwise(2))
+
+
+def _cut_columns(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """What blocks can be cut along: the order columns up to the first that is no number or time and, if there is
+    none, a hash of the row, since rows that tie in all of them come in any order."""
+    out = []
+    for column in order:
+        try:
+            out.append(micros(df, column).cast("double"))
+        except TypeError:
+            return out
+    plain = [F.col(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    return [*out, F.xxhash64(*plain).cast("double")]
+
+
 def cut(df: DataFrame, ids: Sequence[str], order: Sequence[str], found: LongSeries, max_rows: int) -> Cut:
     """Cut the long series into blocks.
 
-    Blocks are equal spans of the first order column.  Where rows are bunched, a span that still holds
-    more than 2 * max_rows is cut again, until none does.
+    Blocks are equal spans of the first order column; rows without a finite value stand in blocks of their own, where
+    the order puts them.  A block that still holds more than 2 * max_rows rows is cut again, along the next order
+    column where the first is the same for all its rows, until none does or all its rows are alike.
     """
-    at = micros(df, order[0]).cast("double")
-    stats = ("__n", "__lo", "__hi")
-    wide = (F.col("__n") > 2 * max_rows) & (F.col("__lo") < F.col("__hi"))
+    along = _cut_columns(df, order)
+    kept = list(df.columns)
     spans = F.ceil(F.col("__n") / max_rows).cast("long")
 
-    def span() -> Column:
-        return F.coalesce(F.width_bucket(at, F.col("__lo"), F.col("__hi"), spans), F.lit(0)).cast("long")
-
-    rows = lookup(df, hinted(found.table, found.n_series), ids, "left")
-    rows = rows.withColumn(BLOCK, F.when(F.col("__n").isNotNull(), span())).drop(*stats)
+    def differs(j: int) -> Column:
+        return (F.col(f"__least{j}") < F.col(f"__most{j}")) | F.coalesce(F.col(f"__lo{j}") < F.col(f"__hi{j}"), F.lit(False))
+
+    def stats(rows: DataFrame) -> DataFrame:
+        """One row per block; __by is the column to cut along, NULL if the block is done."""
+        made = [F.count(F.lit(1)).alias("__n")]
+        for j, at in enumerate(along):
+            finite = F.when(_standing(at) == 2, at)
+            made += [F.min(finite).alias(f"__lo{j}"), F.max(finite).alias(f"__hi{j}"),
+                     F.min(_standing(at)).alias(f"__least{j}"), F.max(_standing(at)).alias(f"__most{j}")]
+        by = functools.reduce(lambda rest, j: F.when(differs(j), F.lit(j)).otherwise(rest), reversed(range(len(along))),
+                              F.lit(None).cast("int"))
+        sizes = rows.where(F.col(BLOCK).isNotNull()).groupBy(*ids, BLOCK).agg(*made)
+        return reliable(sizes.withColumn("__by", F.when(F.col("__n") > 2 * max_rows, by)))
+
+    def part(at: Column, lo: Column, hi: Column) -> Column:
+        """Place of a row among the parts of its block."""
+        inside = F.coalesce(F.width_bucket(at, lo, hi, spans), F.lit(0)).cast("long") + 2
+        standing = _standing(at)
+        return F.when(standing < 2, standing).when(standing == 2, inside).otherwise(standing + 1 + spans)
+
+    marked = hinted(found.table.select(*ids, F.lit(0).cast("long").alias(BLOCK)), found.n_series)
+    rows, before = lookup(df, marked, ids, "left"), 0
     while True:
-        sizes = reliable(rows.where(F.col(BLOCK).isNotNull()).groupBy(*ids, BLOCK).agg(
-            F.count(F.lit(1)).alias("__n"), F.min(at).alias("__lo"), F.max(at).alias("__hi")
-        ))
-        n_blocks, n_wide = sizes.agg(F.count(F.lit(1)), F.count_if(wide)).first()
+        sizes = stats(rows)
+        n_blocks, n_wide = sizes.agg(F.count(F.lit(1)), F.count("__by")).first()
         if not n_wide:
-            return Cut(rows, sizes, n_blocks)
+            return Cut(rows, sizes.select(*ids, BLOCK, "__n"), n_blocks)
+        if n_blocks <= before:
+            raise RuntimeError("a long series cannot be cut further along its order columns")
+        before = n_blocks
         # Number the blocks anew, leaving room for the parts of the wide ones.
-        room = F.sum(F.when(wide, spans + 2).otherwise(1)).over(
+        wide = F.col("__by").isNotNull()
+        room = F.sum(F.when(wide, spans + _EDGES).otherwise(1)).over(
             Window.partitionBy(*ids).orderBy(BLOCK).rowsBetween(FROM_START, -1))
-        places = sizes.select(*ids, BLOCK, *stats, F.coalesce(room, F.lit(0)).alias("__start"))
+        low, high = (functools.reduce(lambda rest, j, s=side: F.when(F.col("__by") == j, F.col(f"__{s}{j}")).otherwise(rest),
+                                      range(len(along)), F.lit(None).cast("double")) for side in ("lo", "hi"))
+        places = sizes.select(*ids, BLOCK, "__n", "__by", low.alias("__lo"), high.alias("__hi"),
+                              F.coalesce(room, F.lit(0)).cast("long").alias("__start"))
         rows = lookup(rows, hinted(places, n_blocks), [*ids, BLOCK], "left")
-        rows = rows.withColumn(BLOCK, F.col("__start") + F.when(wide, span()).otherwise(0)).drop(*stats, "__start")
+        at = functools.reduce(lambda rest, j: F.when(F.col("__by") == j, along[j]).otherwise(rest), range(len(along)),
+                              F.lit(None).cast("double"))
+        placed = F.col("__start") + F.when(wide, part(at, F.col("__lo"), F.col("__hi"))).otherwise(0)
+        rows = rows.select(*[F.col(f"`{c}`") for c in kept], placed.alias(BLOCK))
 
 
 def only(df: DataFrame, ids: Sequence[str], found: LongSeries) -> DataFrame:

@@ -12,6 +12,8 @@ from seriesmill.operators import blocks
 from seriesmill.schema import FillRule
 
 _FLOATING = (T.FloatType, T.DoubleType)
+_RANGES = {t: (-(2 ** (8 * n - 1)), 2 ** (8 * n - 1) - 1)
+           for t, n in ((T.ByteType, 1), (T.ShortType, 2), (T.IntegerType, 4), (T.LongType, 8))}
 
 
 def _floating(df: DataFrame, columns: Iterable[str] | None) -> list[str]:
@@ -31,10 +33,26 @@ def inf_to_null(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
 
 
 def clip(df: DataFrame, bounds: Mapping[str, tuple[float | None, float | None]] | None) -> DataFrame:
-    """Clamp to (lower, upper); a bound of None is open and missing stays missing."""
+    """Clamp to (lower, upper); a bound of None is open and missing stays missing.
+
+    Integers are compared as they are wide enough for.  They keep their type unless a bound that rows can be set to
+    does not fit it: then the column becomes bigint, or double for a bound with a fraction.
+    """
     def clamped(name: str) -> Column:
         dtype, (lower, upper) = df.schema[name].dataType, bounds[name]
         c = x = F.col(f"`{name}`")
+        if isinstance(dtype, T.IntegralType):
+            given = [b for b in (lower, upper) if b is not None and abs(b) != float("inf")]
+            wide = T.LongType() if all(float(b).is_integer() and abs(b) < 2**63 for b in given) else T.DoubleType()
+            x = x.cast(wide)
+            whole = isinstance(wide, T.LongType)
+            if lower is not None and lower in given:
+                x = F.greatest(x, F.lit(int(lower) if whole else float(lower)).cast(wide))
+            if upper is not None and upper in given:
+                x = F.least(x, F.lit(int(upper) if whole else float(upper)).cast(wide))
+            low, high = _RANGES[type(dtype)]
+            fits = whole and (lower is None or lower <= high) and (upper is None or upper >= low)
+            return F.when(c.isNotNull(), x.cast(dtype) if fits else x)
         if lower is not None:
             x = F.greatest(x, F.lit(lower).cast(dtype))
         if upper is not None:

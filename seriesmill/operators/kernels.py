@@ -59,6 +59,95 @@ def numbers(rows: pa.Table, column: str) -> np.ndarray:
     return np.where(np.isfinite(x), x, np.nan)
 
 
+# What frames can be merged from: count, sum, mean and central moments, least and greatest value.
+MERGED = ("sum", "mean", "min", "max", "std", "var", "sem", "skew", "kurt")
+
+
+def _merge(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """What two sets of values give together: moments about the common mean, without subtracting totals."""
+    n = a["n"] + b["n"]
+    some = np.maximum(n, 1)
+    out = {"n": n, "sum": a["sum"] + b["sum"], "min": np.fmin(a["min"], b["min"]), "max": np.fmax(a["max"], b["max"])}
+    if "mean" in a:
+        d = np.where((a["n"] > 0) & (b["n"] > 0), b["mean"] - a["mean"], 0.0)
+        share = b["n"] / some
+        out["mean"] = np.where(a["n"] > 0, a["mean"] + d * share, b["mean"])
+        out["m2"] = a["m2"] + b["m2"] + d * d * a["n"] * share
+        if "m3" in a:
+            out["m3"] = (a["m3"] + b["m3"] + d**3 * a["n"] * share * (a["n"] - b["n"]) / some
+                         + 3 * d * (a["n"] * b["m2"] - b["n"] * a["m2"]) / some)
+        if "m4" in a:
+            na, nb = a["n"], b["n"]
+            out["m4"] = (a["m4"] + b["m4"] + d**4 * na * share * (na * na - na * nb + nb * nb) / (some * some)
+                         + 6 * d * d * (na * na * b["m2"] + nb * nb * a["m2"]) / (some * some)
+                         + 4 * d * (na * b["m3"] - nb * a["m3"]) / some)
+    return out
+
+
+def _single(x: np.ndarray, moments: int) -> dict[str, np.ndarray]:
+    """Sets of one value, or of none where it is missing."""
+    known = ~np.isnan(x)
+    out = {"n": known.astype("float64"), "sum": np.where(known, x, 0.0), "min": x, "max": x}
+    if moments >= 2:
+        out["mean"] = out["sum"]
+        out |= {f"m{p}": np.zeros(len(x)) for p in range(2, moments + 1)}
+    return out
+
+
+def merged_frames(x: np.ndarray, starts: np.ndarray, ends: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int,
+                  moments: int) -> dict[str, np.ndarray]:
+    """Count, sum, extremes and moments of every frame of at most ``width`` rows.
+
+    Each series is cut into chunks of ``width`` rows.  Inside a chunk sets grow row by row, from its start and from its
+    end, for all chunks of all series at once.  A frame is the end of one chunk and the start of the next, so nothing
+    is ever taken away again and nothing outside the frame plays a part.
+    """
+    first = np.concatenate([np.arange(a, b, width) for a, b in zip(starts, ends)]).astype("int64")
+    last = np.minimum(first + width, np.repeat(ends, -(-(ends - starts) // width)))
+    chunk = np.repeat(np.arange(len(first)), last - first)
+    ones = _single(x, moments)
+    ahead, behind = ({k: v.copy() for k, v in ones.items()} for _ in range(2))
+    for step in range(1, int((last - first).max(initial=1))):
+        for store, at, by in ((ahead, first + step, -1), (behind, last - 1 - step, 1)):
+            at = at[(first + step) < last]
+            both = _merge({k: v[at + by] for k, v in store.items()}, {k: v[at] for k, v in ones.items()})
+            for k, v in both.items():
+                store[k][at] = v
+    held = end > begin
+    lo, hi = np.where(held, begin, 0), np.where(held, end - 1, 0)
+    whole = _merge({k: v[lo] for k, v in behind.items()}, {k: v[hi] for k, v in ahead.items()})
+    same = chunk[lo] == chunk[hi]
+    from_start = same & (lo == first[chunk[lo]])
+    out = {k: np.where(from_start, ahead[k][hi], np.where(same, behind[k][lo], v)) for k, v in whole.items()}
+    out["n"] = np.where(held, out["n"], 0.0)
+    return out
+
+
+def result_of(func: str, sets: dict[str, np.ndarray], least: int) -> np.ndarray:
+    """A function of ``MERGED`` from the sets of the frames that hold ``least`` values."""
+    n = sets["n"]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        if func in ("sum", "min", "max"):
+            value = sets[func]
+        elif func == "mean":
+            value = sets["sum"] / n
+        else:
+            variance = np.where(n > 1, sets["m2"] / (n - 1), np.nan)
+            if func == "var":
+                value = variance
+            elif func == "std":
+                value = np.sqrt(variance)
+            elif func == "sem":
+                value = np.where(n > 1, np.sqrt(variance) / np.sqrt(n - 1), np.nan)
+            elif func == "skew":
+                g1 = np.sqrt(n) * sets["m3"] / sets["m2"] ** 1.5
+                value = np.where(n >= 3, np.where(sets["m2"] == 0, 0.0, g1 * np.sqrt(n * (n - 1)) / (n - 2)), np.nan)
+            else:
+                g2 = n * sets["m4"] / sets["m2"] ** 2 - 3
+                value = np.where(n >= 4, np.where(sets["m2"] == 0, -3.0, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)), np.nan)
+    return np.where(n >= max(1, least), value, np.nan)
+
+
 class _Frames(BaseIndexer):
     """Frames given row by row."""
 
@@ -77,9 +166,9 @@ def frames(starts: np.ndarray, ends: np.ndarray, first: int | None, last: int) -
 
 def slide(x: np.ndarray, begin: np.ndarray, end: np.ndarray, func: str | Callable | None, q: float | None,
           least: int) -> np.ndarray:
-    """A function, or a quantile, of each frame that holds ``least`` values (rows, for count).
+    """A median, rank, quantile or custom function of each frame that holds ``least`` values; rows, for count.
 
-    A custom function sees the whole frame with its missing values.
+    These only compare values, or see one frame alone: a custom function gets it with its missing values.
     """
     if func == "count":
         held = np.concatenate([[0], np.cumsum(~np.isnan(x))])

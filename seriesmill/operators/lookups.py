@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,24 +20,38 @@ def attach(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left"
            max_rows: int = blocks.MAX_ROWS, broadcast_rows: int = blocks.BROADCAST_ROWS) -> DataFrame:
     """Join rows to a table with one row per key.
 
-    The table is broadcast if its counted rows allow.  Beyond that the rows are shuffled, except those of
-    keys with more than ``max_rows`` rows: these keys are few, so their part of the table is broadcast.
+    The table is broadcast if its counted rows and bytes allow.  Beyond that the rows are shuffled, except those of
+    keys with more than ``max_rows`` rows: these keys are few, and their part of the table is broadcast if it passes
+    the same check.  Rows without a key match nothing and are spread.
     """
     on = list(on)
-    if table.count() <= broadcast_rows:
+    if blocks.small(table, broadcast_rows):
         return df.join(F.broadcast(table), on, how)
-    heavy = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows).select(*on)
+    heavy = df.where(_all_known(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows).select(*on)
     heavy = reliable(heavy)
-    if heavy.isEmpty():
-        return df.join(table, on, how)
-    small = F.broadcast(heavy)
-    few = F.broadcast(table.join(small, on, "left_semi"))
-    return (df.join(small, on, "left_semi").join(few, on, how)
-            .unionByName(df.join(small, on, "left_anti").join(table, on, how)))
+    few = None if heavy.isEmpty() else table.join(heavy, on, "left_semi")
+    if few is None or not blocks.small(few, broadcast_rows):
+        return _spread_join(df, table, on, how)
+    keys = F.broadcast(heavy)  # its rows are no more than those of few and of df / max_rows
+    return (df.join(keys, on, "left_semi").join(F.broadcast(few), on, how)
+            .unionByName(_spread_join(df.join(keys, on, "left_anti"), table, on, how)))
+
+
+def _all_known(on: Sequence[str]) -> Column:
+    return functools.reduce(operator.and_, [F.col(f"`{c}`").isNotNull() for c in on])
+
+
+def _spread_join(df: DataFrame, table: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """A join on keys whose rows without a key, which match nothing, do not meet in one task."""
+    def salted(rows: DataFrame) -> DataFrame:
+        spread = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16))
+        return rows.withColumn("__salt", F.when(_all_known(on), F.lit(0).cast("long")).otherwise(spread + 1))
+
+    return salted(df).join(salted(table), [*on, "__salt"], how).drop("__salt")
 
 
 def _last_per_key(table: DataFrame, key: str, value: str, order: str | None) -> DataFrame:
-    at = F.col(f"`{order}`") if order else F.monotonically_increasing_id()
+    at = F.col(f"`{order}`") if order else F.struct(F.input_file_name(), F.monotonically_increasing_id())
     return table.select(key, value, at.alias("__at")).groupBy(key).agg(F.max_by(value, "__at").alias(value))
 
 
@@ -61,7 +77,7 @@ def decode_groups(df: DataFrame, mapping: DataFrame, group: str = "group_id", na
 
 def attach_predictions(df: DataFrame, predictions: DataFrame, on: Sequence[str] = ("id", "time")) -> DataFrame:
     """Rows and predictions side by side, matched on the row key; unmatched rows of both stay."""
-    return df.join(predictions, list(on), "full_outer")
+    return _spread_join(df, predictions, list(on), "full_outer")
 
 
 def audit_missing(expected: DataFrame, processed: DataFrame, key: str = "id") -> DataFrame:

@@ -10,21 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesmill.operators import blocks
-from seriesmill.operators.blocks import micros
-from seriesmill.operators.lookups import attach
+from seriesmill.operators.blocks import micros, ticks_per_second
 from seriesmill.operators.windows import diff
-from seriesmill.storage import reliable
 
 DAY = 86_400
 # Grid buckets made from one row; longer grids grow in two steps.
 GRID_ROWS = 100_000
 
 
-def _unit(df: DataFrame, time: str) -> int:
-    """Ticks of a time column per second: microseconds for times, seconds for numbers."""
-    return 1 if isinstance(df.schema[time].dataType, T.NumericType) else 1_000_000
-
-
 def common_timestep(df: DataFrame, times: Sequence[str] = ("time",), ids: Sequence[str] = ("id",),
                     per_series: bool = False, max_rows: int = blocks.MAX_ROWS) -> DataFrame:
     """Most frequent step between neighbouring rows of a series, in whole seconds, as ``time_step``.
@@ -40,7 +33,7 @@ def common_timestep(df: DataFrame, times: Sequence[str] = ("time",), ids: Sequen
         gaps = diff(ticks, "__t", "__d", ids, ["__t"], max_rows).where(F.col("__d").isNotNull())
         counts = gaps.groupBy(*by, "__d").agg(F.count(F.lit(1)).alias("__n"))
         mode = F.min(F.struct(-F.col("__n"), F.col("__d")))["__d"]
-        steps.append(counts.groupBy(*by).agg((mode / _unit(df, time)).cast("long").alias("time_step")))
+        steps.append(counts.groupBy(*by).agg((mode / ticks_per_second(df, time)).cast("long").alias("time_step")))
     out = steps[0]
     for other in steps[1:]:
         out = out.unionByName(other)
@@ -63,7 +56,7 @@ def resample_mean(df: DataFrame, time_step: int | None = None, time: str = "time
         time_step = common_timestep(df, [time], ids, max_rows=max_rows).first()["time_step"]
         if not time_step:
             raise ValueError("rows are less than a second apart or alone; give time_step")
-    unit = _unit(df, time)
+    unit = ticks_per_second(df, time)
     step, day = time_step * unit, DAY * unit
     # Midnights are whole days apart, so rows can be summed in cells that divide both the step and a day
     # before the origin of their series is known.
@@ -77,7 +70,8 @@ def resample_mean(df: DataFrame, time_step: int | None = None, time: str = "time
         *[F.sum(F.col(f"`{c}`").cast("double")).alias(f"__s{i}") for i, c in enumerate(columns)],
         *[F.count(f"`{c}`").alias(f"__n{i}") for i, c in enumerate(columns)],
     )
-    spans = df.groupBy(*ids).agg(F.min(t).alias("__min"), F.max(t).alias("__max"))
+    # Cells divide steps and days, so the first and the last one stand for the first and the last row.
+    spans = sums.groupBy(*ids).agg(F.min("__t").alias("__min"), F.max("__t").alias("__max"))
     spans = spans.select(*ids, whole(F.col("__min"), day).alias("__day"), "__min", "__max")
 
     def bucket(x: Column) -> Column:
@@ -86,8 +80,7 @@ def resample_mean(df: DataFrame, time_step: int | None = None, time: str = "time
     if time_step == cell // unit:
         buckets = sums
     else:
-        spans = reliable(spans)  # one row per series, read several times
-        placed = attach(sums, spans.select(*ids, "__day"), ids, max_rows=max_rows)
+        placed = blocks.lookup(sums, spans.select(*ids, "__day"), ids, "left")
         buckets = placed.withColumn("__t", F.col("__day") + bucket(F.col("__t")) * step).drop("__day")
     grid = spans.select(*ids, "__day", bucket(F.col("__min")).alias("__a"), bucket(F.col("__max")).alias("__b"))
     grid = grid.withColumn("__c", F.explode(F.sequence("__a", "__b", F.lit(GRID_ROWS).cast("long"))))

@@ -20,10 +20,35 @@ def _seeded(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(f"`{key}`").cast("string")))
 
 
+# Ids of one hash prefix that are sorted in one place; a fuller prefix is looked at more closely.
+FEW_IDS = 100_000
+
+
 def sample_ids(df: DataFrame, n: int = 1, key: str = "id", seed: int = SEED) -> DataFrame:
-    """``n`` ids in the order of a seeded hash: the same under any partitioning."""
-    ids = df.select(key).distinct()
-    return ids.orderBy(_seeded(key, seed), key).limit(n)
+    """``n`` ids in the order of a seeded hash: the same under any partitioning.
+
+    The n-th hash is found by counting prefixes, at most 65,536 of them at a time, and the ids up to it are
+    filtered: however many are asked for, they stay spread.
+    """
+    ids = reliable(df.select(key).where(F.col(f"`{key}`").isNotNull()).distinct().withColumn("__hash", _seeded(key, seed)))
+    if n <= 0:
+        return ids.limit(0).select(key)
+    left, prefix = n, ""
+    while True:
+        here = ids.where(F.col("__hash").startswith(prefix)) if prefix else ids
+        counts = here.groupBy(F.substring("__hash", 1, len(prefix) + 4).alias("p")).count().orderBy("p").collect()
+        if sum(r["count"] for r in counts) < left:
+            return ids.select(key)  # fewer ids than asked for
+        for p, count in counts:
+            if left <= count:
+                break
+            left -= count
+        prefix = p
+        if count <= FEW_IDS or len(prefix) >= 32:
+            break
+    last = ids.where(F.col("__hash").startswith(prefix)).orderBy("__hash", key).limit(left).collect()[-1]
+    hash_, value = F.lit(last["__hash"]), F.lit(last[key])
+    return ids.where((F.col("__hash") < hash_) | ((F.col("__hash") == hash_) & (F.col(f"`{key}`") <= value))).select(key)
 
 
 def group_holdout(df: DataFrame, n_test: int = 1, test_ids: Sequence | None = None, key: str = "id",
@@ -37,27 +62,29 @@ def group_holdout(df: DataFrame, n_test: int = 1, test_ids: Sequence | None = No
     return marked.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("split", F.lit("train")).alias("split"))
 
 
-def group_numbers(df: DataFrame, key: str = "id", name: str = "group_id",
-                  max_rows: int = blocks.MAX_ROWS) -> DataFrame:
-    """(name, number): a dense number from 0 for each distinct normalised name, in name order."""
-    names = reliable(df.select(normalize_name(F.col(f"`{key}`").cast("string")).alias("name")).distinct())
-    if names.count() <= max_rows:
-        return names.withColumn(name, F.dense_rank().over(Window.orderBy("name")).cast("int") - 1)
-    # A spread sort; ids of monotonically_increasing_id hold the partition above 33 bits of position.
-    rows = reliable(names.orderBy("name").withColumn("__id", F.monotonically_increasing_id()))
+def numbered(rows: DataFrame, by: str, name: str) -> DataFrame:
+    """Rows with their place from 0 in the order of a column: a spread sort, at every size."""
+    kept = rows.columns
+    # Ids of monotonically_increasing_id hold the partition above 33 bits of position.
+    rows = reliable(rows.orderBy(by).withColumn("__id", F.monotonically_increasing_id()))
     part, place = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
-    rows = rows.select("name", part.alias("__part"), place.alias("__place"))
+    rows = rows.select(*kept, part.alias("__part"), place.alias("__place"))
     counts = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # one row per partition
     before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(blocks.FROM_START, -1))
     starts = counts.select("__part", F.coalesce(before, F.lit(0)).alias("__start"))
-    numbered = rows.join(F.broadcast(starts), "__part")
-    return numbered.select("name", (F.col("__start") + F.col("__place")).alias(name))
+    return rows.join(F.broadcast(starts), "__part").select(*kept, (F.col("__start") + F.col("__place")).alias(name))
+
+
+def group_numbers(df: DataFrame, key: str = "id", name: str = "group_id") -> DataFrame:
+    """(name, number): a dense bigint from 0 for each distinct normalised name, in name order."""
+    names = df.select(normalize_name(F.col(f"`{key}`").cast("string")).alias("name")).distinct()
+    return numbered(names, "name", name)
 
 
 def group_ids(df: DataFrame, key: str = "id", name: str = "group_id",
               max_rows: int = blocks.MAX_ROWS) -> DataFrame:
     """Add the group number of each row; names that agree after normalising share one."""
-    numbers = group_numbers(df, key, name, max_rows).withColumnRenamed("name", "__name")
+    numbers = group_numbers(df, key, name).withColumnRenamed("name", "__name")
     named = df.withColumn("__name", normalize_name(F.col(f"`{key}`").cast("string")))
     return attach(named, numbers, ["__name"], max_rows=max_rows).drop("__name")
 
@@ -101,9 +128,8 @@ def fold_assignment(df: DataFrame, n_splits: int = 2, key: str = "id",
     if isinstance(df.schema[key].dataType, T.NumericType):
         order = [key]
     else:
-        sizes = sizes.withColumn("__order", F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 12), 16, 10)
-                                 .cast("long"))
-        order = ["__order", key]
+        sizes = numbered(sizes, key, "__order")
+        order = ["__order"]
     ranked = blocks.number_rows(sizes, ["__size"], order, "__place", max_rows)
     ranked = ranked.join(blocks.hinted(table, len(runs)), "__size")
     place = F.col("__place")

@@ -214,6 +214,7 @@ def _features(df: DataFrame, specs: Sequence[RollingSpec], keys: Sequence[str],
 
     def compute(rows: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
         sources = {s.source: kernels.numbers(rows, s.source) for s in wide}
+        sets = {}
         for s in wide:
             first, last = (None, 0) if s.window is None else s.reach
             begin, end = kernels.frames(starts, ends, first, last)
@@ -221,6 +222,12 @@ def _features(df: DataFrame, specs: Sequence[RollingSpec], keys: Sequence[str],
             if s.win_type:
                 taps = weights(s.win_type, s.window, s.std)
                 yield kernels.slide_weighted(x, begin, end, first, taps, s.func == "mean", s.least)
+            elif s.func in kernels.MERGED and s.window is not None:
+                frame = s.source, first, last
+                if frame not in sets:
+                    moments = max(_MOMENT.get(o.func, 0) for o in wide if o.window is not None and (o.source, *o.reach) == frame)
+                    sets[frame] = kernels.merged_frames(x, starts, ends, begin, end, last - first + 1, moments)
+                yield kernels.result_of(s.func, sets[frame], s.least)
             else:
                 yield kernels.slide(x, begin, end, s.func, s.quantile, s.least)
 
@@ -325,15 +332,21 @@ def _apply(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str],
 
 def rolling(df: DataFrame, specs: Sequence[RollingSpec], ids: Sequence[str] = ("id",),
             order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS,
-            found: blocks.LongSeries | None = None) -> DataFrame:
+            found: blocks.LongSeries | None = None, keep: Sequence[str] | None = None) -> DataFrame:
     """Add one column per spec.  ``order`` must be a total order within a series.  ``found`` passes on a
-    check of the same series."""
+    check of the same series.  ``keep`` names the other columns of the result, all by default: wide frames run in
+    Python, which Spark cannot prune, so what is not kept neither goes there nor is read."""
     ids, order = list(ids), list(order)
     for spec in specs:
         for column in (spec.source, spec.filter_column):
             if column is not None and column not in df.columns:
                 raise KeyError(column)
     shifts = {s.column: s.shift for s in specs if s.shift}
+    if keep is not None:
+        named = dict.fromkeys([*ids, *order, *keep])
+        needed = dict.fromkeys([*named, *(s.source for s in specs), *(s.filter_column for s in specs if s.filter_column)])
+        out = rolling(df.select(*[F.col(f"`{c}`") for c in needed]), specs, ids, order, max_rows, found)
+        return out.select(*[F.col(f"`{c}`") for c in [*named, *(s.column for s in specs)]])
 
     def in_one(rows: DataFrame, group: list[RollingSpec], keys: list[str]) -> DataFrame:
         return _features(rows, group, keys, order)

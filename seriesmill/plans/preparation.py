@@ -70,12 +70,13 @@ def default_features(channels: Sequence[str] = CHANNELS, min_periods: int | None
 
 
 def feature_pipeline(specs: Sequence[RollingSpec] | None = None, ids: Sequence[str] = ("id",),
-                     order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS) -> Pipeline:
-    """Infinities to missing, then the features."""
+                     order: Sequence[str] = ("time",), max_rows: int = blocks.MAX_ROWS,
+                     found: blocks.LongSeries | None = None, keep: Sequence[str] | None = None) -> Pipeline:
+    """Infinities to missing, then the features.  ``found`` and ``keep`` as in ``rolling``."""
     specs = default_features() if specs is None else list(specs)
     return Pipeline(stages=[
         Step("inf_to_null"),
-        Step("rolling", specs=specs, ids=ids, order=order, max_rows=max_rows),
+        Step("rolling", specs=specs, ids=ids, order=order, max_rows=max_rows, found=found, keep=keep),
     ])
 
 

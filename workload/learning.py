@@ -36,7 +36,7 @@ def group_holdout_named(spark, sf_dir):
 
 
 _NUMBERS = with_m("""
-    SELECT id, time, CAST(dense_rank() OVER (ORDER BY upper(replace(CAST(id AS VARCHAR), ' ', ''))) - 1 AS INTEGER)
+    SELECT id, time, CAST(dense_rank() OVER (ORDER BY upper(replace(CAST(id AS VARCHAR), ' ', ''))) - 1 AS BIGINT)
            AS group_id FROM m""")
 
 
@@ -47,9 +47,8 @@ def group_ids(spark, sf_dir):
 
 @query("group_ids_sorted", _NUMBERS)
 def group_ids_sorted(spark, sf_dir):
-    """As with more names than one task may number: by a spread sort."""
-    out = split.group_ids(measurements(spark, sf_dir).select("id", "time"), max_rows=100)
-    return out.withColumn("group_id", F.col("group_id").cast("int"))
+    """With a limit that cuts the rows of a name: the same numbers, of the same type."""
+    return split.group_ids(measurements(spark, sf_dir).select("id", "time"), max_rows=100)
 
 
 def folds_sql(k: int) -> str:
@@ -71,6 +70,22 @@ def group_kfold(spark, sf_dir):
     return split.group_kfold(measurements(spark, sf_dir).select("id", "time"), 4)
 
 
+@query("group_kfold_names", folds_sql(3).replace("m.id, m.time", "'r' || lpad(CAST(m.id AS VARCHAR), 6, '0') AS id, m.time"))
+def group_kfold_names(spark, sf_dir):
+    """Ids that are strings: ties by name, which here is the order of their numbers."""
+    m = measurements(spark, sf_dir).select(F.concat(F.lit("r"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("id"), "time")
+    return split.group_kfold(m, 3)
+
+
+@query("group_holdout_fifth", with_m(
+    "SELECT id, time, CASE WHEN id IN (SELECT id FROM fifth) THEN 'test' ELSE 'train' END AS split FROM m",
+    """fifth AS (SELECT id FROM (SELECT id, row_number() OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) AS r,
+                                        count(*) OVER () AS n FROM (SELECT DISTINCT id FROM m)) WHERE r <= n // 5)"""))
+def group_holdout_fifth(spark, sf_dir):
+    m = measurements(spark, sf_dir).select("id", "time")
+    return split.group_holdout(m, m.select("id").distinct().count() // 5)
+
+
 @query("write_split", with_m("""
     SELECT CASE WHEN id IN (SELECT id FROM test) THEN 'test' ELSE 'train' END AS part, id, count(*) AS n
     FROM m GROUP BY ALL""", _TEST))
@@ -158,7 +173,7 @@ def confusion(spark, sf_dir):
 for _name, _expr in RATE_SQL.items():
     query(_name, with_m(f"SELECT part, {single(_expr)} AS {_name} FROM c", CLASSIFICATION_SQL, _COUNTS))(
         lambda spark, sf_dir, n=_name: rounded(
-            metrics.classification_metrics(classification(spark, sf_dir), ["part"]).select("part", n), None, n))
+            metrics.classification_metrics(classification(spark, sf_dir), ["part"], names=[n]), None, n))
 
 _AUC_SQL = with_m(f"SELECT part, {single('auc')} AS auc FROM a", CLASSIFICATION_SQL, _AUC)
 
@@ -197,7 +212,8 @@ def ensemble_mean(spark, sf_dir):
 # ---------------------------------------------------------------- training
 
 FEATURES = ["ch0", "ch1", "ch2", "kind", "ch0_mean", "ch1_max"]
-PARAMS = {"maxIter": 3, "maxDepth": 3}
+# A class that one feature tells, so that SQL can say what a right model gives.
+CLICK = "CASE WHEN kind = 'click' THEN 1 ELSE 0 END"
 
 
 def model_rows(spark, sf_dir):
@@ -208,9 +224,17 @@ def model_rows(spark, sf_dir):
     return rolling(marked, specs)
 
 
+def click_rows(spark, sf_dir):
+    return model_rows(spark, sf_dir).withColumn("target", F.expr(CLICK))
+
+
+_FIFTH = """fifth AS (SELECT id FROM (SELECT id, row_number() OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) AS r,
+                                             count(*) OVER () AS n FROM (SELECT DISTINCT id FROM m)) WHERE r <= n // 5)"""
+
+
 def held_out_rows(spark, sf_dir):
     """Model rows with a fifth of the recordings held out."""
-    rows = model_rows(spark, sf_dir)
+    rows = click_rows(spark, sf_dir)
     return split.group_holdout(rows, measurements(spark, sf_dir).select("id").distinct().count() // 5)
 
 
@@ -221,35 +245,41 @@ def feature_pool(spark, sf_dir):
     return training.feature_pool(model_rows(spark, sf_dir), ["ch0"]).select("id", "time", "ch0", "target")
 
 
-@query("train_classifier")
+@query("train_classifier", "SELECT unnest(['ch0', 'ch1', 'ch2', 'kind', 'ch0_mean', 'ch1_max']) AS feature, "
+       "unnest([0.0, 0.0, 0.0, 1.0, 0.0, 0.0])::DOUBLE AS weight")
 def train_classifier(spark, sf_dir):
     """How much each feature weighs in a model that was saved and loaded."""
-    model = training.train_classifier(model_rows(spark, sf_dir), FEATURES, params=PARAMS)
+    model = training.train_classifier(click_rows(spark, sf_dir), FEATURES)
     folder = f"{scratch(spark)}/model"
     training.save_model(model, folder)
     trees = training.load_model(folder).stages[-1]
-    weights = [(f, float(w)) for f, w in zip(FEATURES, trees.featureImportances.toArray())]
+    weights = [(f, round(float(w), 6)) for f, w in zip(FEATURES, trees.featureImportances.toArray())]
     return spark.createDataFrame(weights, "feature string, weight double")
 
 
-@query("predict")
+@query("predict", with_m(f"SELECT id, time, CAST({CLICK} AS DOUBLE) AS side, CAST({CLICK} AS INTEGER) AS prediction_disc "
+                         "FROM m WHERE id IN (SELECT id FROM fifth)", _FIFTH))
 def predict(spark, sf_dir):
-    """Scores of held-out recordings, averaged over two models."""
+    """Scores of held-out recordings, averaged over two models, rounded to their side."""
     rows = reliable(held_out_rows(spark, sf_dir))
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
-    models = [training.train_classifier(train, FEATURES, seed=s, params=PARAMS) for s in (1, 2)]
-    return rounded(training.predict(models, test, FEATURES), 6, "prediction_cont")
+    models = [training.train_classifier(train, FEATURES, seed=s) for s in (1, 2)]
+    scored = rounded(training.predict(models, test, FEATURES).withColumnRenamed("prediction_cont", "side"), 0, "side")
+    return scored.withColumn("prediction_disc", F.col("prediction_disc").cast("int"))
+
+
+_PERFECT = ", ".join(f"CAST(1 AS DOUBLE) AS {n}" for n in _METRICS)
 
 
-@query("cross_validate")
+@query("cross_validate", f"SELECT unnest(['0', '1', '2', 'mean']) AS fold, {_PERFECT}")
 def cross_validate(spark, sf_dir):
-    out = training.cross_validate(model_rows(spark, sf_dir), FEATURES, 3, params=PARAMS)
+    out = training.cross_validate(click_rows(spark, sf_dir), FEATURES, 3)
     return rounded(out, 6, *_METRICS)
 
 
-@query("evaluate_test")
+@query("evaluate_test", f"SELECT {_PERFECT}")
 def evaluate_test(spark, sf_dir):
     """The training stage: final model, scores of the held-out recordings, their metrics."""
     rows = held_out_rows(spark, sf_dir)
-    out = training.train_and_score(rows, FEATURES, skip_cv=True, params=PARAMS)
+    out = training.train_and_score(rows, FEATURES, skip_cv=True)
     return rounded(out["metrics"], 6, *_METRICS)

@@ -45,7 +45,8 @@ def flagship(spark, sf_dir):
     found = long_series(rows)  # one check for all steps
     rows = preprocess(rows, found=found)
     marked = lookups.mark_target(rows, labels(spark, sf_dir))
-    featured = rolling(marked, [RollingSpec("ch0", "median", window=120, min_periods=1, name="med")], found=found)
+    spec = RollingSpec("ch0", "median", window=120, min_periods=1, name="med")
+    featured = rolling(marked, [spec], found=found, keep=["target"])
     out = featured.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.avg("med").alias("median_ch0"))
     return rounded(out, 4, "median_ch0")
 
@@ -63,7 +64,7 @@ def preprocessed(spark, sf_dir):
         f"round(CASE WHEN count({c}) OVER {_MEDIAN} >= 1 THEN median({c}) OVER {_MEDIAN} END, 6) + 0.0 "
         f"AS {c}_median_120_shift_0" for c in ("ch0", "ch1", "ch2")) + " FROM m"))
 def features(spark, sf_dir):
-    out, new = build_features(recordings(spark, sf_dir), default_features(min_periods=1))
+    out, new = build_features(recordings(spark, sf_dir), default_features(min_periods=1), keep=[])
     return rounded(out.select("id", "time", *new), 6, *new)
 
 

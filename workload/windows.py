@@ -66,6 +66,29 @@ def rolling_quantile(spark, sf_dir):
     return feature(spark, sf_dir, RollingSpec("ch0", quantile=0.3, window=10, min_periods=3, name="y"))
 
 
+# Recordings whose levels lie seven orders of magnitude apart, in one task.
+SCALED = "value * CASE id % 3 WHEN 0 THEN 0.001D WHEN 1 THEN 10000D ELSE 1D END"
+SCALED_SQL = SCALED.replace("0.001D", "CAST(0.001 AS DOUBLE)").replace("10000D", "CAST(10000 AS DOUBLE)").replace("1D", "CAST(1 AS DOUBLE)")
+LEVELS = ["sum", "mean", "min", "max", "std", "var", "sem", "skew", "kurt", "median"]
+_WIDE = "(PARTITION BY id ORDER BY time ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)"
+
+
+def level_digits(func: str) -> int | None:
+    return 3 if func in ("skew", "kurt") else None
+
+
+@query("rolling_wide_levels", with_m(
+    "SELECT id, time, " + ", ".join(f"{least_sql(frame_sql(f, _WIDE), _WIDE, 5, level_digits(f))} AS y_{f}" for f in LEVELS)
+    + " FROM s", f"s AS (SELECT id, time, {SCALED_SQL} AS ch0 FROM m)"))
+def rolling_wide_levels(spark, sf_dir):
+    """Wide frames of many functions: each value depends on its own frame only, whatever lies beside it."""
+    specs = [RollingSpec("ch0", f, window=60, min_periods=5, name=f"y_{f}") for f in LEVELS]
+    out = rolling(measurements(spark, sf_dir).select("id", "time", F.expr(SCALED).alias("ch0")), specs)
+    for f in LEVELS:
+        out = rounded(out, level_digits(f), f"y_{f}")
+    return out.select("id", "time", *[s.column for s in specs])
+
+
 ROLLED = ["sum", "mean", "median", "min", "max", "std", "skew", "kurt", "sem", "rank", "count"]
 
 
