@@ -138,27 +138,31 @@ def _standing(at: Column) -> Column:
             .when(at == float("inf"), 3).otherwise(2))
 
 
-def _cut_columns(df: DataFrame, order: Sequence[str]) -> list[Column]:
+def _cut_columns(df: DataFrame, order: Sequence[str], alike_together: bool) -> list[Column]:
     """What blocks can be cut along: the order columns up to the first that is no number or time and, if there is
-    none, a hash of the row, since rows that tie in all of them come in any order."""
+    none, a hash of the row, since rows that tie in all of them come in any order.  ``alike_together`` keeps ties in
+    one block."""
     out = []
     for column in order:
         try:
             out.append(micros(df, column).cast("double"))
         except TypeError:
             return out
+    if alike_together:
+        return out
     plain = [F.col(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, T.AtomicType)]
     return [*out, F.xxhash64(*plain).cast("double")]
 
 
-def cut(df: DataFrame, ids: Sequence[str], order: Sequence[str], found: LongSeries, max_rows: int) -> Cut:
+def cut(df: DataFrame, ids: Sequence[str], order: Sequence[str], found: LongSeries, max_rows: int,
+        alike_together: bool = False) -> Cut:
     """Cut the long series into blocks.
 
     Blocks are equal spans of the first order column; rows without a finite value stand in blocks of their own, where
     the order puts them.  A block that still holds more than 2 * max_rows rows is cut again, along the next order
     column where the first is the same for all its rows, until none does or all its rows are alike.
     """
-    along = _cut_columns(df, order)
+    along = _cut_columns(df, order, alike_together)
     kept = list(df.columns)
     spans = F.ceil(F.col("__n") / max_rows).cast("long")
 

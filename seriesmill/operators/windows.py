@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmill.operators import blocks, kernels
+from seriesmill.operators import blocks, growing, kernels
 from seriesmill.storage import reliable
 
 CLOSED = ("right", "left", "both", "neither")
@@ -245,19 +245,38 @@ def _bounded(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order:
                               lambda rows, keys: _features(rows, specs, keys, order), max_rows, found)
 
 
+def _ordered(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order: Sequence[str], max_rows: int,
+             found: blocks.LongSeries | None) -> DataFrame:
+    """Expanding quantiles and ranks: long series over blocks, the others whole."""
+    found = blocks.long_series(df, ids, order, max_rows) if found is None else found
+    if not found:
+        return _features(df, specs, ids, order)
+    out = _features(blocks.others(df, ids, found), specs, ids, order)
+    rows = blocks.only(df, ids, found)
+    for source in dict.fromkeys(s.source for s in specs):
+        mine = [s for s in specs if s.source == source]
+        quantiles = {s.column: (0.5 if s.func == "median" else s.quantile, s.least) for s in mine if s.func != "rank"}
+        ranks = {s.column: s.least for s in mine if s.func == "rank"}
+        rows = growing.expanding_order(rows, _finite(source), quantiles, ranks, ids, order, max_rows, found)
+    return out.unionByName(rows)
+
+
 # Highest central moment a function of an expanding frame needs.
 _MOMENT = {"std": 2, "var": 2, "sem": 2, "skew": 3, "kurt": 4}
 
 
 def _growing(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order: Sequence[str],
              max_rows: int, found: blocks.LongSeries | None) -> DataFrame:
-    """Expanding frames of long series, from running totals over blocks."""
-    for spec in specs:
-        if not isinstance(spec.func, str) or spec.func in ("median", "rank"):
-            raise NotImplementedError(
-                f"{spec.column}: an expanding quantile, rank or custom function needs every earlier row, "
-                f"and a series here has more than {max_rows} rows; give a window"
-            )
+    """Expanding frames of long series, from running totals over blocks; quantiles and ranks by ``growing``."""
+    if any(callable(s.func) for s in specs):
+        raise NotImplementedError("a custom function of all earlier rows needs them in one task, and a series here has "
+                                  f"more than {max_rows} rows; give a window")
+    ordered = [s for s in specs if s.func in HOLISTIC]
+    if ordered:
+        df = _ordered(df, ordered, ids, order, max_rows, found)
+        specs = [s for s in specs if s not in ordered]
+        if not specs:
+            return df
     made = list(df.columns)
     moments = {s.source: 0 for s in specs}
     for spec in specs:

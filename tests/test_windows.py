@@ -65,9 +65,21 @@ def test_expanding(series, series_df, max_rows):
         same(out[f], want(series, lambda g: getattr(g.x.expanding(2), f)()), 1e-6)
 
 
-def test_expanding_quantile_of_a_long_series_is_refused(series_df):
+def test_expanding_order_of_a_long_series(spark, series):
+    """Over blocks as in one piece, with ties and gaps; the custom function alone needs a window."""
+    pdf = series.assign(x=series["x"].round(-1), seq=range(len(series)))
+    rows = [tuple(None if v != v else v for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "id string, time double, x double, kind string, seq long").repartition(5)
+    specs = [RollingSpec("x", "median", min_periods=2, name="m"), RollingSpec("x", quantile=0.9, name="q"),
+             RollingSpec("x", "rank", min_periods=3, name="r"), RollingSpec("x", "mean", name="a"),
+             RollingSpec("x", "median", filter_column="kind", filter_value="u", name="f")]
+    key = lambda r: r["seq"]
+    whole, cut = (sorted(rolling(df, specs, order=["time", "seq"], **kw).collect(), key=key) for kw in ({}, {"max_rows": 30}))
+    for spec in specs:
+        a, b = (np.array([r[spec.column] for r in out], dtype="float64") for out in (whole, cut))
+        np.testing.assert_allclose(a, b, rtol=1e-9)
     with pytest.raises(NotImplementedError):
-        rolling(series_df, [RollingSpec("x", "median")], max_rows=CUT)
+        rolling(df, [RollingSpec("x", np.ptp)], max_rows=12)
 
 
 @pytest.mark.parametrize("max_rows", [NEVER, CUT])

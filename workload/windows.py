@@ -113,6 +113,12 @@ def rolling_blocked(spark, sf_dir):
     return many(spark, sf_dir, ROLLED, 10, BLOCK_ROWS)
 
 
+for _func, _spec in (("median", {"func": "median"}), ("quantile", {"quantile": 0.9}), ("rank", {"func": "rank"})):
+    _value = f"quantile_cont(ch0, 0.9) OVER {GROW}" if _func == "quantile" else frame_sql(_func, GROW)
+    query(f"expanding_{_func}_blocked", with_m(f"SELECT id, time, {least_sql(_value, GROW, 3, 6)} AS y FROM m"))(
+        lambda spark, sf_dir, spec=_spec: feature(
+            spark, sf_dir, RollingSpec("ch0", min_periods=3, name="y", **spec), max_rows=BLOCK_ROWS))
+
 GROWN = ["sum", "mean", "min", "max", "std", "var", "count", "sem", "skew", "kurt"]
 
 
