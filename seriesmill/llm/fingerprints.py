@@ -123,11 +123,13 @@ def bucketed(rows: DataFrame, buckets: int) -> Column | None:
     return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_tree(F.col("doc_id"), bounds, leaf, 0, len(bounds)))
 
 
-def with_next(rows: DataFrame, carried: list[str], buckets: int) -> DataFrame:
-    """Each row with ``next_<column>`` of the row after it in descending doc_id; after the last comes the first.
+def with_next(rows: DataFrame, made: dict[str, Column], carried: list[str], buckets: int) -> DataFrame:
+    """Each row with the columns ``made`` of it and with ``next_<column>`` of the row after it in descending doc_id;
+    after the last comes the first.
 
     Rows are shuffled once, into buckets of neighbouring ids. Each bucket also gets a copy of the row that opens the
-    bucket below it. Equal ids follow each other in the order of their texts, null ids come last.
+    bucket below it. Columns are made of rows and copies before they travel. Equal ids follow each other in the order
+    of their texts, null ids come last.
     """
     bucket = bucketed(rows.select("doc_id"), buckets)
     placed = rows.withColumn("bucket", bucket)
@@ -141,7 +143,7 @@ def with_next(rows: DataFrame, carried: list[str], buckets: int) -> DataFrame:
         F.struct(F.lit(b).cast("int").alias("bucket"), F.lit(i).cast("long").alias("opens")) for b, i in opening))))
     copies = rows.join(F.broadcast(ghosts), F.col("doc_id").eqNullSafe(F.col("opens"))).drop("opens").withColumn("ghost", F.lit(1))
     order = Window.partitionBy("bucket").orderBy("ghost", F.col("doc_id").desc_nulls_last(), "text")
-    both = placed.withColumn("ghost", F.lit(0)).unionByName(copies)
+    both = placed.withColumn("ghost", F.lit(0)).unionByName(copies).withColumns(made)
     return both.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in carried)).where("ghost = 0").drop("ghost", "bucket")
 
 
@@ -155,8 +157,7 @@ def compared(documents: DataFrame) -> DataFrame:
     """
     spark = documents.sparkSession
     rows = pick(documents, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    rows = rows.withColumn("sketch", sketch(F.col("text")))
-    paired = with_next(rows, ["text", "sketch"], 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    paired = with_next(rows, {"sketch": sketch(F.col("text"))}, ["text", "sketch"], 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), n - half), F.col("next_text").substr(F.lit(1), half))
