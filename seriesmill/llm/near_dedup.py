@@ -20,15 +20,17 @@ from seriesmill.llm.common import pick, stored, texts
 K, SHARED = 64, 30
 #: Members of a list that are compared in one block of a task.
 BLOCK = 256
+#: Pairs that a task holds before it hands them on.
+PAIRS = 20_000
 
-MIX, ROW_LIMIT = np.uint64(0x9E3779B97F4A7C15), 2_000_000
+MIX, ROW_LIMIT = np.uint64(0x9E3779B97F4A7C15), 400_000
 _POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2^64 and of its inverse."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         base = 0x5851F42D4C957F2D
         _POWERS[:] = []
         for b in (base, pow(base, -1, 1 << 64)):
@@ -198,6 +200,9 @@ def blocks(rows: DataFrame, percent: int) -> DataFrame:
                 if row[:3] != key:
                     found.update(compare(group) if group else ())
                     key, group = row[:3], []
+                    if len(found) >= PAIRS:
+                        yield out(found)
+                        found = set()
                 group.append(row)
             yield out(found)
         if group:
