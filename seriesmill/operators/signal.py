@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from seriesmill.operators import blocks, kernels
 from seriesmill.operators.lookups import union_rows
-from seriesmill.storage import reliable
+from seriesmill.storage import kept as written, reliable
 
 # Sample spacing, default threshold, and the factor from mean absolute deviation to sigma.
 SPACING = 1e-5
@@ -138,7 +138,15 @@ def _indexed(df: DataFrame, column: str, ids: Sequence[str], order: Sequence[str
     rows = blocks.number_rows(rows, ids, order, "__pos", max_rows, found)
     sizes = blocks.hinted(found.table.select(*ids, F.col("__n").cast("long").alias("__n")), found.n_series)
     rows = blocks.lookup(rows, sizes, ids, "left")
-    return reliable(rows.withColumn("__x", F.col(f"`{column}`").cast("double")))
+    return written(rows.withColumn("__x", F.col(f"`{column}`").cast("double")))
+
+
+def _filled(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose column raises an error where it has no finite value: one such sample would spoil its whole series."""
+    x = F.col(f"`{column}`")
+    known = x.isNotNull() & (F.abs(x.cast("double")) < float("inf"))
+    return df.withColumn(column, F.when(known, x).otherwise(
+        F.raise_error(F.lit(f"{column} has missing or infinite samples; fill them first"))))
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -219,11 +227,12 @@ def _low_pass_long(rows: DataFrame, ids: list[str], threshold: float) -> DataFra
 def fft_denoise(df: DataFrame, column: str, name: str | None = None, threshold: float = DEFAULT_THRESHOLD,
                 ids: Sequence[str] = ("id",), order: Sequence[str] = ("time",),
                 max_rows: int = blocks.MAX_ROWS, found: blocks.LongSeries | None = None) -> DataFrame:
-    """Drop all frequencies above the threshold.  Missing values must be filled before."""
+    """Drop all frequencies above the threshold.  A missing or infinite sample is an error: fill them before."""
     ids, name = list(ids), name or f"{column}_fft"
     if threshold >= 1 / (2 * SPACING):
         # Nothing lies above the highest frequency a series can hold.
         return df.withColumn(name, F.col(f"`{column}`").cast("float"))
+    df = _filled(df, column)
     found = blocks.long_series(df, ids, order, max_rows) if found is None else found
     short = blocks.others(df, ids, found) if found else df
     out = _per_series(short, column, name, ids, order, lambda x: low_pass(x, threshold))
@@ -319,7 +328,7 @@ def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) ->
     current, details, waiting = rows.select(*ids, "__n", "__pos", "__x"), [], []
     while longest > size:
         waiting.append(current.where(F.col("__n") <= size))
-        details.append(reliable(_level_down(current.where(F.col("__n") > size), ids, size)))
+        details.append(written(_level_down(current.where(F.col("__n") > size), ids, size)))
         current = details[-1].select(*ids, "__n", "__pos", F.col("__a").alias("__x"))
         longest = (longest + 1) // 2
     waiting.append(current)
@@ -384,11 +393,12 @@ def wavelet_denoise(df: DataFrame, column: str, name: str | None = None, level:
     """Hard-threshold all detail coefficients of a periodic db4 transform.
 
     ``level`` picks the detail (1 is the finest) that the noise is estimated from.  A series too short for
-    one level passes unchanged.  Missing values must be filled before.
+    one level passes unchanged.  A missing or infinite sample is an error: fill them before.
     """
     if level < 1:
         raise ValueError("level counts from 1")
     ids, name = list(ids), name or f"{column}_wavelet"
+    df = _filled(df, column)
     found = blocks.long_series(df, ids, order, max_rows) if found is None else found
     short = blocks.others(df, ids, found) if found else df
     out = _per_series(short, column, name, ids, order, lambda x: wavelet_array(x, level))

@@ -17,7 +17,7 @@ from seriesmill.operators.clean import fill_label
 from seriesmill.operators.lookups import threshold
 from seriesmill.operators.split import SEED, group_kfold
 from seriesmill.schema import IGNORED_FEATURES
-from seriesmill.storage import reliable
+from seriesmill.storage import kept
 
 # Trees need a number everywhere: a missing feature sorts below every value.
 MISSING = -1e30
@@ -93,7 +93,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], n_splits: int = 2, la
 
     The rows are kept once and read by the fits, which are jobs of their own, one per fold.
     """
-    rows = reliable(group_kfold(feature_pool(df, features, label), n_splits, key))
+    rows = kept(group_kfold(feature_pool(df, features, label), n_splits, key))
     held_out = None
     for fold in range(n_splits):
         marked = rows.withColumn("__held", F.col("fold") == fold)
@@ -109,7 +109,7 @@ def train_and_score(df: DataFrame, features: Sequence[str], skip_cv: bool = Fals
 
     Parts that were not asked for, or have no test rows, are None.
     """
-    df = reliable(df)
+    df = kept(df)
     train = df.where(F.col("split") == "train")
     test = df.where(F.col("split") == "test")
     tested = not test.isEmpty()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Rows written once as parquet next to the checkpoints, so that later reads take only the columns they need."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Compute once and keep in the checkpoint folder, so that later reads see the same rows even after
     executors are lost."""

@@ -84,3 +84,11 @@ def test_wavelet(signals, level, max_rows):
         x, y = out["prime"]
         truth = 40 * np.sin(np.arange(997) / 9.0)
         assert np.mean((y - truth) ** 2) < np.mean((x - truth) ** 2)
+
+
+@pytest.mark.parametrize("bad", [None, float("nan"), float("inf")])
+def test_a_sample_without_value_is_an_error(spark, bad):
+    df = spark.createDataFrame([("a", float(k), bad if k == 7 else 1.0) for k in range(40)], "id string, time double, x double")
+    for denoise in (lambda d: fft_denoise(d, "x", "y", 20_001.0), lambda d: wavelet_denoise(d, "x", "y")):
+        with pytest.raises(Exception, match="fill them first"):
+            denoise(df).collect()

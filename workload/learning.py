@@ -10,7 +10,7 @@ from seriesmill.operators.lookups import mark_target
 from seriesmill.operators.windows import RollingSpec, rolling
 from seriesmill.plans import training
 from seriesmill.sources import files
-from seriesmill.storage import reliable
+from seriesmill.storage import kept
 from workload.rows import LABELS_SQL, MARKED_SQL
 from workload.tables import (
     CLASSIFICATION_SQL, REGRESSION_SQL, classification, labels, measurements, query, regression, rounded, scratch, with_m,
@@ -261,7 +261,7 @@ def train_classifier(spark, sf_dir):
                          "FROM m WHERE id IN (SELECT id FROM fifth)", _FIFTH))
 def predict(spark, sf_dir):
     """Scores of held-out recordings, averaged over two models, rounded to their side."""
-    rows = reliable(held_out_rows(spark, sf_dir))
+    rows = kept(held_out_rows(spark, sf_dir))
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     models = [training.train_classifier(train, FEATURES, seed=s) for s in (1, 2)]
     scored = rounded(training.predict(models, test, FEATURES).withColumnRenamed("prediction_cont", "side"), 0, "side")
