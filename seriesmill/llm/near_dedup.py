@@ -22,6 +22,8 @@ K, SHARED = 64, 30
 BLOCK = 256
 #: Pairs that a task holds before it hands them on.
 PAIRS = 20_000
+#: Parts of the hash space whose counts of values two sets are first compared by.
+PARTS = 256
 
 MIX, ROW_LIMIT = np.uint64(0x9E3779B97F4A7C15), 400_000
 _POWERS: list[np.ndarray] = []
@@ -166,15 +168,16 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def blocks(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs to verify among the members (x, df, fp, n, label, at) of lists x: of different labels, sizes that allow
-    the similarity, and enough of both sets from their place in the list on. A long list is cut into blocks, and each
-    pair of blocks is one group."""
+    """Pairs to verify among the members (x, df, fp, n, label, at, counts) of lists x: of different labels, sizes that
+    allow the similarity, enough of both sets from their place in the list on, and enough common values as far as the
+    counts of values in parts of the hash space tell: similar sets always have enough. A long list is
+    cut into blocks, and each pair of blocks is one group."""
     parts = F.ceil(F.col("df") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     dealt = rows.withColumn("parts", parts).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     keys = ["x", "i", "j"]
-    dealt = dealt.select(*keys, "own", "fp", "n", "label", "at").repartition(*keys).sortWithinPartitions(*keys)
+    dealt = dealt.select(*keys, "own", "fp", "n", "label", "at", "counts").repartition(*keys).sortWithinPartitions(*keys)
 
     def compare(group: list[tuple]) -> list[tuple[bytes, bytes]]:
         _, i, j = group[0][:3]
@@ -184,8 +187,17 @@ def blocks(rows: DataFrame, percent: int) -> DataFrame:
         place, other = np.array([r[7] for r in left]), np.array([r[7] for r in right])
         allowed = 100 * np.minimum.outer(n, m) >= percent * np.maximum.outer(n, m)
         allowed &= (100 + percent) * np.minimum.outer(n - place, m - other) >= percent * np.add.outer(n, m)
-        return [(min(left[p][4], right[q][4]), max(left[p][4], right[q][4])) for p, q in zip(*map(np.ndarray.tolist, np.nonzero(allowed)))
-                if left[p][6] != right[q][6] and left[p][4] != right[q][4]]
+        names = {label: k for k, label in enumerate({r[6] for r in group})}
+        allowed &= np.not_equal.outer([names[r[6]] for r in left], [names[r[6]] for r in right])
+        parts, others = ([np.frombuffer(r[8], np.uint16) for r in side] for side in (left, right))
+        pairs = []
+        for p in np.flatnonzero(allowed.any(1)).tolist():
+            near = np.flatnonzero(allowed[p])
+            if len(parts[p]):
+                both = np.array([np.minimum(parts[p], others[q]).sum(dtype=np.int64) if len(others[q]) else n[p] for q in near.tolist()])
+                near = near[(100 + percent) * both >= percent * (n[p] + m[near])]
+            pairs += [(min(left[p][4], right[q][4]), max(left[p][4], right[q][4])) for q in near.tolist() if left[p][4] != right[q][4]]
+        return pairs
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
@@ -264,7 +276,7 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int) ->
         return labels
     values = sets.join(members, "fp").mapInArrow(spread, "fp binary, n long, label binary, x long")
     again = rarest(values.select("fp", "n", F.col("n").alias("size"), "x"), enough(percent))
-    again = again.join(members.select("fp", "label"), "fp")
+    again = again.join(sets.join(members, "fp").mapInArrow(part_counts, "fp binary, label binary, counts binary"), "fp")
     mixed_ = again.groupBy("x").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("x")
     more = stored(blocks(again.join(mixed_, "x"), percent))
     if not more.head(1):
@@ -272,6 +284,15 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int) ->
     return connected(edges.unionByName(verified(more, sets, percent)))
 
 
+def part_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many values of each set lie in each part of the hash space; nothing for a set that has too many to count."""
+    for batch in batches:
+        fp, label = batch.column("fp"), batch.column("label")
+        counts = [np.bincount((np.frombuffer(raw, np.uint64) % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) for raw in batch.column("values").to_pylist()]
+        packed = [c.astype(np.uint16).tobytes() if c.max() < 1 << 16 else b"" for c in counts]
+        yield pa.RecordBatch.from_arrays([fp, label, pa.array(packed, pa.binary())], ["fp", "label", "counts"])
+
+
 def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each value of a set, a bounded number at a time."""
     for batch in batches:

@@ -135,8 +135,9 @@ def test_near_dedup_families(spark, width, percent):
 
 def test_blocks_of_a_long_list(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 3)
-    rows = [(7, 10, f"{k:02d}".encode(), 20, f"{k % 4}".encode(), 0) for k in range(10)]
-    found = near_dedup.blocks(spark.createDataFrame(rows, "x long, df long, fp binary, n long, label binary, at long"), 80)
+    counts = np.array([20, *[0] * 255], np.uint16).tobytes()
+    rows = [(7, 10, f"{k:02d}".encode(), 20, f"{k % 4}".encode(), 0, b"" if k == 3 else counts) for k in range(10)]
+    found = near_dedup.blocks(spark.createDataFrame(rows, "x long, df long, fp binary, n long, label binary, at long, counts binary"), 80)
     want = {(f"{a:02d}", f"{b:02d}") for a, b in itertools.combinations(range(10), 2) if a % 4 != b % 4}
     assert {(bytes(r["a"]).decode(), bytes(r["b"]).decode()) for r in found.collect()} == want
 
