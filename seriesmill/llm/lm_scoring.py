@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from seriesmill.llm.common import pick, stored, texts
 
 #: Text that one bucket holds, unless a single text is longer.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 5 << 20
 #: Words that make up at least one in WORD_SHARE training tokens may have a state; of their pairs, those that make up
 #: one in PAIR_SHARE have an arc. There are at most as many of each, at any size of the corpus, so the automaton that is
 #: broadcast has a proven bound; the unigram counts behind it are those of all words and stay distributed.
@@ -147,13 +147,11 @@ def pair_counts(buckets: DataFrame, shared) -> DataFrame:
         get, start = index.get, len(index)
         for batch in batches:
             for ids, lengths, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_ids", "lengths", "blob"))):
-                numbers: list[int] = []
+                numbers = [np.zeros(0, np.int64)]
                 for doc_id, text in unpacked(ids, lengths, blob):
                     if not is_held_out(doc_id):
-                        numbers.append(start)
-                        numbers += [get(w, -1) for w in split(text)]
-                        numbers.append(get(END, -1))
-                row = np.array(numbers, np.int64)
+                        numbers.append(np.array([start, *(get(w, -1) for w in split(text)), get(END, -1)], np.int64))
+                row = np.concatenate(numbers)
                 left, right = row[:-1], row[1:]
                 good = (left >= 0) & (right >= 0) & (right != start) & (left != get(END, -2))
                 pair, n = np.unique(left[good] << 32 | right[good], return_counts=True)
@@ -178,7 +176,8 @@ def scored(documents: DataFrame) -> DataFrame:
     asked = word_counts(buckets).repartition("word")
     # A word occurs at most once in each bucket; counted and joined where it lies.
     known = asked.groupBy("word").agg(F.sum("n").alias("c"), F.min("bucket").alias("first"))
-    answers = stored(asked.join(known, "word").select("bucket", "word", "c", (F.col("bucket") == F.col("first")).alias("once")))
+    # With n among the answers both uses take the same columns, so that one exchange serves them.
+    answers = stored(asked.join(known, "word").select("bucket", "word", "n", "c", (F.col("bucket") == F.col("first")).alias("once")))
     once = answers.where("once")
     tokens, distinct = once.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     # At most WORD_SHARE words of at most WORD_BYTES.
@@ -200,14 +199,9 @@ def scored(documents: DataFrame) -> DataFrame:
         number = np.array([model.words.get(word, -1) for word in words], np.int64)
         out: list[tuple] = []
         for ids, lengths, blob in zip(*(left.column(c).to_pylist() for c in ("doc_ids", "lengths", "blob"))):
-            rows: list[int] = []
-            sizes = []
-            for _, text in unpacked(ids, lengths, blob):
-                found = split(text)
-                rows += [code[w] for w in found]
-                rows.append(code[END])
-                sizes.append(len(found) + 1)
-            row = np.array(rows, np.int64)
+            rows = [np.array([*(code[w] for w in split(text)), code[END]], np.int64) for _, text in unpacked(ids, lengths, blob)]
+            sizes = [len(r) for r in rows]
+            row = np.concatenate(rows)
             first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             states = np.concatenate([[-1], number[row[:-1]]])
             states[first] = len(model.words)
