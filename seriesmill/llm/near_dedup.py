@@ -19,7 +19,7 @@ from seriesmill.llm.common import pick, stored, texts
 #: 64 are with probability below 1e-8, for s >= 0.85 below 1e-10.
 K, SHARED = 64, 30
 #: Members of a list that are compared in one block of a task.
-BLOCK = 256
+BLOCK = 512
 #: Pairs that a task holds before it hands them on.
 PAIRS = 20_000
 #: Parts of the hash space whose counts of values two sets are first compared by.
