@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -14,13 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.common import pick, stored, texts
+from seriesmill.llm.near_dedup import MIX, mixed
 
 #: Text that one bucket holds, unless a single text is longer.
 BUCKET_BYTES = 5 << 20
-#: Words that make up at least one in WORD_SHARE training tokens may have a state; of their pairs, those that make up
-#: one in PAIR_SHARE have an arc. There are at most as many of each, at any size of the corpus, so the automaton that is
-#: broadcast has a proven bound; the unigram counts behind it are those of all words and stay distributed.
-WORD_SHARE, PAIR_SHARE, WORD_BYTES = 200_000, 500_000, 64
+#: Text whose pairs of words meet in one part of the pairs' table; the number of parts grows with the corpus.
+PART_BYTES = 12 << 20
+#: Pairs seen at least so often in training have an arc, at any size of the corpus.
+LEAST = 2
 DISCOUNT = 0.75
 FOLDS, HELD_OUT = 7, 2
 #: The token that ends a text; no word holds white space.
@@ -99,7 +101,7 @@ def word_counts(buckets: DataFrame) -> DataFrame:
 
 @dataclass
 class Automaton:
-    """States: the root (-1), one for each frequent word, and the start of a text (the last). ``arcs`` are sorted keys
+    """States: the root (-1), one for each word, and the start of a text (the last). ``arcs`` are sorted keys
     state << 32 | word of the explicit arcs with their log10 weights; without one, the failure arc leads to the root
     at the state's weight, and the root has an arc for every word."""
 
@@ -122,11 +124,17 @@ class Automaton:
         keys = np.array([k for k, _ in pairs], np.int64)
         order = np.argsort(keys)
         keys, n = keys[order], np.array([c for _, c in pairs], np.float64)[order]
-        state, word = keys >> 32, keys & 0xFFFFFFFF
-        share = (n - DISCOUNT) / counts[state]
-        rest = np.maximum(1 - np.bincount(state, share, minlength=len(counts)), 1e-12) if len(keys) else np.ones(len(counts))
+        return cls.of(index, keys, n, counts, np.bincount(keys >> 32, n - DISCOUNT, minlength=len(counts)), tokens, distinct)
+
+    @classmethod
+    def of(cls, index: dict[bytes, int], keys: np.ndarray, n: np.ndarray, counts: np.ndarray, mass: np.ndarray, tokens: int,
+           distinct: int) -> Automaton:
+        """Some states of a larger automaton with some of their arcs: ``counts`` of the states in the corpus, and ``mass``,
+        the discounted counts of all arcs that they have there."""
+        rest = np.maximum(1 - mass / np.maximum(counts, 1), 1e-12)
         made = cls(index, keys, np.zeros(0), np.append(np.log10(rest), 0.0), tokens, distinct)
-        made.weights = np.log10(share + rest[state] * 10 ** made.unigram(counts[word])) if len(keys) else np.zeros(0)
+        state, word = keys >> 32, keys & 0xFFFFFFFF
+        made.weights = np.log10((n - DISCOUNT) / counts[state] + rest[state] * 10 ** made.unigram(counts[word]))
         return made
 
     def traverse(self, states: np.ndarray, words: np.ndarray, unigram: np.ndarray) -> np.ndarray:
@@ -140,76 +148,153 @@ class Automaton:
         return np.where(found, self.weights[at], self.failure[states] + unigram)
 
 
-def pair_counts(buckets: DataFrame, shared) -> DataFrame:
-    """(pair, n): pairs of words with states, or of the start and a word, in the training documents of each bucket."""
+def walked(ids: list, lengths: list[int], blob: bytes) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's words with their numbers by first occurrence, its tokens as numbers, the first token of each text,
+    and the state before each token: a word's number, or that after the last for the start of a text."""
+    code: dict[bytes, int] = {END: 0}
+    rows = []
+    for _, text in unpacked(ids, lengths, blob):
+        found = split(text)
+        for word in found:
+            code.setdefault(word, len(code))
+        rows.append(np.array([*(code[w] for w in found), 0], np.int64))
+    row = np.concatenate(rows)
+    first = np.concatenate([[0], np.cumsum([len(r) for r in rows])[:-1]]).astype(np.int64)
+    states = np.concatenate([[0], row[:-1]])
+    states[first] = len(code)
+    return code, row, first, states
+
+
+def word_key(word: bytes) -> int:
+    """60 bits of the word's md5, as ``key_column`` has them."""
+    return int(hashlib.md5(word, usedforsecurity=False).hexdigest()[:15], 16)
+
+
+def key_column(word: str) -> F.Column:
+    return F.conv(F.substring(F.md5(word), 1, 15), 16, 10).cast("long")
+
+
+#: The key of the start of a text.
+START = -1
+
+
+def dealt(code: dict[bytes, int], row: np.ndarray, states: np.ndarray, parts: int) -> tuple[np.ndarray, ...]:
+    """The distinct pairs of a bucket as sorted keys state << 32 | word, the order in which they are dealt into parts, and
+    in that order their parts and the keys of both words. The same bucket always gives the same order."""
+    pair = np.unique(states << 32 | row)
+    keys = np.array([*map(word_key, code), START], np.int64)
+    left, right = keys[pair >> 32], keys[pair & 0xFFFFFFFF]
+    part = (mixed(left.view(np.uint64) * MIX + right.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((right, left, part))
+    return pair, order, part[order], left[order], right[order]
+
+
+def asked_pairs(buckets: DataFrame, parts: int) -> DataFrame:
+    """(part, bucket, lefts, rights, counts): the distinct pairs of each bucket, one row for each part, with their number
+    in its training documents, which is 0 for those that only its other documents have."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        get, start = index.get, len(index)
         for batch in batches:
-            for ids, lengths, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_ids", "lengths", "blob"))):
-                numbers = [np.zeros(0, np.int64)]
-                for doc_id, text in unpacked(ids, lengths, blob):
-                    if not is_held_out(doc_id):
-                        numbers.append(np.array([start, *(get(w, -1) for w in split(text)), get(END, -1)], np.int64))
-                row = np.concatenate(numbers)
-                left, right = row[:-1], row[1:]
-                good = (left >= 0) & (right >= 0) & (right != start) & (left != get(END, -2))
-                pair, n = np.unique(left[good] << 32 | right[good], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
-
-    return buckets.mapInArrow(run, "pair long, n long")
+            for bucket, ids, lengths, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                code, row, first, states = walked(ids, lengths, blob)
+                sizes = np.diff(np.append(first, len(row)))
+                trains = np.repeat([not is_held_out(d) for d in ids], sizes)
+                pair, order, part, left, right = dealt(code, row, states, parts)
+                seen = np.searchsorted(pair, (states << 32 | row)[trains])
+                n = np.bincount(seen, minlength=len(pair))[order]
+                cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)).tolist()
+                spans = list(zip(cuts[:-1], cuts[1:]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([int(part[a]) for a, _ in spans], pa.int64()), pa.array([bucket] * len(spans), pa.int64()),
+                    pa.array([zlib.compress(left[a:b].tobytes(), 1) for a, b in spans], pa.binary()),
+                    pa.array([right[a:b].tobytes() for a, b in spans], pa.binary()),
+                    pa.array([zlib.compress(n[a:b].tobytes(), 1) for a, b in spans], pa.binary())],
+                    ["part", "bucket", "lefts", "rights", "counts"])
+
+    return buckets.mapInArrow(run, "part long, bucket long, lefts binary, rights binary, counts binary")
+
+
+COUNTED = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("counts", pa.binary()), ("key", pa.int64()), ("mass", pa.float64())])
+
+
+def counted_pairs(asked: DataFrame) -> DataFrame:
+    """For each row of asked pairs, (bucket, part, counts): their number in the whole corpus. In rows without bucket,
+    (key, mass): the discounted counts of a word's arcs in a part."""
+    def run(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        unpack = lambda c: [np.frombuffer(zlib.decompress(x), np.int64) for x in table.column(c).to_pylist()]
+        lefts, counts = unpack("lefts"), unpack("counts")
+        left, n = np.concatenate(lefts), np.concatenate(counts)
+        right = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("rights").to_pylist()])
+        order = np.lexsort((right, left))
+        x, y = left[order], right[order]
+        new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+        total = np.add.reduceat(n[order], np.flatnonzero(new))
+        answer = np.empty(len(n), np.int64)
+        answer[order] = total[np.cumsum(new) - 1]
+        arcs = total >= LEAST
+        key, at = np.unique(x[new][arcs], return_inverse=True)
+        mass = np.bincount(at, total[arcs] - DISCOUNT, minlength=len(key))
+        back = [zlib.compress(c.tobytes(), 1) for c in np.split(answer, np.cumsum([len(c) for c in counts])[:-1])]
+        none, more = [None] * len(key), [None] * len(back)
+        return pa.Table.from_arrays([
+            pa.array(table.column("bucket").to_pylist() + none, pa.int64()), pa.array([part] * (len(back) + len(key)), pa.int64()),
+            pa.array(back + none, pa.binary()), pa.array(more + key.tolist(), pa.int64()), pa.array(more + mass.tolist(), pa.float64())],
+            schema=COUNTED)
+
+    return asked.groupBy("part").applyInArrow(run, "bucket long, part long, counts binary, key long, mass double")
 
 
 def scored(documents: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of (doc_id, text).
 
     Learns from documents whose crc32(doc_id as text) mod 7 is not 2, and from those without doc_id. Counts of all words
-    stay distributed: each bucket of documents sends its distinct words, and gets their counts back. score is the log10
-    probability of the text by pairs of words, backing off to the counts of single words with one added for each and
-    for all unknown words together, which is base_score.
+    and of all pairs of words stay distributed: each bucket of documents sends its distinct words and pairs, and gets
+    their counts back. score is the log10 probability of the text by all pairs seen at least LEAST times, backing off to
+    the counts of single words with one added for each and for all unknown words together, which is base_score. Words
+    are told apart by 60 bits of a hash where pairs are counted.
 
     Null and empty texts are one end token. Repeated rows count, and are scored, as often as they occur. An empty table
     gives an empty result. Other columns are ignored.
     """
-    spark = documents.sparkSession
     buckets = stored(bucketed(pick(documents, "doc_id", "text")))
+    held = buckets.agg(F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n)), F.lit(0))).first()[0]
+    parts = 1 + held // PART_BYTES
+    pairs = stored(counted_pairs(asked_pairs(buckets, parts)))
+    mass = pairs.where("bucket IS NULL").groupBy("key").agg(F.sum("mass").alias("mass"))
+    start_mass = mass.where(F.col("key") == START).agg(F.coalesce(F.max("mass"), F.lit(0.0))).first()[0]
     asked = word_counts(buckets).repartition("word")
     # A word occurs at most once in each bucket; counted and joined where it lies.
     known = asked.groupBy("word").agg(F.sum("n").alias("c"), F.min("bucket").alias("first"))
+    known = known.withColumn("key", key_column("word")).join(mass, "key", "left").select("word", "c", "first", "mass")
     # With n among the answers both uses take the same columns, so that one exchange serves them.
-    answers = stored(asked.join(known, "word").select("bucket", "word", "n", "c", (F.col("bucket") == F.col("first")).alias("once")))
+    answers = stored(asked.join(known, "word").select("bucket", "word", "n", "c", "mass", (F.col("bucket") == F.col("first")).alias("once")))
     once = answers.where("once")
-    tokens, distinct = once.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    # At most WORD_SHARE words of at most WORD_BYTES.
-    frequent = [(bytes(w), c) for w, c in once.where((F.col("c") > 0) & (F.col("c") * WORD_SHARE >= tokens) & (F.octet_length("word") <= WORD_BYTES))
-                .select("word", "c").orderBy("word").toPandas().itertuples(index=False, name=None)]
-    index = spark.sparkContext.broadcast({w: k for k, (w, _) in enumerate(frequent)})
-    pairs = pair_counts(buckets, index).groupBy("pair").agg(F.sum("n").alias("n")).where(
-        (F.col("n") >= 2) & (F.col("n") * PAIR_SHARE >= tokens))
-    starts = next((c for w, c in frequent if w == END), 0) or once.where(F.col("word") == F.lit(bytearray(END))).agg(F.coalesce(F.max("c"), F.lit(0))).first()[0]
-    arcs = [(int(k), int(n)) for k, n in pairs.toPandas().itertuples(index=False, name=None)]
-    automaton = spark.sparkContext.broadcast(Automaton.build(frequent, arcs, starts, tokens, distinct))
+    tokens, distinct, starts = once.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1)),
+                                        F.coalesce(F.max(F.when(F.col("word") == F.lit(bytearray(END)), F.col("c"))), F.lit(0))).first()
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        model = automaton.value
-        words = right.column("word").to_pylist()
-        counts = right.column("c").to_numpy()
-        code = {word: k for k, word in enumerate(words)}
-        unigram = model.unigram(counts)
-        number = np.array([model.words.get(word, -1) for word in words], np.int64)
+        given = right.filter(right.column("word").is_valid())
+        counted = right.filter(right.column("counts").is_valid()).sort_by("part").column("counts").to_pylist()
+        place = {word: k for k, word in enumerate(given.column("word").to_pylist())}
+        c, m = given.column("c").to_numpy(), given.column("mass").fill_null(0.0).to_numpy()
         out: list[tuple] = []
         for ids, lengths, blob in zip(*(left.column(c).to_pylist() for c in ("doc_ids", "lengths", "blob"))):
-            rows = [np.array([*(code[w] for w in split(text)), code[END]], np.int64) for _, text in unpacked(ids, lengths, blob)]
-            sizes = [len(r) for r in rows]
-            row = np.concatenate(rows)
-            first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            states = np.concatenate([[-1], number[row[:-1]]])
-            states[first] = len(model.words)
-            weights = model.traverse(states, number[row], unigram[row])
+            code, row, first, states = walked(ids, lengths, blob)
+            at = np.array([place[word] for word in code], np.int64)
+            counts, mass = np.append(c[at], starts), np.append(m[at], start_mass)
+            pair, order, *_ = dealt(code, row, states, parts)
+            n = np.empty(len(pair), np.int64)
+            n[order] = np.concatenate([np.frombuffer(zlib.decompress(x), np.int64) for x in counted])
+            arcs = n >= LEAST
+            model = Automaton.of(code, pair[arcs], n[arcs], counts, mass, tokens, distinct)
+            unigram = model.unigram(counts)
+            weights = model.traverse(states, row, unigram[row])
             n_known = np.add.reduceat((counts[row] > 0).astype(np.int64), first)
-            out += zip(ids, map(is_held_out, ids), sizes, n_known.tolist(), [tokens] * len(ids),
+            out += zip(ids, map(is_held_out, ids), np.diff(np.append(first, len(row))).tolist(), n_known.tolist(), [tokens] * len(ids),
                        np.add.reduceat(unigram[row], first).tolist(), np.add.reduceat(weights, first).tolist())
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*out)) or [[]] * len(RESULT), RESULT)], schema=RESULT)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return buckets.groupBy("bucket").cogroup(answers.select("bucket", "word", "c").groupBy("bucket")).applyInArrow(score, schema)
+    told = answers.select("bucket", "word", "c", "mass").unionByName(
+        pairs.where("bucket IS NOT NULL").select("bucket", "part", "counts"), allowMissingColumns=True)
+    return buckets.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(score, schema)

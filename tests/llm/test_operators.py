@@ -180,6 +180,31 @@ def test_lm_beats_single_words(spark):
     assert held[0] > 0.8 * held[1]
 
 
+@pytest.mark.parametrize("part", [12 << 20, 1 << 18])
+def test_lm_keeps_rare_pairs_of_a_large_corpus(spark, monkeypatch, part):
+    """Scores by all pairs seen twice, among more than a million tokens and with words of any length, in several buckets."""
+    monkeypatch.setattr(lm_scoring, "BUCKET_BYTES", 1 << 18)
+    monkeypatch.setattr(lm_scoring, "PART_BYTES", part, raising=False)
+    rng = random.Random(7)
+    rows = [(k, "x " * 30_000) for k in range(50)]
+    rows += [(100 + k, " ".join(f"a{x} b{x} {'long' * 20}{x}" for x in rng.choices(range(60), k=3))) for k in range(60)]
+    tokens = [(d, t.encode().split() + [b"\n"]) for d, t in rows]
+    trained = [ts for d, ts in tokens if zlib.crc32(str(d).encode()) % 7 != 2]
+    counts = collections.Counter(x for ts in trained for x in ts)
+    pairs = {p: n for p, n in collections.Counter(p for ts in trained for p in zip([None, *ts], ts)).items() if n >= 2}
+    total, distinct = sum(counts.values()), len(counts)
+    assert total > 1_000_000
+    counts[None] = len(trained)
+    rest = collections.defaultdict(lambda: 1.0)
+    for (a, _), n in pairs.items():
+        rest[a] -= (n - lm_scoring.DISCOUNT) / counts[a]
+    single = lambda x: (counts[x] + 1) / (total + distinct + 1)
+    arc = lambda a, b: ((pairs[a, b] - lm_scoring.DISCOUNT) / counts[a] if (a, b) in pairs else 0) + rest[a] * single(b)
+    want = {d: sum(math.log10(arc(a, b)) for a, b in zip([None, *ts], ts)) for d, ts in tokens}
+    found = {r["doc_id"]: r["score"] for r in lm_scoring.scored(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)).collect()}
+    assert found == pytest.approx(want, rel=1e-6)
+
+
 # Toxicity
 
 def test_toxicity(spark, odd, none):
