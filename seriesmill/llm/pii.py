@@ -7,7 +7,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 from itertools import accumulate
 
 import numpy as np
@@ -81,10 +81,28 @@ cost + 5 and 3 + 4 make 12
 phones +5 and -3 degrees
 c# and 1st 2nd 3rd place
 section 10.2.3.4.5 of the manual
+call <phone:555 - 867 - 5309> today
+my number is <phone:415 - 555 - 0132> thanks
+phone <phone:+49 30 / 901820> at noon
+tel <phone:+33 1 / 42685300> and ask
+reach me at <phone:030 / 901820> after nine
+mail <email:j.doe (at) example.com> about it
+write to <email:anna (at) host.org> or call
+mail <email:anna @ example.com> today
+contact <email:j.smith @ mail.example.org> first
+card <card:4918 - 1871 - 2863 - 5271> was charged
+we met (at) noon and left
+dinner @ home was good
+the years 1914 - 1918 and 1939 - 1945 were hard
+on 12 / 05 / 2020 we met
+the score was 3 - 2 and then 4 - 4
+cost 5 - 3 - 1 and 1 / 2 make it
+the quick brown fox, he said, ran on.
+The end of (all) this - and more / less is near
 """
 
 WORD = re.compile(r"[^ \t-\r]+")
-#: Words with one of these are decoded; all others are outside, which splits the chain exactly there.
+#: What texts without any need no expressions for numbers and addresses.
 MARKED = re.compile(r"[0-9@]")
 EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 EMAIL_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -145,6 +163,7 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
+DIGIT = re.compile(r"[0-9]")
 RUNS = ((re.compile(r"[A-Z]+"), "A"), (re.compile(r"[a-z]+"), "a"), (re.compile(r"[^\x00-\x7f]+"), "x"))
 
 
@@ -153,21 +172,35 @@ def features(words: list[str]) -> list[list[str]]:
     shapes."""
     shapes = []
     for word in words:
-        word = word[:64]
         for run, mark in RUNS:
             word = run.sub(mark, word)
         shapes.append(re.sub(r"[0-9]", "9", word))
-    short = [re.sub(r"9+", "9", s) for s in shapes]
+    short = [brief_of(s) for s in shapes]
     out = []
     for k, (shape, brief) in enumerate(zip(shapes, short)):
-        n = sum(c == "9" for c in shape)
         before, after = short[k - 1] if k else "^", short[k + 1] if k + 1 < len(short) else "$"
-        out.append(["bias", f"shape {shape.rstrip('.,;:!?')}", f"brief {brief.rstrip('.,;:!?')}", f"digits {n}",
-                    f"digits {n} start {shape[:1]}", f"before {before} {brief}", f"after {brief} {after}",
-                    f"at {'@' in shape} dots {min(shape.rstrip('.').count('.'), 4)} hyphens {min(shape.count('-'), 4)}"])
+        out.append([*own_features(shape, brief), f"before {before} {brief}", f"after {brief} {after}"])
     return out
 
 
+def brief_of(shape: str) -> str:
+    return re.sub(r"9+", "9", shape)
+
+
+def own_features(shape: str, brief: str) -> list[str]:
+    n = shape.count("9")
+    return ["bias", f"shape {shape.rstrip('.,;:!?')}", f"brief {brief.rstrip('.,;:!?')}", f"digits {n}", f"digits {n} start {shape[:1]}",
+            f"at {'@' in shape} dots {min(shape.rstrip('.').count('.'), 4)} hyphens {min(shape.count('-'), 4)}"]
+
+
+class Numbered(dict):
+    """Numbers of what is looked up, in order of its first occurrence."""
+
+    def __missing__(self, key) -> int:
+        self[key] = len(self)
+        return self[key]
+
+
 @dataclass
 class Field:
     """A linear-chain conditional random field: weights of (feature, label) and of (label, label)."""
@@ -219,44 +252,74 @@ class Field:
                 first[k] = -1e4
         return cls(index, emit, step, first)
 
-    def decode(self, runs: list[list[str]]) -> list[list[int]]:
-        """The best labels of each run of words, by Viterbi over all runs of the batch at once."""
-        if not runs:
-            return []
-        order = sorted(range(len(runs)), key=lambda k: -len(runs[k]))
-        lengths = np.array([len(runs[k]) for k in order])
-        flat_rows, flat_features, row = [], [], 0
-        for k in order:
-            for word in features(runs[k]):
-                for f in word:
-                    if f in self.index:
-                        flat_rows.append(row)
-                        flat_features.append(self.index[f])
-                row += 1
-        scores = np.zeros((row, len(LABELS)))
-        np.add.at(scores, np.array(flat_rows, np.int64), self.emit[np.array(flat_features, np.int64)])
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    @cached_property
+    def tables(self) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+        """Numbers of the shapes that neighbour features name, and the weights of each pair of them: as the word before
+        and the word, as the word and the one after. The last number is that of all other shapes."""
+        pairs = [f.split(" ") for f in self.index if f.startswith(("before ", "after "))]
+        known = {s: k for k, s in enumerate(sorted({s for _, *both in pairs for s in both} | {"^", "$"}))}
+        tables = {kind: np.zeros((len(known) + 1, len(known) + 1, len(LABELS))) for kind in ("before", "after")}
+        for kind, a, b in pairs:
+            tables[kind][known[a], known[b]] = self.emit[self.index[f"{kind} {a} {b}"]]
+        return known, tables["before"], tables["after"]
+
+    def scores(self, words: list[str], starts: np.ndarray) -> np.ndarray:
+        """The weights of each label at each word of runs that begin at ``starts``: of the word's own features by its
+        distinct shape, and of its neighbours from the tables."""
+        known, before, after = self.tables
+        distinct, shapes = Numbered(), Numbered()
+        at = np.fromiter(map(distinct.__getitem__, words), np.int64, len(words))
+        of_word = np.empty(len(distinct), np.int64)
+        for k, word in enumerate(distinct):
+            for run, mark in RUNS:
+                word = run.sub(mark, word)
+            of_word[k] = shapes[DIGIT.sub("9", word)]
+        own, brief = np.zeros((len(shapes), len(LABELS))), np.empty(len(shapes), np.int64)
+        for k, shape in enumerate(shapes):
+            short = brief_of(shape)
+            brief[k] = known.get(short, len(known))
+            own[k] = sum((self.emit[self.index[f]] for f in own_features(shape, short) if f in self.index), np.zeros(len(LABELS)))
+        shape = of_word[at]
+        here = brief[shape]
+        left, right = np.concatenate([here[:1], here[:-1]]), np.concatenate([here[1:], here[:1]])
+        left[starts] = known["^"]
+        right[np.append(starts[1:], len(words)) - 1] = known["$"]
+        return own[shape] + before[left, here] + after[here, right]
+
+    def paths(self, words: list[str], lengths: np.ndarray) -> np.ndarray:
+        """The best label of each word of runs of these lengths, none empty, by Viterbi over all runs at once."""
+        first = np.cumsum(lengths) - lengths
+        scores = self.scores(words, first)
+        order = np.argsort(-lengths, kind="stable")
+        lengths, starts = lengths[order], first[order]
+        alive = np.searchsorted(-lengths, -np.arange(1, lengths[0]), "left")  # runs longer than t come first
+        into = np.ascontiguousarray(self.step.T)
         best = self.first + scores[starts]
-        back = []
-        for t in range(1, lengths[0]):
-            alive = int(np.searchsorted(-lengths, -t))  # runs longer than t come first
-            paths = best[:alive, :, None] + self.step
-            choice = paths.argmax(1)
-            back.append(choice)
-            best[:alive] = np.take_along_axis(paths, choice[:, None, :], 1)[:, 0] + scores[starts[:alive] + t]
-        out: list[list[int]] = [[] for _ in runs]
-        for place, k in enumerate(order):
-            label = int(best[place].argmax())
-            path = [label]
-            for t in range(lengths[place] - 1, 0, -1):
-                label = int(back[t - 1][place, label])
-                path.append(label)
-            out[k] = path[::-1]
+        back = np.zeros(scores.shape, np.int8)
+        for t, n in enumerate(alive.tolist(), 1):
+            routes = best[:n, None, :] + into
+            back[starts[:n] + t] = routes.argmax(2)
+            best[:n] = routes.max(2) + scores[starts[:n] + t]
+        out = np.zeros(len(words), np.int8)
+        label = best.argmax(1)
+        out[starts + lengths - 1] = label
+        for t in range(int(lengths[0]) - 1, 0, -1):
+            n = int(alive[t - 1])
+            label[:n] = back[starts[:n] + t, label[:n]]
+            out[starts[:n] + t - 1] = label[:n]
         return out
 
+    def decode(self, runs: list[list[str]]) -> list[list[int]]:
+        """The best labels of each run of words."""
+        lengths = np.array([len(run) for run in runs], np.int64)
+        if not lengths.sum():
+            return [[] for _ in runs]
+        found = self.paths([word for run in runs for word in run], lengths[lengths > 0])
+        return [part.tolist() for part in np.split(found, np.cumsum(lengths)[:-1])]
+
 
 def labelled_table() -> list[tuple[list[str], list[int]]]:
-    """The training lines as words with their labels, cut into runs of marked words as texts are."""
+    """The training lines as words with their labels."""
     out = []
     for line in TRAINING.strip().splitlines():
         words, labels = [], []
@@ -267,13 +330,7 @@ def labelled_table() -> list[tuple[list[str], list[int]]]:
                 found[-1] += tail
             words += found
             labels += [0] if kind is None else [LABELS.index(f"{'I' if k else 'B'}-{kind}") for k in range(len(found))]
-        run: list[int] = []
-        for k in range(len(words) + 1):
-            if k < len(words) and MARKED.search(words[k]):
-                run.append(k)
-            elif run:
-                out.append(([words[i] for i in run], [labels[i] for i in run]))
-                run = []
+        out.append((words, labels))
     return out
 
 
@@ -282,31 +339,11 @@ def trained() -> Field:
     return Field.train(labelled_table())
 
 
-def marked_runs(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of neighbouring words that hold a digit or an @."""
-    if not MARKED.search(text):
-        return []
-    out: list[list[tuple[int, int]]] = []
-    open_ = False
-    search = MARKED.search
-    for m in WORD.finditer(text):
-        lo, hi = m.span()
-        if search(text, lo, hi):
-            if open_:
-                out[-1].append((lo, hi))
-            else:
-                out.append([(lo, hi)])
-            open_ = True
-        else:
-            open_ = False
-    return out
-
-
 def plausible(kind: str, found: str) -> bool:
     """What a span of a kind must hold whatever its context."""
     digits = digits_of(found)
     if kind == "email":
-        return bool(re.fullmatch(r"[^@]+@[^@]*[^\W_][^@]*", found))
+        return bool(re.fullmatch(r"[^@]+(@|\(at\))[^@]*[^\W_][^@]*", found))
     if kind == "ip":
         return bool(re.search(r"[0-9]+(\.[0-9]+){3}", found)) and len(digits) >= 4
     if kind == "card":
@@ -315,17 +352,26 @@ def plausible(kind: str, found: str) -> bool:
 
 
 def all_spans(batch: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
-    """Base spans of each text, and those with the field's added: spans that meet no base span."""
-    runs = [marked_runs(text) for text in batch]
-    paths = iter(field.decode([[text[lo:hi] for lo, hi in run] for text, found in zip(batch, runs) for run in found]))
+    """Base spans of each text, and those with the field's added: spans that meet no base span. All words of a text are
+    one run."""
+    words: list[str] = []
+    lengths = []
+    for text in batch:
+        before = len(words)
+        words += WORD.findall(text)
+        lengths.append(len(words) - before)
+    sizes = np.array(lengths, np.int64)
+    labels = field.paths(words, sizes[sizes > 0]) if words else np.zeros(0, np.int8)
+    del words
     out = []
-    for text, found in zip(batch, runs):
+    for text, path in zip(batch, np.split(labels, np.cumsum(sizes)[:-1])):
         base = base_spans(text)
         more: list[Span] = []
-        for run in found:
-            path = next(paths)
-            for k, label in enumerate(path):
-                if not label or LABELS[label][0] == "I":
+        if path.any():
+            run = [m.span() for m in WORD.finditer(text)]
+            for k in np.flatnonzero(path).tolist():
+                label = int(path[k])
+                if LABELS[label][0] == "I":
                     continue
                 last = k
                 while last + 1 < len(path) and path[last + 1] == label + 1:

@@ -441,6 +441,17 @@ def test_field_adds_spans():
     assert {t: pii.joined(pii.all_spans([t], field)[0][1]) for t in cases} == cases
 
 
+def test_field_reads_all_words():
+    """Words without digit or @ inside of personal data, words around it, and words of any length."""
+    field = pii.trained()
+    cases = {"call 555 - 867 - 5309 today": "phone:5:21", "phone +49 30 / 901820 at noon": "phone:6:21",
+             "mail j.doe (at) example.com about it": "email:5:27", "mail bob @ host.net today": "email:5:19",
+             "we met (at) noon": "", "the years 1914 - 1918 were hard": ""}
+    assert {t: pii.joined(pii.all_spans([t], field)[0][1]) for t in cases} == cases
+    assert pii.features(["1" * 70]) != pii.features(["1" * 64])
+    assert max(len(words) for words, _ in pii.labelled_table()) > 8
+
+
 def test_viterbi_is_best():
     """Against all paths of short runs."""
     field = pii.trained()
