@@ -2,7 +2,8 @@
 
 A long series is cut twice: into blocks of rows in its order, and into blocks of values.  A table of counts, one
 number for each pair of blocks, says how many earlier values lie below a block of values.  What it cannot say is found
-inside one block of either kind, so no task holds more than a few blocks.
+inside one block of either kind. Of a block of values, tasks get its distinct values with their number in each block of
+rows, so a value may occur any number of times, and no task holds more than a few blocks.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def _grid(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 class _Ranked:
-    """Values that become active one by one, and the k-th smallest active one: a tree of counts over sorted places."""
+    """Values that become active one by one, some from the start as often as ``active`` says, and the k-th smallest
+    active one: a tree of counts over sorted places."""
 
     def __init__(self, values: np.ndarray, active: np.ndarray) -> None:
         self.order = np.argsort(values, kind="stable")
@@ -70,11 +72,11 @@ class _Ranked:
         return float(self.values[at])
 
 
-def _expanding_quantile(x: np.ndarray, earlier: np.ndarray, below: int, before: int, q: float, least: int) -> np.ndarray:
+def _expanding_quantile(x: np.ndarray, earlier: np.ndarray, times: np.ndarray, below: int, before: int, q: float, least: int) -> np.ndarray:
     """Quantiles after each of the new values ``x``, when ``before`` values came earlier: ``below`` that are smaller than
-    all that matter, then ``earlier``, then larger ones."""
+    all that matter, then ``earlier``, each as many ``times``, then larger ones."""
     known = ~np.isnan(x)
-    ranked = _Ranked(np.concatenate([earlier, x[known]]), np.concatenate([np.ones(len(earlier), bool), np.zeros(int(known.sum()), bool)]))
+    ranked = _Ranked(np.concatenate([earlier, x[known]]), np.concatenate([times, np.zeros(int(known.sum()), np.int64)]))
     out, n, k = np.full(len(x), np.nan), before, len(earlier)
     for i, here in enumerate(known.tolist()):
         if here:
@@ -106,19 +108,19 @@ def expanding_order(df: DataFrame, source: Column, quantiles: dict[str, tuple[fl
     rows = blocks.number_rows(df, ids, order, "__pos", max_rows, found)
     rows = reliable(rows.withColumns({"__x": source, "__b": F.floor(F.col("__pos") / max_rows).cast("long")}))
     narrow = rows.select(*ids, "__pos", "__b", "__x")
-    valued = reliable(_cut_values(narrow, ids, max_rows))
-    counts = valued.groupBy(*ids, "__b", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    distinct = reliable(_cut_values(narrow, ids, max_rows).groupBy(*ids, "__b", "__v", "__x").agg(F.count(F.lit(1)).alias("__n")))
+    counts = distinct.groupBy(*ids, "__b", "__v").agg(F.sum("__n").alias("__n"))
     every = reliable(narrow.groupBy(*ids, "__b").agg(F.count("__x").alias("__held")))
     out = rows
     for name, (q, least) in quantiles.items():
-        out = blocks.lookup(out, _quantiles(narrow, valued, counts, every, ids, name, q, least), [*ids, "__pos"], "left")
+        out = blocks.lookup(out, _quantiles(narrow, distinct, counts, every, ids, name, q, least), [*ids, "__pos"], "left")
     if ranks:
-        out = blocks.lookup(out, _ranks(narrow, valued, counts, ids, ranks), [*ids, "__pos"], "left")
+        out = blocks.lookup(out, _ranks(narrow, distinct, counts, ids, ranks), [*ids, "__pos"], "left")
     made = [*quantiles, *ranks]
     return out.select(*[F.col(f"`{c}`") for c in df.columns], *[F.nullif(F.col(f"`{c}`"), F.lit(float("nan"))).alias(c) for c in made])
 
 
-def _quantiles(narrow: DataFrame, valued: DataFrame, counts: DataFrame, every: DataFrame, ids: list[str], name: str,
+def _quantiles(narrow: DataFrame, distinct: DataFrame, counts: DataFrame, every: DataFrame, ids: list[str], name: str,
                q: float, least: int) -> DataFrame:
     def needed(pdf: pd.DataFrame) -> pd.DataFrame:
         """Which value blocks each row block needs: those of the ranks that its quantiles can have among earlier
@@ -144,21 +146,23 @@ def _quantiles(narrow: DataFrame, valued: DataFrame, counts: DataFrame, every: D
         every.select(*ids, "__b", F.lit(None).cast("long").alias("__v"), F.col("__held").alias("__n")))
     schema = _fields(narrow, ids, __to=LONG, __v=LONG, __below=LONG, __before=LONG)
     wanted = reliable(both.groupBy(*ids).applyInPandas(needed, schema))
-    sent = blocks.lookup(valued, wanted.where("__v IS NOT NULL"), [*ids, "__v"], "inner").where("__b < __to")
-    sent = sent.select(*ids, F.col("__to").alias("__b"), F.lit(None).cast("long").alias("__pos"), "__x")
+    sent = blocks.lookup(distinct, wanted.where("__v IS NOT NULL"), [*ids, "__v"], "inner").where("__b < __to")
+    sent = sent.groupBy(*ids, F.col("__to").alias("__b"), "__x").agg(F.sum("__n").alias("__n"))
     base = wanted.groupBy(*ids, F.col("__to").alias("__b")).agg(F.min("__below").alias("__below"), F.max("__before").alias("__before"))
-    all_ = blocks.lookup(narrow.select(*ids, "__b", "__pos", "__x").unionByName(sent), base, [*ids, "__b"], "left")
+    all_ = blocks.lookup(narrow.select(*ids, "__b", "__pos", "__x").unionByName(sent, allowMissingColumns=True), base, [*ids, "__b"], "left")
 
     def select(pdf: pd.DataFrame) -> pd.DataFrame:
         new = pdf[pdf["__pos"].notna()].sort_values("__pos")
-        earlier = pdf[pdf["__pos"].isna()]["__x"].to_numpy("float64")
-        made = _expanding_quantile(new["__x"].to_numpy("float64"), earlier, int(pdf["__below"].iloc[0]), int(pdf["__before"].iloc[0]), q, least)
+        sent = pdf[pdf["__pos"].isna()]
+        earlier, times = sent["__x"].to_numpy("float64"), sent["__n"].to_numpy("int64")
+        made = _expanding_quantile(new["__x"].to_numpy("float64"), earlier, times, int(pdf["__below"].iloc[0]),
+                                   int(pdf["__before"].iloc[0]), q, least)
         return _named(pdf, ids, __pos=new["__pos"].astype("int64").to_numpy(), **{name: made})
 
     return all_.groupBy(*ids, "__b").applyInPandas(select, _fields(narrow, ids, __pos=LONG, **{name: DOUBLE}))
 
 
-def _ranks(narrow: DataFrame, valued: DataFrame, counts: DataFrame, ids: list[str], ranks: dict[str, int]) -> DataFrame:
+def _ranks(narrow: DataFrame, distinct: DataFrame, counts: DataFrame, ids: list[str], ranks: dict[str, int]) -> DataFrame:
     def smaller(pdf: pd.DataFrame) -> pd.DataFrame:
         rows, values, _, earlier = _grid(pdf)
         below = np.cumsum(earlier, 1) - earlier
@@ -167,24 +171,25 @@ def _ranks(narrow: DataFrame, valued: DataFrame, counts: DataFrame, ids: list[st
 
     schema = _fields(narrow, ids, __b=LONG, __v=LONG, __below=LONG, __before=LONG)
     table = reliable(counts.groupBy(*ids).applyInPandas(smaller, schema))
-    placed = blocks.lookup(valued, table, [*ids, "__b", "__v"], "left")
+    placed = blocks.lookup(distinct, table, [*ids, "__b", "__v"], "left")
 
     def among_values(pdf: pd.DataFrame) -> pd.DataFrame:
         """Of the same block of values, earlier blocks of rows: how many are smaller, how many equal."""
-        pdf = pdf.sort_values(["__b", "__pos"])
-        x, b = pdf["__x"].to_numpy(), pdf["__b"].to_numpy()
-        edges = np.flatnonzero(np.diff(b)) + 1
-        less, equal, seen = [], [], np.zeros(0)
-        for part in np.split(x, edges):
-            left = np.searchsorted(seen, part, "left")
-            less.append(left)
-            equal.append(np.searchsorted(seen, part, "right") - left)
-            seen = np.sort(np.concatenate([seen, part]), kind="stable")
+        pdf = pdf.sort_values(["__b", "__x"])
+        values, place = np.unique(pdf["__x"].to_numpy(), return_inverse=True)
+        n, edges = pdf["__n"].to_numpy(), np.flatnonzero(np.diff(pdf["__b"].to_numpy())) + 1
+        less, equal, seen = [], [], np.zeros(len(values), np.int64)
+        for at, more in zip(np.split(place, edges), np.split(n, edges)):
+            equal.append(seen[at])
+            less.append(np.cumsum(seen)[at] - equal[-1])
+            seen[at] += more
         return pdf.assign(__below=pdf["__below"] + np.concatenate(less), __equal=np.concatenate(equal))[
-            [*ids, "__pos", "__b", "__x", "__below", "__equal", "__before"]]
+            [*ids, "__b", "__x", "__below", "__equal", "__before"]]
 
-    kinds = dict(__pos=LONG, __b=LONG, __x=DOUBLE, __below=LONG, __equal=LONG, __before=LONG)
+    kinds = dict(__b=LONG, __x=DOUBLE, __below=LONG, __equal=LONG, __before=LONG)
     partly = placed.groupBy(*ids, "__v").applyInPandas(among_values, _fields(narrow, ids, **kinds))
+    known = narrow.where(F.col("__x").isNotNull()).select(*ids, "__pos", "__b", "__x")
+    partly = blocks.lookup(known, partly, [*ids, "__b", "__x"], "left")
 
     def among_rows(pdf: pd.DataFrame) -> pd.DataFrame:
         """Of the same block of rows, earlier ones; a tie counts half."""

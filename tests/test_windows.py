@@ -82,6 +82,31 @@ def test_expanding_order_of_a_long_series(spark, series):
         rolling(df, [RollingSpec("x", np.ptp)], max_rows=12)
 
 
+def test_one_value_in_most_rows_of_a_long_series(spark, monkeypatch, tmp_path):
+    """No task gets all rows that have one value; results are those of the uncut series."""
+    from pyspark.sql.group import GroupedData
+
+    as_it_is = GroupedData.applyInPandas
+
+    def watched(self, func, schema):
+        def run(pdf):
+            if "__x" in pdf.columns:
+                (tmp_path / f"{len(pdf):06d}").touch()
+            return func(pdf)
+        return as_it_is(self, run, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", watched)
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random(3000) < 0.4, 0.0, np.round(rng.normal(0, 20, 3000), 1))
+    df = spark.createDataFrame([("a", float(k), v) for k, v in enumerate(x.tolist())], "id string, time double, x double")
+    specs = [RollingSpec("x", f, min_periods=2, name=f) for f in ("median", "rank")]
+    out = rolling(df, specs, max_rows=100).orderBy("time").toPandas()
+    grown = pd.Series(x).expanding(2)
+    np.testing.assert_allclose(out["median"], grown.median())
+    np.testing.assert_allclose(out["rank"], grown.rank())
+    assert max(int(f.name) for f in tmp_path.iterdir()) <= 500
+
+
 @pytest.mark.parametrize("max_rows", [NEVER, CUT])
 @pytest.mark.parametrize("n", [0, 2, -3])
 def test_filter_and_shift(series, series_df, n, max_rows):
