@@ -25,7 +25,7 @@ PAIRS = 20_000
 #: Parts of the hash space whose counts of values two sets are first compared by.
 PARTS = 256
 
-MIX, ROW_LIMIT = np.uint64(0x9E3779B97F4A7C15), 400_000
+MIX, TOP, ROW_LIMIT = np.uint64(0x9E3779B97F4A7C15), np.uint64(1 << 63), 400_000
 _POWERS: list[np.ndarray] = []
 
 
@@ -91,14 +91,15 @@ def set_name(values: np.ndarray) -> bytes:
 
 
 def sketched(documents: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, fp, sketch) of every row: the size of its set, a 128-bit name of the set, its K smallest hashes."""
+    """(doc_id, n, fp, sketch) of every row: the size of its set, a 128-bit name of the set, its K smallest hashes, with the
+    top bit flipped, so that Spark's signed order is that of the hashes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for all_ids, all_texts in texts(batches):
             for ids, batch in some(all_ids, all_texts, ROW_LIMIT):
                 sets = shingle_sets(batch, width)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(set_name, sets), pa.binary()),
-                    pa.array([s[:K].view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc_id", "n", "fp", "sketch"])
+                    pa.array([(s[:K] ^ TOP).view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc_id", "n", "fp", "sketch"])
 
     return documents.mapInArrow(run, "doc_id long, n long, fp binary, sketch array<long>")
 

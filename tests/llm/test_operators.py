@@ -133,6 +133,22 @@ def test_near_dedup_families(spark, width, percent):
     assert rows_of(found, "doc_id", "n_shingles", "component_id", "kept") == components(rows, width, percent)
 
 
+def test_sketches_sort_as_hashes(spark):
+    """Sets of 65 to 160 shingles, whose sketches reach beyond 2^63: Spark's least values of a union are its least hashes."""
+    texts = [prose(3000 + n, n + 4) for n in range(65, 161, 5)]
+    texts += [" ".join(t.split(" ")[:-(len(t.split(" ")) - 4) // 5]) for t in texts]
+    sets = near_dedup.shingle_sets(texts, 5)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = near_dedup.sketched(rows, 5).select("doc_id", F.col("sketch").alias("s"))
+    half = len(texts) // 2
+    other = found.select((F.col("doc_id") - half).alias("doc_id"), F.col("s").alias("t"))
+    union = F.slice(F.array_sort(F.array_union("s", "t")), 1, near_dedup.K)
+    for r in found.join(other, "doc_id").select("doc_id", union.alias("u")).collect():
+        want = np.union1d(sets[r["doc_id"]], sets[r["doc_id"] + half])[:near_dedup.K]
+        assert [(x + (1 << 63)) for x in r["u"]] == want.tolist()
+    assert any((s[:near_dedup.K] >> np.uint64(63)).any() for s in sets)
+
+
 def test_blocks_of_a_long_list(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 3)
     counts = np.array([20, *[0] * 255], np.uint16).tobytes()
