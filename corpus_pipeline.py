@@ -38,8 +38,8 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of a fixed length."""
-    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Token sequences of a fixed length, with the token ids of each piece."""
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 
 STAGES = [("quality classifier", quality), ("quality rules", rules), ("near-dedup", dedup), ("PII", privacy), ("packing", pack)]

@@ -52,3 +52,9 @@ def test_stages(spark, corpus):
 
 def test_run_gives_rows(spark, corpus):
     assert corpus_pipeline.run(spark, corpus).count() > 0
+
+
+def test_last_stage_gives_token_ids(spark, corpus):
+    docs = spark.createDataFrame([(1, prose(1, 80), "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, corpus).collect()
+    assert rows and all(r["ids"] for r in rows)
