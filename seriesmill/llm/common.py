@@ -54,3 +54,29 @@ def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]
     """Ids and texts of each Arrow batch with columns (doc_id, text); a null text counts as empty."""
     for batch in batches:
         yield batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+
+
+#: Keys that may be broadcast.
+FEW = 100_000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, on: list[str], weight: str, spread: list[str], few: int = FEW) -> DataFrame:
+    """Rows with the columns of a stored table of one row per key, null where the table has none.
+
+    ``weight`` is how many rows have the key. The heaviest keys, fewer than ``few`` by their share of the whole weight,
+    are broadcast; the others are light and joined by an exchange, in which all further rows are spread by the columns
+    ``spread``. So no key, present or null, makes a task large.
+    """
+    values = [c for c in table.columns if c not in on and c != weight]
+    total = table.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    heavy, light = table.where(F.col(weight) > total // few), table.where(F.col(weight) <= total // few)
+    found = rows.join(F.broadcast(heavy.drop(weight).withColumn("_hit", F.lit(True))), on, "left")
+    if not light.head(1):
+        return found.drop("_hit")
+    open_ = F.col("_hit").isNull()
+    for c in on:
+        open_ = open_ & F.col(c).isNotNull()
+    salted = found.withColumn("_salt", F.when(open_, F.lit(-1)).otherwise(F.pmod(F.xxhash64(*spread), F.lit(1 << 16)).cast("int")))
+    others = light.select(*on, *(F.col(v).alias(f"_{v}") for v in values), F.lit(-1).alias("_salt"))
+    joined = salted.join(others, [*on, "_salt"], "left")
+    return joined.select(*rows.columns, *(F.coalesce(v, f"_{v}").alias(v) for v in values))

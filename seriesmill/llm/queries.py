@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seriesmill.llm import bpe, fingerprints, lm_scoring, near_dedup, packing, pii, quality_knn, quality_rules, sql, toxicity, warc
+from seriesmill.llm import (bpe, conversation_repair, filter_audit, fingerprints, line_dedup, lm_scoring, near_dedup, packing, pii, quality_knn,
+                            quality_rules, sql, toxicity, warc)
 from seriesmill.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # The others are held against brute force in tests/llm.
-ORACLES = {"op1_rules": sql.RULES, "op2_near_dedup": sql.NEAR, "op7_warc": sql.ARCHIVED}
+ORACLES = {"op1_rules": sql.RULES, "op2_near_dedup": sql.NEAR, "op7_warc": sql.ARCHIVED, "op11_filter_audit": sql.AUDIT,
+           "op12_line_dedup": sql.LINES}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
@@ -73,3 +76,21 @@ def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = conversation_repair.repaired(conversation_repair.damaged(rows), rows, with_text=False)
+    return found.withColumnRenamed("repaired", "repaired_sha256")

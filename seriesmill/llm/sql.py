@@ -46,3 +46,37 @@ SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lamb
                + 4 * CAST(bits[5 * i + 3] AS INT) + 2 * CAST(bits[5 * i + 4] AS INT) + CAST(bits[5 * i + 5] AS INT) + 1 AS INT), 1)), '') AS payload_digest,
        CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id > first THEN first END AS refers_to FROM x"""
+
+AUDIT = rf"""
+WITH said AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+              FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
+m AS (SELECT part, doc_id, len(ws) < 50 AS a, 100 * len(list_distinct(ws)) < 65 * len(ws) AS b,
+             100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+             coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM d),
+g AS (SELECT part, list_concat(CASE WHEN a THEN ['A'] ELSE [] END, CASE WHEN b THEN ['B'] ELSE [] END, CASE WHEN c THEN ['C'] ELSE [] END,
+                               CASE WHEN d THEN ['D'] ELSE [] END, CASE WHEN e THEN ['E'] ELSE [] END) AS fails,
+             count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM m LEFT JOIN said USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT v.x || w.x || x.x || y.x || z.x AS filter_order FROM x v, x w, x, x y, x z WHERE len(list_distinct([v.x, w.x, x.x, y.x, z.x])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS f, string_split(left(filter_order, step - 1), '') AS before
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, f, list_contains(fails, f) AS hit, len(list_intersect(fails, before)) > 0 AS gone, len(fails) AS k, n, good, toxic
+      FROM s, g),
+q AS (SELECT part, filter_order, step, f, sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END) AS kept, sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN gone AND hit THEN n ELSE 0 END) AS redundant, sum(CASE WHEN hit AND k = 1 THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN NOT gone AND hit THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN NOT gone AND hit THEN toxic ELSE 0 END) AS toxic_lost
+      FROM r GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM q"""
+
+LINES = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS line FROM d),
+k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN f USING (key) GROUP BY doc_id"""
