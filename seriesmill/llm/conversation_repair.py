@@ -6,6 +6,7 @@ import hashlib
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +32,12 @@ LEGAL = {"su", "ua", "au"}
 CLEAN, BLANK, DUPLICATE, CUT = range(4)
 
 
-def search(rows: list[tuple[str, int]], start: int, goal: int | None) -> tuple[int, str] | None:
+#: Searches that a worker remembers: short conversations repeat in roles and faults.
+REMEMBERED = 1 << 16
+
+
+@lru_cache(REMEMBERED)
+def search(rows: tuple[tuple[str, int], ...], start: int, goal: int | None) -> tuple[int, str] | None:
     """The least cost of leading rows (initial, fault) from a state to ``goal``, and the edits' initials, least in ASCII order
     among those of that cost. Without goal the rows end the conversation; with it, rows may follow, so nothing is
     inserted after the last. None if the goal cannot be reached.
@@ -134,8 +140,8 @@ class Block:
     rows: list[tuple[str, str]] = field(default_factory=list)
     faults: list[int] = field(default_factory=list)
 
-    def steps(self) -> list[tuple[str, int]]:
-        return [(role[0], fault) for (role, _), fault in zip(self.rows, self.faults)]
+    def steps(self) -> tuple[tuple[str, int], ...]:
+        return tuple((role[0], fault) for (role, _), fault in zip(self.rows, self.faults))
 
     def counts(self) -> dict:
         roles = [role[0] for role, _ in self.rows]
