@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +58,19 @@ def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]
         yield batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
 
 
+def in_parts(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 500_000, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches cut into parts of at most ``most`` bytes of a column and at most ``rows`` rows, or one row: what a task holds
+    beside its input is bounded by a part, or by one text."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < batch.num_rows:
+            before = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, min(lo + rows, int(np.searchsorted(ends, before + most, "right"))))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 #: Keys that may be broadcast.
 FEW = 100_000
 
