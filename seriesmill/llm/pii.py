@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from seriesmill.llm.common import pick
+from seriesmill.llm.common import in_parts, pick
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *(f"{side}-{kind}" for kind in KINDS for side in "BI")]
@@ -111,6 +111,9 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
+#: Bytes of text that are decoded at a time, unless one text is longer.
+PART_BYTES = 500_000
+
 Span = tuple[int, int, int]  # start, number of the kind, end
 
 
@@ -258,7 +261,7 @@ class Field:
         and the word, as the word and the one after. The last number is that of all other shapes."""
         pairs = [f.split(" ") for f in self.index if f.startswith(("before ", "after "))]
         known = {s: k for k, s in enumerate(sorted({s for _, *both in pairs for s in both} | {"^", "$"}))}
-        tables = {kind: np.zeros((len(known) + 1, len(known) + 1, len(LABELS))) for kind in ("before", "after")}
+        tables = {kind: np.zeros((len(known) + 1, len(known) + 1, len(LABELS)), np.float32) for kind in ("before", "after")}
         for kind, a, b in pairs:
             tables[kind][known[a], known[b]] = self.emit[self.index[f"{kind} {a} {b}"]]
         return known, tables["before"], tables["after"]
@@ -274,7 +277,7 @@ class Field:
             for run, mark in RUNS:
                 word = run.sub(mark, word)
             of_word[k] = shapes[DIGIT.sub("9", word)]
-        own, brief = np.zeros((len(shapes), len(LABELS))), np.empty(len(shapes), np.int64)
+        own, brief = np.zeros((len(shapes), len(LABELS)), np.float32), np.empty(len(shapes), np.int64)
         for k, shape in enumerate(shapes):
             short = brief_of(shape)
             brief[k] = known.get(short, len(known))
@@ -284,7 +287,10 @@ class Field:
         left, right = np.concatenate([here[:1], here[:-1]]), np.concatenate([here[1:], here[:1]])
         left[starts] = known["^"]
         right[np.append(starts[1:], len(words)) - 1] = known["$"]
-        return own[shape] + before[left, here] + after[here, right]
+        out = own[shape]
+        out += before[left, here]
+        out += after[here, right]
+        return out
 
     def paths(self, words: list[str], lengths: np.ndarray) -> np.ndarray:
         """The best label of each word of runs of these lengths, none empty, by Viterbi over all runs at once."""
@@ -420,18 +426,9 @@ def detected(documents: DataFrame, keep: list[str] | None = None, with_redacted:
     schema = StructType([f for f in rows.schema.fields if f.name != "text"] + [StructField(*x) for x in added])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, most=PART_BYTES):
             raw = batch.column("text").to_pylist()
-            held = [t or "" for t in raw]
-            found = []
-            lo = 0
-            while lo < len(held):
-                hi, size = lo + 1, len(held[lo])
-                while hi < len(held) and size + len(held[hi]) <= 8_000_000:
-                    size += len(held[hi])
-                    hi += 1
-                found += all_spans(held[lo:hi], field)
-                lo = hi
+            found = all_spans([t or "" for t in raw], field)
             base = [joined(b) for b, _ in found]
             columns = [pa.array([sum(s[1] == k for s in b) for b, _ in found], pa.int64()) for k in range(len(KINDS))]
             columns += [pa.array([hashlib.sha256(x.encode()).hexdigest() for x in base], pa.string()),
