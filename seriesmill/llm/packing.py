@@ -12,12 +12,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from seriesmill.llm.common import pick, texts
+from seriesmill.llm.common import in_parts, pick, texts
 
 WINDOW = 2048
 END = 1
 #: Rests that are packed together and the tokens they may hold; more are packed in several rounds of a task.
 PACK_ITEMS, PACK_TOKENS = 60_000, 40_000_000
+#: Likewise where their ids are held as well.
+PACK_IDS = 8_000_000
+#: Bytes of text that are encoded at a time, and rows handed on at a time.
+PART_BYTES, ROWS = 4_000_000, 4_000
 #: Words that a task remembers before it starts over; bounds memory only.
 REMEMBERED = 800_000
 
@@ -144,7 +148,7 @@ def packed(documents: DataFrame, vocabulary: str, window: int = WINDOW, end: int
 
     A document is its ids and one ``end``. It is cut into full windows from its start; each is a sequence of its own.
     The rest is placed among the rests of the same task, so nothing is shuffled and a task holds at most
-    ``PACK_ITEMS`` rests or ``PACK_TOKENS`` tokens; what is left open is at most a few windows in each round.
+    ``PACK_ITEMS`` rests or ``PACK_TOKENS`` tokens (``PACK_IDS`` with their ids); what is left open is at most a few windows in each round.
     A sequence_id is the task's number and a count within it. ``with_ids`` adds the ids of each piece
     (little-endian unsigned 32-bit).
 
@@ -162,15 +166,16 @@ def packed(documents: DataFrame, vocabulary: str, window: int = WINDOW, end: int
             order = [n for n in names if n != "ids"] + ["ids"] * with_ids
             return pa.RecordBatch.from_arrays([arrays[n] for n in order], order)
 
-        def place() -> pa.RecordBatch:
+        def place() -> Iterator[pa.RecordBatch]:
             nonlocal made, held, tokens
             names, offsets, windows = best_fit(np.array([row[2] for row in held], np.int64), window)
             rows = [(*row, base + made + n, o) for row, n, o in zip(held, names.tolist(), offsets.tolist())]
             made, held, tokens = made + windows, [], 0
-            return out(rows)
+            for lo in range(0, len(rows), ROWS):
+                yield out(rows[lo:lo + ROWS])
 
         tail = np.array([end], "<u4").tobytes()
-        for doc_ids, batch in texts(batches):
+        for doc_ids, batch in texts(in_parts(batches, most=PART_BYTES, rows=10_000)):
             full: list[tuple] = []
             for doc_id, ids in zip(doc_ids, own.encode(batch)):
                 ids += tail
@@ -184,13 +189,13 @@ def packed(documents: DataFrame, vocabulary: str, window: int = WINDOW, end: int
                     else:
                         held.append(row)
                         tokens += row[2]
-                if len(held) >= PACK_ITEMS or tokens >= PACK_TOKENS:
-                    yield place()
-                if len(full) >= 10_000:
+                if len(held) >= PACK_ITEMS or tokens >= (PACK_IDS if with_ids else PACK_TOKENS):
+                    yield from place()
+                if len(full) >= ROWS:
                     yield out(full)
                     full = []
             yield out(full)
         if held:
-            yield place()
+            yield from place()
 
     return pick(documents, "doc_id", "text").mapInArrow(run, SCHEMA + ", ids binary" * with_ids)
