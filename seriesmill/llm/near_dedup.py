@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from seriesmill.llm.bpe import some
-from seriesmill.llm.common import pick, stored, texts
+from seriesmill.llm.common import looked_up, pick, stored, texts
 
 #: Values that a sketch keeps, and how many two sketches share at least. Of the K smallest values of the union of two
 #: sets with similarity s, each is in both with probability s, without replacement; for s >= 0.8 fewer than SHARED of
@@ -55,9 +55,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def shingle_sets(batch: list[str], width: int) -> list[np.ndarray]:
-    """The sorted distinct hashes of each text's shingles of ``width`` words, lower case for A-Z; a shorter text is one
-    shingle, a text without words has none."""
+def word_hashes(batch: list[str]) -> tuple[np.ndarray, list[int]]:
+    """The hashes of all words, lower case for A-Z, and where each text's begin; the last number is that of all words."""
     joined = b"\n".join([*(t.encode().lower() for t in batch), b""])
     data = np.frombuffer(joined, np.uint8)
     ends = np.cumsum([len(t.encode()) + 1 for t in batch])
@@ -66,14 +65,19 @@ def shingle_sets(batch: list[str], width: int) -> list[np.ndarray]:
     lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     power, inverse = _powers(len(data) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * power[:len(data)], dtype=np.uint64)])
-    word = mixed((total[hi] - total[lo]) * inverse[lo])
-    cuts = np.concatenate([[0], np.searchsorted(lo, ends)])
+    return mixed((total[hi] - total[lo]) * inverse[lo]), [0, *np.searchsorted(lo, ends).tolist()]
+
+
+def shingle_sets(batch: list[str], width: int) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text's shingles of ``width`` words, lower case for A-Z; a shorter text is one
+    shingle, a text without words has none."""
+    word, cuts = word_hashes(batch)
     rolled = mixed(word)
     shingle = rolled[:max(0, len(word) - width + 1)]
     for j in range(1, width):
         shingle = mixed(shingle * MIX + word[j:len(shingle) + j])
     out = []
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+    for a, b in zip(cuts[:-1], cuts[1:]):
         if b - a >= width:
             out.append(np.unique(shingle[a:b - width + 1]))
         elif b > a:
@@ -86,22 +90,26 @@ def shingle_sets(batch: list[str], width: int) -> list[np.ndarray]:
     return out
 
 
+def md5(text: str) -> str:
+    return hashlib.md5(text.encode(), usedforsecurity=False).hexdigest()
+
+
 def set_name(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
 def sketched(documents: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, fp, sketch) of every row: the size of its set, a 128-bit name of the set, its K smallest hashes, with the
-    top bit flipped, so that Spark's signed order is that of the hashes."""
+    """(doc_id, t, n, fp, sketch) of every row: the md5 of its text, the size of its set, a 128-bit name of the set, its K
+    smallest hashes, with the top bit flipped, so that Spark's signed order is that of the hashes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for all_ids, all_texts in texts(batches):
             for ids, batch in some(all_ids, all_texts, ROW_LIMIT):
                 sets = shingle_sets(batch, width)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(set_name, sets), pa.binary()),
-                    pa.array([(s[:K] ^ TOP).view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc_id", "n", "fp", "sketch"])
+                    pa.array(ids, pa.int64()), pa.array([md5(x) for x in batch], pa.string()), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(set_name, sets), pa.binary()),
+                    pa.array([(s[:K] ^ TOP).view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc_id", "t", "n", "fp", "sketch"])
 
-    return documents.mapInArrow(run, "doc_id long, n long, fp binary, sketch array<long>")
+    return documents.mapInArrow(run, "doc_id long, t string, n long, fp binary, sketch array<long>")
 
 
 def whole_sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -305,6 +313,13 @@ def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                   pa.array([label] * len(part), pa.binary()), pa.array(part)], ["fp", "n", "label", "x"])
 
 
+def classes_of(base: DataFrame) -> DataFrame:
+    """One row for each set of shingles: its least row by doc_id, null last, then text, and how many rows have it."""
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "t")
+    return base.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("sketch").alias("sketch"),
+                                                 F.min(row).alias("row"), F.count("*").alias("weight"))
+
+
 def deduplicated(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of (doc_id, text).
 
@@ -316,13 +331,37 @@ def deduplicated(documents: DataFrame, width: int = 5, percent: int = 80) -> Dat
     """
     rows = pick(documents, "doc_id", "text")
     base = stored(sketched(rows, width))
-    classes = stored(base.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("sketch").alias("sketch")))
+    classes = stored(classes_of(base))
     labels = links(rows, classes, width, percent)
-    linked = classes.select("fp", "rep").join(labels, F.col("fp") == F.col("node")).select("fp", "rep", "label")
+    linked = classes.select("fp", "rep", "weight").join(labels, F.col("fp") == F.col("node")).select("fp", "rep", "label", "weight")
     least = linked.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_class = classes.select("fp", "rep").join(linked.join(least, "label").select("fp", "component_id"), "fp", "left").select(
-        "fp", F.coalesce("component_id", "rep").alias("component_id"))
-    found = base.drop("sketch").join(of_class, "fp", "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    # A class of one row and without links is its own component; only the others are looked up.
+    alone = classes.where("weight > 1").join(labels, F.col("fp") == F.col("node"), "left_anti").select("fp", F.col("rep").alias("component_id"), "weight")
+    of_class = stored(linked.join(least, "label").select("fp", "component_id", "weight").unionByName(alone).withColumn("found", F.lit(True)))
+    found = looked_up(base.drop("sketch", "t"), of_class, ["fp"], "weight", ["doc_id"])
+    component = F.when((F.col("n") > 0) & F.col("found").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(documents: DataFrame, keep: list[str], width: int = 5, percent: int = 80) -> DataFrame:
+    """One row, with the columns ``keep``, of each component of (doc_id, text): that of the least doc_id, nulls last, and of
+    several texts of this doc_id that of the least md5. Rows equal in both are one, with the least of their other columns.
+
+    Whatever else a doc_id stands for is untouched: rows are told apart by doc_id and text. Texts without words have no
+    copies but their repeated rows. An empty table gives an empty result.
+    """
+    rows = pick(documents, *keep)
+    base = stored(sketched(rows.select("doc_id", "text"), width))
+    classes = stored(classes_of(base))
+    labels = links(rows.select("doc_id", "text"), classes, width, percent)
+    group = F.coalesce("label", "fp").alias("group")
+    least = classes.join(labels, F.col("fp") == F.col("node"), "left").groupBy(group).agg(F.min("row").alias("row"))
+    bare = base.where("n = 0").select("doc_id", "t").distinct()
+    # Keys that are never null, so that both sides are dealt alike.
+    named = lambda d, t: F.concat_ws(":", F.coalesce(d.cast("string"), F.lit("-")), t).alias("key")
+    wanted = least.select(named(F.col("row.doc_id"), F.col("row.t"))).unionByName(bare.select(named(F.col("doc_id"), F.col("t"))))
+    keyed = rows.select(named(F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))), F.struct(*rows.columns).alias("row"))
+    # Repeated rows become one before the exchange, which serves the join as well.
+    once = keyed.groupBy("key").agg(F.min("row").alias("row"))
+    return once.join(wanted, "key", "left_semi").select("row.*")
