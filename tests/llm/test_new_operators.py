@@ -310,4 +310,4 @@ def test_search_finds_the_least_of_all_edits():
                 else:
                     if at == len(rows) and state in (0, 3):
                         best = min(best or (math.inf, ""), (cost, "".join(letters)))
-        assert conversation_repair.search(rows, 0, None) == best
+        assert conversation_repair.search(tuple(rows), 0, None) == best

@@ -415,6 +415,82 @@ def test_quality(spark, odd, none):
     assert quality_knn.scored(odd, marks, keep=["sketch"]).count() == odd.count()
 
 
+def quality_by_hand(train, labels, texts, axes):
+    """Scores from terms counted in plain Python, dense vectors and all cosines, with the given latent axes."""
+    kind = {}
+    for k, characters in enumerate(quality_knn.CLASSES[:-1]):
+        kind |= {b: k for b in characters.encode()}
+    kind |= {b: 0 for b in range(128, 256)}
+    n, last = len(quality_knn.CLASSES), len(quality_knn.CLASSES) - 1
+
+    def counts(text):
+        raw = text.encode()
+        codes = [kind.get(b, last) for b in raw]
+        out = np.zeros(quality_knn.PATTERNS + quality_knn.WORDS)
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            out[(a * n + b) * n + c] += 1
+        found = raw.split()
+        same = [a == b for a, b in zip(found, found[1:])]
+        both = sum(a and b for a, b in zip(same, same[1:]))
+        out[quality_knn.PATTERNS - 4:quality_knn.PATTERNS] = both, sum(same), len(same) - sum(same), bool(found)
+        for word in found:
+            out[quality_knn.PATTERNS + int(near_dedup.word_hashes([word.decode()])[0][0]) % quality_knn.WORDS] += 1
+        return out
+
+    known, asked = np.array([counts(t) for t in train]), np.array([counts(t) for t in texts])
+    weights = np.log((1 + len(train)) / (1 + (known > 0).sum(0))) + 1
+
+    def vectors(c):
+        p, w = c[:, :quality_knn.PATTERNS], c[:, quality_knn.PATTERNS:]
+        p = np.sqrt(p / np.maximum(p.sum(1, keepdims=True), 1)) * weights[:quality_knn.PATTERNS]
+        w = np.where(w > 0, 1 + np.log(np.maximum(w, 1)), 0) * weights[quality_knn.PATTERNS:]
+        unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        whole = np.hstack([unit(p), quality_knn.WORD_SHARE * unit(w)])
+        return unit(whole @ axes), whole
+
+    out, (mine, whole) = [], vectors(known)
+    for v in vectors(asked)[0]:
+        cosines = sorted(((float(v @ m), label) for m, label in zip(mine, labels)), reverse=True)[:quality_knn.NEIGHBOURS]
+        votes = [(max(c, 0) ** quality_knn.SHARPNESS, label) for c, label in cosines]
+        total = sum(w for w, _ in votes)
+        out.append(sum(w * label for w, label in votes) / total if total > 1e-9 else sum(labels) / len(labels))
+    return out, whole
+
+
+def test_quality_against_brute_force():
+    rng = random.Random(2)
+    train = [prose(k, rng.randint(5, 80)) + rng.choice(["", " &&& " * 9, "!!"]) for k in range(120)]
+    labels = [int("&" not in t) if k % 9 else 0 for k, t in enumerate(train)]
+    texts = [prose(500 + k, 40) + " &&" * (k % 4) for k in range(40)] + ["", " ", "one", train[3]]
+    counts = quality_knn.joined([quality_knn.term_counts(train[:50]), quality_knn.term_counts(train[50:])])
+    space = quality_knn.Space.fit(counts, np.array(labels, float))
+    want, whole = quality_by_hand(train, labels, texts, space.axes.astype(float))
+    assert np.allclose(space.scores(texts), want, atol=2e-3)
+    # The axes hold nearly as much of the vectors as the best ones do.
+    best = np.linalg.svd(whole, compute_uv=False)[:quality_knn.DIMENSIONS]
+    assert (np.linalg.norm(whole @ space.axes) ** 2) > 0.97 * (best ** 2).sum()
+
+
+def test_quality_hears_words():
+    """Texts of one pattern of letters and spaces, told apart by their words alone."""
+    rng = random.Random(5)
+    make = lambda letters: ["".join(rng.choices(letters, k=5)) for _ in range(60)]
+    good, bad = make("abcdefghijkl"), make("mnopqrstuvwx")
+    text = lambda words: " ".join(rng.choices(words, k=50))
+    train = [text(good if k % 2 else bad) for k in range(200)]
+    space = quality_knn.Space.fit(quality_knn.term_counts(train), np.arange(200) % 2.0)
+    patterns = quality_knn.term_counts([text(good), text(bad)]).patterns
+    assert (patterns[0][:-4] == patterns[1][:-4]).all()
+    assert space.scores([text(good) for _ in range(20)]).min() > 0.9 and space.scores([text(bad) for _ in range(20)]).max() < 0.1
+
+
+def test_patterns_of_long_texts(monkeypatch):
+    text = "".join(random.Random(1).choices("ab C.\n9#é", k=5000)).encode()
+    whole = quality_knn.pattern_counts(text)
+    monkeypatch.setattr(quality_knn, "PART_BYTES", 7)
+    assert (quality_knn.pattern_counts(text) == whole).all()
+
+
 # Personal data
 
 def expressions(text):
