@@ -100,8 +100,12 @@ def merged_frames(x: np.ndarray, starts: np.ndarray, ends: np.ndarray, begin: np
 
     Each series is cut into chunks of ``width`` rows.  Inside a chunk sets grow row by row, from its start and from its
     end, for all chunks of all series at once.  A frame is the end of one chunk and the start of the next, so nothing
-    is ever taken away again and nothing outside the frame plays a part.
+    is ever taken away again and nothing outside the frame plays a part.  Very wide frames go by ``doubled_frames``.
     """
+    if width > DOUBLING:
+        with np.errstate(invalid="ignore", over="ignore"):
+            out = doubled_frames(_single(x, moments), begin, end, _merge)
+        return out
     first = np.concatenate([np.arange(a, b, width) for a, b in zip(starts, ends)]).astype("int64")
     last = np.minimum(first + width, np.repeat(ends, -(-(ends - starts) // width)))
     chunk = np.repeat(np.arange(len(first)), last - first)
@@ -123,6 +127,39 @@ def merged_frames(x: np.ndarray, starts: np.ndarray, ends: np.ndarray, begin: np
     return out
 
 
+#: Width of a frame above which sets of doubling size take over from growing ones; measured.
+DOUBLING = 2_000
+
+
+def doubled_frames(ones: dict[str, np.ndarray], begin: np.ndarray, end: np.ndarray,
+                   merge: Callable[[dict, dict], dict]) -> dict[str, np.ndarray]:
+    """States of frames ``begin`` to before ``end`` from those of single rows, zeros for empty frames.
+
+    Sets of 1, 2, 4, ... rows from each row on are merged from two of half the size; a frame is put together from its
+    start on, from the sets that the binary digits of its length name.  So the work per row grows with the logarithm
+    of the widest frame, and each value enters a frame once, in order.
+    """
+    length = np.asarray(end) - np.asarray(begin)
+    out = {k: np.zeros(len(length)) for k in ones}
+    at, started = np.asarray(begin).copy(), np.zeros(len(length), bool)
+    sets, size, n = ones, 1, len(next(iter(ones.values())))
+    while size <= length.max(initial=0):
+        rows = np.flatnonzero(length & size)
+        if len(rows):
+            part = {k: v[at[rows]] for k, v in sets.items()}
+            both = merge({k: v[rows] for k, v in out.items()}, part)
+            for k, v in out.items():
+                v[rows] = np.where(started[rows], both[k], part[k])
+            started[rows] = True
+            at[rows] += size
+        size *= 2
+        if size <= length.max(initial=0):
+            # Sets that reach beyond the last row are wrong and belong to no frame.
+            there = np.minimum(np.arange(n) + size // 2, n - 1)
+            sets = merge(sets, {k: v[there] for k, v in sets.items()})
+    return out
+
+
 def result_of(func: str, sets: dict[str, np.ndarray], least: int) -> np.ndarray:
     """A function of ``MERGED`` from the sets of the frames that hold ``least`` values."""
     n = sets["n"]
@@ -179,20 +216,58 @@ def slide(x: np.ndarray, begin: np.ndarray, end: np.ndarray, func: str | Callabl
     return (frame.apply(func, raw=False) if callable(func) else getattr(frame, func)()).to_numpy()
 
 
-def slide_weighted(x: np.ndarray, begin: np.ndarray, end: np.ndarray, first: int, weights: Sequence[float],
-                   mean: bool, least: int) -> np.ndarray:
-    """Weighted sum or mean; weight k belongs to the row ``first + k`` from the current one."""
-    at = np.arange(len(x))
-    total, mass, held = np.zeros(len(x)), np.zeros(len(x)), np.zeros(len(x))
-    for k, w in enumerate(weights):
-        there = at + first + k
-        inside = (there >= begin) & (there < end)
-        value = np.where(inside, x[np.clip(there, 0, len(x) - 1)], np.nan)
-        known = ~np.isnan(value)
-        total += np.where(known, value * w, 0.0)
-        mass += np.where(known, w, 0.0)
-        held += known
-    if mean:
-        with np.errstate(invalid="ignore", divide="ignore"):
-            total = np.where(mass != 0, total / mass, np.nan)
-    return np.where(held >= least, total, np.nan)
+#: Values and weights above which a convolution goes by transforms of blocks.
+DIRECT = 128
+
+
+def convolved(x: np.ndarray, taps: np.ndarray) -> np.ndarray:
+    """The full convolution.  Long ones go by overlap-save: blocks of the values, each with as many of the values before
+    it as there are weights, are transformed on their own, so the time per value grows with the logarithm of the weights."""
+    if min(len(x), len(taps)) <= DIRECT:
+        return np.convolve(x, taps)
+    reach = len(taps) - 1
+    size = 1 << (4 * len(taps) - 1).bit_length()
+    step = size - reach
+    total = len(x) + reach
+    spectrum = np.fft.rfft(taps, size)
+    padded = np.concatenate([np.zeros(reach), x, np.zeros(size + reach)])
+    out = np.empty(-(-total // step) * step)
+    for lo in range(0, total, step):
+        block = padded[lo:lo + size]
+        out[lo:lo + step] = np.fft.irfft(np.fft.rfft(block, size) * spectrum, size)[reach:]
+    return out[:total]
+
+
+def slide_weighted(x: np.ndarray, starts: np.ndarray, ends: np.ndarray, begin: np.ndarray, end: np.ndarray, ahead: int,
+                   weights: Sequence[float], func: str, least: int) -> np.ndarray:
+    """Weighted sum, mean, var or std of frames whose last weight belongs to the row ``ahead`` of the current one.
+
+    Convolutions of the values, of their squares and of what is known give them for all rows of a series.  Values are
+    centred on the mean of their series first, so that squares do not drown the spread.
+    """
+    taps = np.asarray(weights, "float64")[::-1]  # the last weight meets the row at hand
+    total, mass, square = (np.zeros(len(x)) for _ in range(3))
+    known = ~np.isnan(x)
+    for a, b in zip(starts, ends):
+        here = known[a:b]
+        centre = x[a:b][here].mean() if here.any() else 0.0
+        d = np.where(here, x[a:b] - centre, 0.0)
+        take = lambda values, n=b - a: convolved(values, taps)[ahead:ahead + n]
+        mass[a:b] = take(here.astype("float64"))
+        moved = take(d)
+        total[a:b] = moved + centre * mass[a:b]
+        if func in ("var", "std"):
+            some = np.where(mass[a:b] > 0, mass[a:b], 1.0)
+            whole = take(d * d)
+            rest = whole - moved * moved / some
+            square[a:b] = np.where(rest > 1e-12 * whole, rest, 0.0)  # below that it is rounding
+    held = np.concatenate([[0], np.cumsum(known)])
+    held = held[end] - held[begin]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        weighed = np.abs(mass) > 1e-12 * np.abs(taps).sum()
+        value = total if func == "sum" else np.where(weighed, total / mass, np.nan)
+        if func in ("var", "std"):
+            n = len(taps)
+            value = np.where(held > 1, square * n / ((n - 1) * mass) if n > 1 else np.nan, 0.0)
+            value = np.where(weighed, np.sqrt(value) if func == "std" else value, np.nan)
+    return np.where(held >= least, value, np.nan)

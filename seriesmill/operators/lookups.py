@@ -51,15 +51,22 @@ def _spread_join(df: DataFrame, table: DataFrame, on: Sequence[str], how: str) -
 
 
 def _last_per_key(table: DataFrame, key: str, value: str, order: str | None) -> DataFrame:
-    at = F.col(f"`{order}`") if order else F.struct(F.input_file_name(), F.monotonically_increasing_id())
-    return table.select(key, value, at.alias("__at")).groupBy(key).agg(F.max_by(value, "__at").alias(value))
+    """One value per key: the last by ``order``.  Without an order a key may repeat only with the same value."""
+    if order is not None:
+        return table.select(key, value, F.col(f"`{order}`").alias("__at")).groupBy(key).agg(F.max_by(value, "__at").alias(value))
+    seen = table.select(key, value).groupBy(key).agg(
+        F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.count(value).alias("__known"), F.count(F.lit(1)).alias("__n"))
+    alike = (F.col("__known") == 0) | ((F.col("__known") == F.col("__n")) & (F.col("__lo") == F.col("__hi")))
+    several = F.concat(F.lit(f"several values of {value} for {key} "), F.col(f"`{key}`").cast("string"), F.lit("; give an order"))
+    return seen.select(key, F.when(alike, F.col("__lo")).otherwise(F.raise_error(several).cast(table.schema[value].dataType)).alias(value))
 
 
 def mark_target(df: DataFrame, labels: DataFrame, key: str = "id", target: str = "target",
                 order: str | None = None, codes: Mapping[str, int] = TARGET_CODES) -> DataFrame:
     """Add the target code of each measurement; unknown or unlabelled is UNDEFINED.
 
-    The last label of a key wins: by ``order``, or in file order for labels read from one file.
+    The last label of a key by ``order`` wins; labels read with ``position`` have one of their place in the files.
+    Without an order, a key with several labels is an error.
     """
     coded = _last_per_key(labels.withColumn(target, map_code(F.col(target), codes)), key, target, order)
     marked = attach(df.drop(target), coded, [key])
@@ -69,7 +76,7 @@ def mark_target(df: DataFrame, labels: DataFrame, key: str = "id", target: str =
 def decode_groups(df: DataFrame, mapping: DataFrame, group: str = "group_id", name: str = "name",
                   order: str | None = None) -> DataFrame:
     """Add the name of each group number.  ``mapping`` is (name, number or array of numbers); the last
-    name of a number wins."""
+    name of a number by ``order`` wins, and without an order several are an error."""
     if isinstance(mapping.schema[group].dataType, T.ArrayType):
         mapping = mapping.withColumn(group, F.explode(group))
     return attach(df, _last_per_key(mapping, group, name, order), [group])

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmill.operators import blocks, growing, kernels
+from seriesmill.operators import blocks, growing, kernels, mergeable
+from seriesmill.operators.mergeable import Mergeable
 from seriesmill.storage import reliable
 
 CLOSED = ("right", "left", "both", "neither")
@@ -31,14 +32,15 @@ WIDE = 80
 class RollingSpec:
     """One feature.
 
-    ``func`` is a name from ``FUNCTIONS``, a function of a pandas Series to a number, or None when
-    ``quantile`` is given; ``func`` wins if both are.  ``window=None`` is an expanding frame.  With ``filter_column`` the
+    ``func`` is a name from ``FUNCTIONS``, a ``Mergeable``, a function of a pandas Series to a number, or None when
+    ``quantile`` is given; ``func`` wins if both are.  ``window=None`` is an expanding frame; a custom function of it
+    must be a ``Mergeable``, since one of a Series would need all earlier rows anew for every row.  With ``filter_column`` the
     frame counts only the rows equal to ``filter_value`` and other rows get NULL.  ``shift`` moves the
     result by rows of the whole series, forward if positive.
     """
 
     source: str
-    func: str | Callable[[pd.Series], float] | None = None
+    func: str | Mergeable | Callable[[pd.Series], float] | None = None
     quantile: float | None = None
     window: int | None = None
     min_periods: int | None = None
@@ -46,6 +48,7 @@ class RollingSpec:
     closed: str = "right"
     win_type: str | None = None
     std: float | None = None
+    shape: float | None = None
     filter_column: str | None = None
     filter_value: object = None
     shift: int = 0
@@ -66,8 +69,10 @@ class RollingSpec:
             raise ValueError("window must be at least 1")
         if self.min_periods is not None and self.window is not None and self.min_periods > self.window:
             raise ValueError("min_periods must not exceed the window")
-        if self.win_type and (self.func not in ("sum", "mean") or self.closed != "right"):
-            raise ValueError("weights go with sum or mean over a right-closed frame")
+        if self.win_type and (self.func not in ("sum", "mean", "var", "std") or self.closed != "right"):
+            raise ValueError("weights go with sum, mean, var or std over a right-closed frame")
+        if self.window is None and callable(self.func):
+            raise TypeError("a custom function of all earlier rows must be Mergeable; one of a Series needs a window")
 
     @property
     def column(self) -> str:
@@ -88,7 +93,7 @@ class RollingSpec:
     @property
     def cost(self) -> float:
         """Rows a Spark window goes through for one result, as it redoes a sliding frame for every row."""
-        if callable(self.func):
+        if callable(self.func) or isinstance(self.func, Mergeable) or self.win_type and self.func in ("var", "std"):
             return math.inf
         holistic = self.func in HOLISTIC
         if self.window is None:
@@ -155,25 +160,38 @@ FUNCTIONS: dict[str, Callable[[Column, WindowSpec], Column]] = {
 }
 
 
-def weights(win_type: str, window: int, std: float | None = None) -> list[float]:
-    """Symmetric window weights: boxcar, triang, or gaussian with ``std``."""
+def weights(win_type: str, window: int, std: float | None = None, shape: float | None = None) -> list[float]:
+    """Symmetric window weights by name: boxcar, triang, bartlett, hann, hamming, blackman, cosine, parzen; gaussian with
+    ``std``; kaiser with its beta and exponential with its decay as ``shape``."""
+    at = np.arange(window) - (window - 1) / 2
+    if win_type in ("gaussian", "kaiser", "exponential"):
+        number = std if win_type == "gaussian" and std is not None else shape
+        if number is None:
+            raise ValueError(f"{win_type} weights need {'std' if win_type == 'gaussian' else 'shape'}")
+        if win_type == "gaussian":
+            return np.exp(-0.5 * (at / number) ** 2).tolist()
+        return (np.kaiser(window, number) if win_type == "kaiser" else np.exp(-np.abs(at) / number)).tolist()
     if win_type == "boxcar":
         return [1.0] * window
     if win_type == "triang":
         half = (window + 1) / 2 if window % 2 else window / 2
-        return [1 - abs(i - (window - 1) / 2) / half for i in range(window)]
-    if win_type == "gaussian":
-        if std is None:
-            raise ValueError("gaussian weights need std")
-        return [math.exp(-0.5 * ((i - (window - 1) / 2) / std) ** 2) for i in range(window)]
-    raise ValueError(f"unknown win_type {win_type!r}")
+        return (1 - np.abs(at) / half).tolist()
+    if win_type == "cosine":
+        return np.sin(np.pi * (np.arange(window) + 0.5) / window).tolist()
+    if win_type == "parzen":
+        far = np.abs(at) / (window / 2)
+        return np.where(np.abs(at) <= (window - 1) / 4, 1 - 6 * far**2 * (1 - far), 2 * (1 - far) ** 3).tolist()
+    known = {"bartlett": np.bartlett, "hann": np.hanning, "hamming": np.hamming, "blackman": np.blackman}
+    if win_type not in known:
+        raise ValueError(f"unknown win_type {win_type!r}")
+    return np.maximum(known[win_type](window), 0.0).tolist()
 
 
 def _weighted(spec: RollingSpec, x: Column, by: WindowSpec) -> Column:
     """Weighted sum or mean; the last weight belongs to the last row of the frame."""
     first, _ = spec.reach
     terms = [(F.lag(x, -(first + i)).over(by), w)
-             for i, w in enumerate(weights(spec.win_type, spec.window, spec.std))]
+             for i, w in enumerate(weights(spec.win_type, spec.window, spec.std, spec.shape))]
     total = sum((F.coalesce(v * w, F.lit(0.0)) for v, w in terms), F.lit(0.0))
     if spec.func == "sum":
         return total
@@ -220,8 +238,10 @@ def _features(df: DataFrame, specs: Sequence[RollingSpec], keys: Sequence[str],
             begin, end = kernels.frames(starts, ends, first, last)
             x = sources[s.source]
             if s.win_type:
-                taps = weights(s.win_type, s.window, s.std)
-                yield kernels.slide_weighted(x, begin, end, first, taps, s.func == "mean", s.least)
+                taps = weights(s.win_type, s.window, s.std, s.shape)
+                yield kernels.slide_weighted(x, starts, ends, begin, end, last, taps, s.func, s.least)
+            elif isinstance(s.func, Mergeable):
+                yield s.func.results(kernels.doubled_frames(s.func.of_values(x), begin, end, s.func.join), s.least)
             elif s.func in kernels.MERGED and s.window is not None:
                 frame = s.source, first, last
                 if frame not in sets:
@@ -261,16 +281,32 @@ def _ordered(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order:
     return out.unionByName(rows)
 
 
+def _custom(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order: Sequence[str], max_rows: int,
+            found: blocks.LongSeries | None) -> DataFrame:
+    """Expanding custom functions, block by block where a series is long."""
+    found = blocks.long_series(df, ids, order, max_rows) if found is None else found
+    if not found:
+        return _features(df, specs, ids, order)
+    for source in dict.fromkeys(s.source for s in specs):
+        wanted = {s.column: (s.func, s.least) for s in specs if s.source == source}
+        df = mergeable.expanding(df, _finite(source), wanted, ids, order, max_rows, found)
+    return df
+
+
 # Highest central moment a function of an expanding frame needs.
 _MOMENT = {"std": 2, "var": 2, "sem": 2, "skew": 3, "kurt": 4}
 
 
 def _growing(df: DataFrame, specs: Sequence[RollingSpec], ids: list[str], order: Sequence[str],
              max_rows: int, found: blocks.LongSeries | None) -> DataFrame:
-    """Expanding frames of long series, from running totals over blocks; quantiles and ranks by ``growing``."""
-    if any(callable(s.func) for s in specs):
-        raise NotImplementedError("a custom function of all earlier rows needs them in one task, and a series here has "
-                                  f"more than {max_rows} rows; give a window")
+    """Expanding frames of long series, from running totals over blocks; quantiles and ranks by ``growing``, custom
+    functions by ``mergeable``."""
+    custom = [s for s in specs if isinstance(s.func, Mergeable)]
+    if custom:
+        df = _custom(df, custom, ids, order, max_rows, found)
+        specs = [s for s in specs if s not in custom]
+        if not specs:
+            return df
     ordered = [s for s in specs if s.func in HOLISTIC]
     if ordered:
         df = _ordered(df, ordered, ids, order, max_rows, found)

@@ -24,12 +24,45 @@ def _path(path: str | PurePath) -> str:
     return str(path)
 
 
-def read_csv(spark: SparkSession, path: str | PurePath, schema: T.StructType) -> DataFrame:
-    """CSV with a header, read with a declared schema; NaN becomes NULL."""
-    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(_path(path))
+#: What a malformed line is kept in.
+REJECTED = "__rejected"
+
+
+def file_position() -> Column:
+    """Where a row of a file scan lies: path, start of the part that one task reads, place within the task.  Rows of
+    several files compare in the order of the files' paths and, within a file, of its lines."""
+    return F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                    F.monotonically_increasing_id().alias("place"))
+
+
+def _csv(spark: SparkSession, path: str | PurePath, schema: T.StructType, mode: str, *more: T.StructField) -> DataFrame:
+    reader = spark.read.schema(T.StructType([*schema.fields, *more])).option("header", True).option("enforceSchema", False)
+    df = reader.option("mode", mode).option("columnNameOfCorruptRecord", REJECTED).csv(_path(path))
+    # Spark judges a line by the cells that a query reads. This condition always holds and reads all of them.
+    return df.where(F.pmod(F.hash(*[F.col(f"`{c}`") for c in schema.names]), F.lit(1)) == 0)
+
+
+def read_csv(spark: SparkSession, path: str | PurePath, schema: T.StructType, position: str | None = None) -> DataFrame:
+    """CSV with a header, read with a declared schema; NaN becomes NULL.
+
+    A cell that its type cannot hold, and a line with more or fewer cells than columns, is an error when the rows are
+    read; ``read_csv_parts`` keeps such lines apart.  ``position`` names a column to add with the place of each row in
+    the files, which orders rows of repeated keys.
+    """
+    df = _csv(spark, path, schema, "FAILFAST")
+    if position is not None:
+        df = df.withColumn(position, file_position())
     return nan_to_null(df)
 
 
+def read_csv_parts(spark: SparkSession, path: str | PurePath, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): rows of well-formed lines, and (file, line) of the malformed ones."""
+    found = _csv(spark, path, schema, "PERMISSIVE", T.StructField(REJECTED, T.StringType()))
+    bad = F.col(REJECTED).isNotNull()
+    rejects = found.withColumn("file", F.col("_metadata.file_path")).where(bad).select("file", F.col(REJECTED).alias("line"))
+    return nan_to_null(found.where(~bad).drop(REJECTED)), rejects
+
+
 def read_snapshot(spark: SparkSession, path: str | PurePath) -> DataFrame:
     return spark.read.parquet(_path(path))
 

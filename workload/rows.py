@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesmill.functions.scalar import convert, file_stem, map_code, normalize_name, total_seconds
 from seriesmill.functions.metrics import mean_abs_dev
@@ -280,6 +282,26 @@ def mark_target_last_wins(spark, sf_dir):
     return lookups.mark_target(measurements(spark, sf_dir).select("id", "time"), many, order="at")
 
 
+@query("mark_target_last_file", with_m("""
+    SELECT m.id, m.time, CASE WHEN l.doc_id IS NULL THEN -1 WHEN (l.quality = 1) = (l.doc_id % 2 = 1) THEN 0 ELSE 1 END AS target
+    FROM m LEFT JOIN labels l ON l.doc_id = m.id"""))
+def mark_target_last_file(spark, sf_dir):
+    """Labels in two files that share keys: the last file in order of names wins."""
+    folder, rows = scratch(spark), labels(spark, sf_dir).withColumn("id", F.col("id").cast("string"))
+    turned = rows.where("CAST(id AS BIGINT) % 2 = 0").withColumn("target", F.when(F.col("target") == "OD", "ID").otherwise("OD"))
+    for name, part in (("1", rows), ("2", turned)):
+        part.write.option("header", True).csv(f"{folder}/{name}")
+    read = files.read_csv(spark, f"{folder}/*", LABELS, position="place").withColumn("id", F.col("id").cast("long"))
+    return lookups.mark_target(measurements(spark, sf_dir).select("id", "time"), read, order="place")
+
+
+@query("mark_target_joined", with_m("SELECT id, time, target FROM marked", LABELS_SQL, MARKED_SQL))
+def mark_target_joined(spark, sf_dir):
+    """Labels that come from a join and have no order."""
+    numbered = labels(spark, sf_dir).select("id").join(labels(spark, sf_dir), "id")
+    return lookups.mark_target(measurements(spark, sf_dir).select("id", "time"), numbered)
+
+
 @query("decode_groups", """
     SELECT c_custkey, c_nationkey AS group_id, n_name AS name FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey""")
 def decode_groups(spark, sf_dir):
@@ -430,6 +452,32 @@ def read_csv(spark, sf_dir):
     return files.read_csv(spark, folder, LABELS)
 
 
+_BAD = "CASE WHEN doc_id % 7 = 0 THEN 'cell' WHEN doc_id % 11 = 0 THEN 'surplus' ELSE 'none' END"
+
+
+@query("read_csv_rejects", f"""
+    SELECT kind, CASE WHEN kind = 'none' THEN 'rows' ELSE 'rejects' END AS part, count(*) AS n,
+           CAST(sum(CASE WHEN kind = 'none' THEN quality END) AS BIGINT) AS total
+    FROM (SELECT {_BAD} AS kind, quality FROM labels) GROUP BY ALL""")
+def read_csv_rejects(spark, sf_dir):
+    """Lines with a cell of the wrong type or one too many, kept apart from the others."""
+    folder = scratch(spark)
+    value = F.when(F.expr(_BAD) == "cell", "oops").when(F.expr(_BAD) == "surplus", "1,2").otherwise(F.col("quality").cast("string"))
+    lines = table(spark, sf_dir, "labels").select(F.concat_ws(",", F.col("doc_id").cast("string"), value).alias("value"))
+    lines.repartition(3).mapInPandas(_with_header, "value string").write.text(folder)
+    good, bad = files.read_csv_parts(spark, folder, T.StructType([T.StructField("id", T.LongType()), T.StructField("quality", T.LongType())]))
+    kind = F.when(F.col("line").endswith("oops"), "cell").otherwise("surplus")
+    total = F.sum("quality").alias("total")
+    return good.agg(F.lit("none").alias("kind"), F.lit("rows").alias("part"), F.count(F.lit(1)).alias("n"), total).unionByName(
+        bad.groupBy(kind.alias("kind")).agg(F.lit("rejects").alias("part"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("total")))
+
+
+def _with_header(parts):
+    """Lines of a file with the names of its columns first."""
+    yield pd.DataFrame({"value": ["id,quality"]})
+    yield from parts
+
+
 @query("read_snapshot", with_m("SELECT id, time, ch0, ch1 FROM m"))
 def read_snapshot(spark, sf_dir):
     """Written as compressed parquet and read back."""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from seriesmill.operators import resample, signal
+from seriesmill.operators.mergeable import Mergeable
 from seriesmill.operators.windows import RollingSpec, diff, rolling, shift
 from workload.tables import measurements, neat, query, rounded, with_m
 
@@ -209,14 +211,83 @@ def frame_closed(spark, sf_dir):
         RollingSpec("ch0", "sum", window=4, min_periods=1, closed=c, name=f"y_{c}") for c in _CLOSED])
 
 
-def _spread(v: pd.Series) -> float:
-    return float(v.max() - v.min())
+#: A function that Spark does not have, as states that merge.
+SPREAD = Mergeable("spread", lambda x: {"lo": x, "hi": x},
+                   lambda a, b: {"lo": np.minimum(a["lo"], b["lo"]), "hi": np.maximum(a["hi"], b["hi"])}, lambda s: s["hi"] - s["lo"])
+#: The sum of steps between neighbouring known values: depends on their order.
+PATH = Mergeable("path", lambda x: {"first": x, "last": x, "way": 0 * x},
+                 lambda a, b: {"first": a["first"], "last": b["last"], "way": a["way"] + b["way"] + np.abs(b["first"] - a["last"])},
+                 lambda s: s["way"])
+
+
+def spread_sql(over: str) -> str:
+    return least_sql(f"max(ch0) OVER {over} - min(ch0) OVER {over}", over, 3, 6)
 
 
-@query("rolling_udaf", with_m(
-    f"SELECT id, time, {least_sql(f'max(ch0) OVER {ROLL} - min(ch0) OVER {ROLL}', ROLL, 3, 6)} AS y FROM m"))
+@query("rolling_udaf", with_m(f"SELECT id, time, {spread_sql(ROLL)} AS y FROM m"))
 def rolling_udaf(spark, sf_dir):
-    return feature(spark, sf_dir, RollingSpec("ch0", _spread, window=10, min_periods=3, name="y"))
+    return feature(spark, sf_dir, RollingSpec("ch0", SPREAD, window=10, min_periods=3, name="y"))
+
+
+def _series_spread(v: pd.Series) -> float:
+    return float(v.max() - v.min())
+
+
+@query("rolling_udaf_series", with_m(f"SELECT id, time, {spread_sql(ROLL)} AS y FROM m"))
+def rolling_udaf_series(spark, sf_dir):
+    """Any function of a pandas Series, called for each frame."""
+    return feature(spark, sf_dir, RollingSpec("ch0", _series_spread, window=10, min_periods=3, name="y"))
+
+
+_PATHS = with_m(f"""SELECT id, time, {spread_sql(GROW)} AS spread,
+           round(CASE WHEN count(ch0) OVER {GROW} >= 2 THEN coalesce(sum(step) OVER {GROW}, 0) END, 6) + 0.0 AS way FROM s""",
+    """s AS (SELECT m.id, m.time, m.ch0, k.step FROM m LEFT JOIN (
+               SELECT id, time, abs(ch0 - lag(ch0) OVER (PARTITION BY id ORDER BY time)) AS step FROM m WHERE ch0 IS NOT NULL) k
+           ON k.id = m.id AND k.time = m.time)""")
+
+
+def _grown(spark, sf_dir, max_rows=None):
+    return feature(spark, sf_dir, RollingSpec("ch0", SPREAD, min_periods=3, name="spread"),
+                   RollingSpec("ch0", PATH, min_periods=2, name="way"), max_rows=max_rows)
+
+
+@query("expanding_udaf", _PATHS)
+def expanding_udaf(spark, sf_dir):
+    """Custom functions of all earlier rows."""
+    return _grown(spark, sf_dir)
+
+
+@query("expanding_udaf_blocked", _PATHS)
+def expanding_udaf_blocked(spark, sf_dir):
+    """The same over blocks that are summed up by their states."""
+    return _grown(spark, sf_dir, BLOCK_ROWS)
+
+
+_HANN = """
+    p AS (SELECT id, time, ch0, row_number() OVER (PARTITION BY id ORDER BY time) AS k FROM m),
+    w AS (SELECT a.id, a.time, b.ch0 AS x, 0.5 - 0.5 * cos(2 * pi() * (999 - (a.k - b.k)) / 999) AS w
+          FROM p a JOIN p b ON a.id = b.id AND b.k BETWEEN a.k - 999 AND a.k),
+    t AS (SELECT id, time, sum(w * x) / nullif(sum(w) FILTER (WHERE x IS NOT NULL), 0) AS mean FROM w GROUP BY ALL),
+    v AS (SELECT w.id, w.time, count(x) AS held, any_value(mean) AS mean,
+                 sqrt(sum(w * (x - mean) ** 2) * 1000 / (999 * sum(w) FILTER (WHERE x IS NOT NULL))) AS std
+          FROM w JOIN t ON t.id = w.id AND t.time = w.time GROUP BY ALL)"""
+
+
+@query("rolling_weighted_wide", with_m("""
+    SELECT id, time, CASE WHEN held >= 3 THEN round(mean, 5) + 0.0 END AS mean, CASE WHEN held >= 3 THEN round(std, 5) + 0.0 END AS std
+    FROM v""", _HANN.strip()))
+def rolling_weighted_wide(spark, sf_dir):
+    """Weights of a thousand rows, by convolution."""
+    return feature(spark, sf_dir, *[RollingSpec("ch0", f, window=1000, min_periods=3, win_type="hann", name=f) for f in ("mean", "std")],
+                   digits=5)
+
+
+@query("rolling_very_wide", with_m("SELECT id, time, " + ", ".join(
+    least_sql(frame_sql(f, GROW), GROW, 3, DIGITS[f]) + f" AS {f}" for f in ("sum", "std", "max")) + " FROM m"))
+def rolling_very_wide(spark, sf_dir):
+    """Frames of 50,000 rows, more than any series here has."""
+    specs = [RollingSpec("ch0", f, window=50_000, min_periods=3, name=f) for f in ("sum", "std", "max")]
+    return feature(spark, sf_dir, *specs, digits=6)
 
 
 _BY = "OVER (PARTITION BY id ORDER BY time)"
