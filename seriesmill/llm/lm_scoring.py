@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -151,13 +152,13 @@ class Automaton:
 def walked(ids: list, lengths: list[int], blob: bytes) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
     """A bucket's words with their numbers by first occurrence, its tokens as numbers, the first token of each text,
     and the state before each token: a word's number, or that after the last for the start of a text."""
-    code: dict[bytes, int] = {END: 0}
+    code: defaultdict[bytes, int] = defaultdict(None, {END: 0})
+    code.default_factory = code.__len__  # a new word gets the next number
     rows = []
     for _, text in unpacked(ids, lengths, blob):
         found = split(text)
-        for word in found:
-            code.setdefault(word, len(code))
-        rows.append(np.array([*(code[w] for w in found), 0], np.int64))
+        rows.append(np.fromiter(chain(map(code.__getitem__, found), (0,)), np.int64, len(found) + 1))
+    code.default_factory = None
     row = np.concatenate(rows)
     first = np.concatenate([[0], np.cumsum([len(r) for r in rows])[:-1]]).astype(np.int64)
     states = np.concatenate([[0], row[:-1]])
@@ -166,12 +167,12 @@ def walked(ids: list, lengths: list[int], blob: bytes) -> tuple[dict[bytes, int]
 
 
 def word_key(word: bytes) -> int:
-    """60 bits of the word's md5, as ``key_column`` has them."""
-    return int(hashlib.md5(word, usedforsecurity=False).hexdigest()[:15], 16)
+    """60 bits of the word's xxHash with Spark's seed, as ``key_column`` has them."""
+    return xxhash.xxh64_intdigest(word, 42) >> 4
 
 
 def key_column(word: str) -> F.Column:
-    return F.conv(F.substring(F.md5(word), 1, 15), 16, 10).cast("long")
+    return F.shiftrightunsigned(F.xxhash64(word), 4)
 
 
 #: The key of the start of a text.
@@ -179,13 +180,15 @@ START = -1
 
 
 def dealt(code: dict[bytes, int], row: np.ndarray, states: np.ndarray, parts: int) -> tuple[np.ndarray, ...]:
-    """The distinct pairs of a bucket as sorted keys state << 32 | word, the order in which they are dealt into parts, and
-    in that order their parts and the keys of both words. The same bucket always gives the same order."""
+    """The distinct pairs of a bucket as sorted keys state << 32 | word, the order in which they are dealt into parts (as
+    they come within one), and in that order their parts and the keys of both words. The same bucket always gives the
+    same order."""
     pair = np.unique(states << 32 | row)
     keys = np.array([*map(word_key, code), START], np.int64)
     left, right = keys[pair >> 32], keys[pair & 0xFFFFFFFF]
     part = (mixed(left.view(np.uint64) * MIX + right.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort((right, left, part))
+    # Small numbers sort by their digits.
+    order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
     return pair, order, part[order], left[order], right[order]
 
 
