@@ -19,6 +19,9 @@ from seriesmill.llm.common import pick, shared_folder, stored
 #: Bytes of a record's block in one segment, of a chunk of the transfer coding, and of an archive before the next.
 SEGMENT, CHUNK, ARCHIVE = 1 << 16, 1 << 14, 64 << 20
 
+#: Tasks that read archives, at most; each then reads several.
+READERS = 20_000
+
 HTTP_OK = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n"
 #: What flows between reading and joining: a page's columns, then a segment's.
 FLOW = {"page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(),
@@ -239,7 +242,9 @@ def read_archives(files: DataFrame, with_payload: bool = True) -> DataFrame:
         if origin is not None:
             yield emit(close())
 
-    flow = pick(files, "path").repartition("path").mapInArrow(parse, FLOW_SCHEMA)
+    # Dealt by number, which adaptive execution leaves alone, however short the list is in bytes.
+    paths = pick(files, "path")
+    flow = paths.repartition(max(1, min(paths.count(), READERS))).mapInArrow(parse, FLOW_SCHEMA)
     met = flow.repartition("origin").sortWithinPartitions("origin", "number").mapInArrow(joined, FLOW_SCHEMA)
     found = met.drop("origin", "number", "total", "refers", "block")
     return found if with_payload else found.drop("payload")
