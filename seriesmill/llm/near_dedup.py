@@ -234,10 +234,10 @@ def blocks(rows: DataFrame, percent: int) -> DataFrame:
 
 def rarest(values: DataFrame, shared: F.Column) -> DataFrame:
     """Of rows (fp, n, size, x), a prefix in a common order from rare to frequent, as (x, fp, n, df, at): two sets that
-    share ``shared`` values or more have one of them in both prefixes. Values of one set only need no list."""
-    dealt = values.repartition("x")  # counted and joined where it lies
-    many = dealt.groupBy("x").agg(F.count("*").alias("df")).where("df > 1")
-    found = dealt.join(many, "x")
+    share ``shared`` values or more have one of them in both prefixes. Values of one set only need no list. Values are
+    counted within tasks first, and those of the most sets get their counts by broadcast, so no value fills a task."""
+    many = stored(values.groupBy("x").agg(F.count("*").alias("df")).where("df > 1").withColumn("weight", F.col("df")))
+    found = looked_up(values, many, ["x"], "weight", ["fp"]).where("df IS NOT NULL")
     order = Window.partitionBy("fp")
     placed = found.withColumns({"alone": F.col("size") - F.count("*").over(order), "score": F.sum("df").over(order)}).withColumn(
         "at", F.row_number().over(order.orderBy("df", "x")) + F.col("alone") - 1)

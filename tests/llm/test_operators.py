@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from conftest import prose, rows_of
 from seriesmill.llm import bpe, fingerprints, lm_scoring, near_dedup, packing, pii, quality_knn, quality_rules, toxicity, warc
-from seriesmill.llm.common import pick, shared_folder
+from seriesmill.llm.common import looked_up, pick, shared_folder
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -133,6 +133,17 @@ def test_near_dedup_families(spark, width, percent):
     assert rows_of(found, "doc_id", "n_shingles", "component_id", "kept") == components(rows, width, percent)
 
 
+def test_a_value_of_most_sets_fills_no_task(spark, monkeypatch):
+    """One shingle in all sets: its sets get its count by broadcast, with the same prefixes as by an exchange."""
+    rows = [(bytes([k % 256, k // 256]), 3, 3, x) for k in range(600) for x in (1, 1000 + k // 2, 5000 + k // 3)]
+    values = spark.createDataFrame(rows, "fp binary, n long, size int, x long").repartition(4)
+    found = []
+    for few in (100_000, 1):
+        monkeypatch.setattr(near_dedup, "looked_up", lambda *a, few=few: looked_up(*a, few))
+        found.append(rows_of(near_dedup.rarest(values, F.lit(2)), "x", "df", "at", "score"))
+    assert found[0] == found[1] and {r[1] for r in found[0]} == {2, 3}  # the common value is in no prefix
+
+
 def test_sketches_sort_as_hashes(spark):
     """Sets of 65 to 160 shingles, whose sketches reach beyond 2^63: Spark's least values of a union are its least hashes."""
     texts = [prose(3000 + n, n + 4) for n in range(65, 161, 5)]
@@ -387,6 +398,11 @@ def test_warc_without_pages(spark):
     assert warc.archived(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_archives_are_read_in_parallel(spark):
+    files = spark.createDataFrame([(f"file:///nowhere/{k}.warc.gz",) for k in range(9)], "path string").coalesce(1)
+    assert "RoundRobinPartitioning(9)" in warc.read_archives(files)._jdf.queryExecution().toString()
+
+
 def test_warc_missing_segment(spark, tmp_path):
     parts = warc.record(1, "u", b"x" * 300_000, None)
     (tmp_path / "a.warc.gz").write_bytes(b"".join(parts[:2] + parts[3:]))
