@@ -24,21 +24,15 @@ def _seeded(key: str, seed: int) -> Column:
 FEW_IDS = 100_000
 
 
-def sample_ids(df: DataFrame, n: int = 1, key: str = "id", seed: int = SEED) -> DataFrame:
-    """``n`` ids in the order of a seeded hash: the same under any partitioning.
-
-    The n-th hash is found by counting prefixes, at most 65,536 of them at a time, and the ids up to it are
-    filtered: however many are asked for, they stay spread.
-    """
-    ids = reliable(df.select(key).where(F.col(f"`{key}`").isNotNull()).distinct().withColumn("__hash", _seeded(key, seed)))
-    if n <= 0:
-        return ids.limit(0).select(key)
+def _last_sampled(ids: DataFrame, n: int, key: str) -> tuple | None:
+    """Hash and id of the n-th of distinct hashed ids, None if there are fewer.  The n-th hash is found by counting prefixes,
+    at most 65,536 of them at a time, until few ids are left to sort."""
     left, prefix = n, ""
-    while True:
+    while left > FEW_IDS:
         here = ids.where(F.col("__hash").startswith(prefix)) if prefix else ids
         counts = here.groupBy(F.substring("__hash", 1, len(prefix) + 4).alias("p")).count().orderBy("p").collect()
         if sum(r["count"] for r in counts) < left:
-            return ids.select(key)  # fewer ids than asked for
+            return None
         for p, count in counts:
             if left <= count:
                 break
@@ -46,18 +40,47 @@ def sample_ids(df: DataFrame, n: int = 1, key: str = "id", seed: int = SEED) ->
         prefix = p
         if count <= FEW_IDS or len(prefix) >= 32:
             break
-    last = ids.where(F.col("__hash").startswith(prefix)).orderBy("__hash", key).limit(left).collect()[-1]
-    hash_, value = F.lit(last["__hash"]), F.lit(last[key])
-    return ids.where((F.col("__hash") < hash_) | ((F.col("__hash") == hash_) & (F.col(f"`{key}`") <= value))).select(key)
+    first = ids.where(F.col("__hash").startswith(prefix)).orderBy("__hash", key).limit(left)
+    n, last = first.agg(F.count(F.lit(1)), F.max(F.struct("__hash", key))).first()
+    return tuple(last) if n == left else None
+
+
+def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
+    return df.select(key).where(F.col(f"`{key}`").isNotNull()).distinct().withColumn("__hash", _seeded(key, seed))
+
+
+def _up_to(last: tuple | None, hash_: Column, value: Column) -> Column:
+    if last is None:
+        return F.lit(True)
+    return (hash_ < F.lit(last[0])) | ((hash_ == F.lit(last[0])) & (value <= F.lit(last[1])))
+
+
+def sample_ids(df: DataFrame, n: int = 1, key: str = "id", seed: int = SEED) -> DataFrame:
+    """``n`` ids in the order of a seeded hash: the same under any partitioning.
+
+    Only the hash of the n-th is looked for, and the ids up to it are filtered: however many are asked for, they stay
+    spread.
+    """
+    ids = _hashed(df, key, seed)
+    if n <= 0:
+        return ids.limit(0).select(key)
+    if n > FEW_IDS:
+        ids = reliable(ids)  # counted more than once
+    return ids.where(_up_to(_last_sampled(ids, n, key), F.col("__hash"), F.col(f"`{key}`"))).select(key)
 
 
 def group_holdout(df: DataFrame, n_test: int = 1, test_ids: Sequence | None = None, key: str = "id",
                   seed: int = SEED) -> DataFrame:
-    """Add ``split``: test for the named or sampled measurements, train for the rest."""
+    """Add ``split``: test for the named or sampled measurements, train for the rest.  Sampled ones are told by the hash of
+    each row's id, without a join."""
     if test_ids is None:
-        chosen = reliable(sample_ids(df, n_test, key, seed))
-    else:
-        chosen = df.sparkSession.createDataFrame([(i,) for i in test_ids], T.StructType([df.schema[key]])).distinct()
+        ids = _hashed(df, key, seed)
+        if n_test <= 0:
+            return df.withColumn("split", F.lit("train"))
+        last = _last_sampled(reliable(ids) if n_test > FEW_IDS else ids, n_test, key)
+        held = F.col(f"`{key}`").isNotNull() & _up_to(last, _seeded(key, seed), F.col(f"`{key}`"))
+        return df.withColumn("split", F.when(held, "test").otherwise("train"))
+    chosen = df.sparkSession.createDataFrame([(i,) for i in test_ids], T.StructType([df.schema[key]])).distinct()
     marked = attach(df, chosen.withColumn("split", F.lit("test")), [key])
     return marked.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("split", F.lit("train")).alias("split"))
 

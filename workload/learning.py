@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesmill.functions import metrics
-from seriesmill.operators import split
+from seriesmill.operators import categories, split
 from seriesmill.operators.lookups import mark_target
 from seriesmill.operators.windows import RollingSpec, rolling
 from seriesmill.plans import training
@@ -13,7 +13,7 @@ from seriesmill.sources import files
 from seriesmill.storage import kept
 from workload.rows import LABELS_SQL, MARKED_SQL
 from workload.tables import (
-    CLASSIFICATION_SQL, REGRESSION_SQL, classification, labels, measurements, query, regression, rounded, scratch, with_m,
+    CLASSIFICATION_SQL, REGRESSION_SQL, classification, labels, measurements, query, regression, rounded, scratch, table, with_m,
 )
 
 # ---------------------------------------------------------------- splits
@@ -268,6 +268,45 @@ def predict(spark, sf_dir):
     return scored.withColumn("prediction_disc", F.col("prediction_disc").cast("int"))
 
 
+_RATES = """
+    WITH e AS (SELECT event_id, event_type AS kind, CASE WHEN value > 50 THEN 1.0 ELSE 0.0 END AS y, user_id % 5 <> 0 AS learnt FROM events),
+    t AS (SELECT *, md5('42:' || CAST(event_id AS VARCHAR)) AS h FROM e WHERE learnt), p AS (SELECT avg(y) AS p FROM t),
+    k AS (SELECT kind, sum(y) AS s, count(*) AS n FROM t GROUP BY kind)
+    SELECT event_id, round((coalesce(sum(y) OVER w, 0) + p) / (count(*) OVER w + 1), 9) AS rate FROM t, p
+    WINDOW w AS (PARTITION BY kind ORDER BY h, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    UNION ALL SELECT event_id, round((coalesce(s, 0) + p) / (coalesce(n, 0) + 1), 9) FROM e LEFT JOIN k USING (kind), p WHERE NOT learnt"""
+
+
+def _category_rates(spark, sf_dir, **limit):
+    events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("kind"),
+                                                   F.when(F.col("value") > 50, 1).otherwise(0).alias("target"), (F.col("user_id") % 5 != 0).alias("learnt"))
+    train, rates = categories.ordered_rates(events.where("learnt"), ["kind"], keys=["event_id"], **limit)
+    both = train.unionByName(rates.attach(events.where("NOT learnt")))
+    return both.select("event_id", F.round("kind_rate", 9).alias("rate"))
+
+
+@query("category_rates", _RATES)
+def category_rates(spark, sf_dir):
+    """Mean label of earlier rows of a category in training, of all training rows for those held out."""
+    return _category_rates(spark, sf_dir)
+
+
+@query("category_rates_blocked", _RATES)
+def category_rates_blocked(spark, sf_dir):
+    """With categories that no task may hold."""
+    return _category_rates(spark, sf_dir, max_rows=150)
+
+
+@query("encode_categories", """
+    SELECT event_id, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS TINYINT) AS kind, event_type AS back, 'tinyint' AS type, props AS props FROM events""")
+def encode_categories(spark, sf_dir):
+    """Codes, the values they are decoded to, their type; a column of too many values stays text."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("kind"), "props")
+    coded, tables = categories.encode_categories(events, most=40)
+    back = categories.decode_categories(coded, tables).select("event_id", F.col("kind").alias("back"))
+    return coded.join(back, "event_id").select("event_id", "kind", "back", F.typeof("kind").alias("type"), "props")
+
+
 _PERFECT = ", ".join(f"CAST(1 AS DOUBLE) AS {n}" for n in _METRICS)
 
 
