@@ -21,22 +21,14 @@ from pyspark.sql import types as T
 
 from seriesmill.operators import blocks, kernels
 from seriesmill.operators.lookups import union_rows
+from seriesmill.operators.wavelets import Wavelet, wavelet as bank_of
 from seriesmill.storage import kept as written, reliable
 
 # Sample spacing, default threshold, and the factor from mean absolute deviation to sigma.
 SPACING = 1e-5
 DEFAULT_THRESHOLD = 1e8
 DEVIATION_FACTOR = 0.6745
-
-# Low-pass analysis filter of the Daubechies wavelet with four vanishing moments.
-DB4 = (
-    -0.010597401784997278, 0.032883011666982945, 0.030841381835986965, -0.18703481171888114,
-    -0.02798376941698385, 0.6308807679295904, 0.7148465705525415, 0.23037781330885523,
-)
-LOW = np.array(DB4[::-1])
-HIGH = np.array([(-1) ** k * DB4[k] for k in range(8)])
-TAPS = len(DB4)
-HALO = TAPS // 2 - 1
+DEFAULT_WAVELET = "db4"
 
 
 # ---------------------------------------------------------------- one series in one task
@@ -58,33 +50,33 @@ def low_pass(x: np.ndarray, threshold: float) -> np.ndarray:
     return np.fft.irfft(bins, n=len(x))
 
 
-def analyse(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def analyse(x: np.ndarray, bank: Wavelet) -> tuple[np.ndarray, np.ndarray]:
     """One level of the periodic transform; an odd series repeats its last sample."""
     if len(x) % 2:
         x = np.append(x, x[-1])
-    at = (2 * np.arange(len(x) // 2)[:, None] + np.arange(TAPS)) % len(x)
-    return x[at] @ LOW, x[at] @ HIGH
+    at = (2 * np.arange(len(x) // 2)[:, None] + np.arange(bank.taps)) % len(x)
+    return x[at] @ bank.low, x[at] @ bank.high
 
 
-def interleave(approx: np.ndarray, detail: np.ndarray) -> np.ndarray:
-    """Samples of the coefficients after the first HALO ones, which only reach into them."""
-    count = len(approx) - HALO
+def interleave(approx: np.ndarray, detail: np.ndarray, bank: Wavelet) -> np.ndarray:
+    """Samples of the coefficients after the first ones of the halo, which only reach into them."""
+    count = len(approx) - bank.halo
     x = np.zeros(2 * count)
-    for k in range(TAPS):
-        at = slice(HALO - k // 2, HALO - k // 2 + count)
-        x[k % 2::2] += LOW[k] * approx[at] + HIGH[k] * detail[at]
+    for k in range(bank.taps):
+        at = slice(bank.halo - k // 2, bank.halo - k // 2 + count)
+        x[k % 2::2] += bank.low[k] * approx[at] + bank.high[k] * detail[at]
     return x
 
 
-def synthesise(approx: np.ndarray, detail: np.ndarray, n: int) -> np.ndarray:
+def synthesise(approx: np.ndarray, detail: np.ndarray, n: int, bank: Wavelet) -> np.ndarray:
     """Undo ``analyse`` for a series of n samples."""
-    around = np.arange(-HALO, len(approx)) % len(approx)
-    return interleave(approx[around], detail[around])[:n]
+    around = np.arange(-bank.halo, len(approx)) % len(approx)
+    return interleave(approx[around], detail[around], bank)[:n]
 
 
-def depth(n: int) -> int:
+def depth(n: int, bank: Wavelet) -> int:
     """Levels of the full transform of n samples."""
-    return max(0, int(math.log2(n / (TAPS - 1)))) if n >= TAPS else 0
+    return max(0, (n // (bank.taps - 1)).bit_length() - 1)
 
 
 def limit_of(deviation: float, n: int) -> float:
@@ -92,22 +84,24 @@ def limit_of(deviation: float, n: int) -> float:
     return deviation / DEVIATION_FACTOR * math.sqrt(2 * math.log(n))
 
 
-def hard_threshold(x: np.ndarray, levels: int, limit: float | Callable[[list[np.ndarray]], float]) -> np.ndarray:
+def hard_threshold(x: np.ndarray, levels: int, limit: float | Callable[[list[np.ndarray]], float],
+                   bank: Wavelet) -> np.ndarray:
     """Transform ``levels`` deep, zero the details below the limit, transform back."""
     approx, details, lengths = x, [], []
     for _ in range(levels):
         lengths.append(len(approx))
-        approx, detail = analyse(approx)
+        approx, detail = analyse(approx, bank)
         details.append(detail)
     if callable(limit):
         limit = limit(details)
     for n, detail in zip(reversed(lengths), reversed(details)):
-        approx = synthesise(approx, np.where(np.abs(detail) < limit, 0.0, detail), n)
+        approx = synthesise(approx, np.where(np.abs(detail) < limit, 0.0, detail), n, bank)
     return approx
 
 
-def wavelet_array(x: np.ndarray, level: int = 1) -> np.ndarray:
-    levels = depth(len(x))
+def wavelet_array(x: np.ndarray, level: int = 1, wavelet: str = DEFAULT_WAVELET) -> np.ndarray:
+    bank = bank_of(wavelet)
+    levels = depth(len(x), bank)
     if not levels:
         return x
     if level > levels:
@@ -117,7 +111,7 @@ def wavelet_array(x: np.ndarray, level: int = 1) -> np.ndarray:
         d = details[level - 1]
         return limit_of(float(np.mean(np.abs(d - np.mean(d)))), len(x))
 
-    return hard_threshold(x, levels, universal)
+    return hard_threshold(x, levels, universal, bank)
 
 
 def _per_series(df: DataFrame, column: str, name: str, ids: Sequence[str], order: Sequence[str],
@@ -274,12 +268,12 @@ def _blocked(rows: DataFrame, ids: list[str], size: int, before: int, after: int
     return spread.select(*rows.columns, "__c.__block", "__c.__at")
 
 
-def _level_down(rows: DataFrame, ids: list[str], size: int) -> DataFrame:
+def _level_down(rows: DataFrame, ids: list[str], size: int, bank: Wavelet) -> DataFrame:
     """One analysis level of (ids, __n, __pos, __x): (ids, __n, __pos, __a, __d), __n halved and rounded up."""
     odd = (F.col("__n") % 2 == 1) & (F.col("__pos") == F.col("__n") - 1)
     places = F.when(odd, F.array(F.col("__pos"), F.col("__pos") + 1)).otherwise(F.array(F.col("__pos")))
     even = rows.withColumn("__pos", F.explode(places)).withColumn("__n", F.col("__n") + F.col("__n") % 2)
-    spread = _blocked(even, ids, size, 0, TAPS - 2)
+    spread = _blocked(even, ids, size, 0, bank.taps - 2)
     schema = T.StructType([rows.schema[c] for c in ids] + [
         T.StructField("__n", T.LongType()), T.StructField("__pos", T.LongType()),
         T.StructField("__a", T.DoubleType()), T.StructField("__d", T.DoubleType())])
@@ -289,36 +283,36 @@ def _level_down(rows: DataFrame, ids: list[str], size: int) -> DataFrame:
         n, start = int(pdf["__n"].iloc[0]), int(pdf["__block"].iloc[0]) * size
         x = pdf["__x"].to_numpy()
         count = (min(start + size, n) - start) // 2
-        at = 2 * np.arange(count)[:, None] + np.arange(TAPS)
+        at = 2 * np.arange(count)[:, None] + np.arange(bank.taps)
         return pd.DataFrame({**{c: [pdf[c].iloc[0]] * count for c in ids}, "__n": n // 2,
-                             "__pos": start // 2 + np.arange(count), "__a": x[at] @ LOW, "__d": x[at] @ HIGH})
+                             "__pos": start // 2 + np.arange(count), "__a": x[at] @ bank.low, "__d": x[at] @ bank.high})
 
     return spread.groupBy(*ids, "__block").applyInPandas(run, schema)
 
 
-def _level_up(rows: DataFrame, ids: list[str], size: int) -> DataFrame:
+def _level_up(rows: DataFrame, ids: list[str], size: int, bank: Wavelet) -> DataFrame:
     """Undo ``_level_down`` for (ids, __n, __pos, __a, __d): (ids, __pos, __x), with the repeated sample."""
-    spread = _blocked(rows, ids, size // 2, HALO, 0)
+    spread = _blocked(rows, ids, size // 2, bank.halo, 0)
     schema = T.StructType([rows.schema[c] for c in ids] + [
         T.StructField("__pos", T.LongType()), T.StructField("__x", T.DoubleType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__at")
         start = int(pdf["__block"].iloc[0]) * (size // 2)
-        x = interleave(pdf["__a"].to_numpy(), pdf["__d"].to_numpy())
+        x = interleave(pdf["__a"].to_numpy(), pdf["__d"].to_numpy(), bank)
         return pd.DataFrame({**{c: [pdf[c].iloc[0]] * len(x) for c in ids},
                              "__pos": 2 * start + np.arange(len(x)), "__x": x})
 
     return spread.groupBy(*ids, "__block").applyInPandas(run, schema)
 
 
-def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) -> DataFrame:
+def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int, bank: Wavelet) -> DataFrame:
     """(ids, __pos, __y), denoised.
 
     Each level halves the rows.  A series goes down until one task can take its remaining levels at once.
     """
     id_fields = [rows.schema[c] for c in ids]
-    size = max(max_rows + max_rows % 2, 4 * TAPS)
+    size = max(max_rows + max_rows % 2, 4 * bank.taps)
     sizes = reliable(rows.select(*ids, F.col("__n").alias("__size")).distinct())
     n_series, longest = sizes.agg(F.count(F.lit(1)), F.max("__size")).first()
 
@@ -328,7 +322,7 @@ def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) ->
     current, details, waiting = rows.select(*ids, "__n", "__pos", "__x"), [], []
     while longest > size:
         waiting.append(current.where(F.col("__n") <= size))
-        details.append(written(_level_down(current.where(F.col("__n") > size), ids, size)))
+        details.append(written(_level_down(current.where(F.col("__n") > size), ids, size, bank)))
         current = details[-1].select(*ids, "__n", "__pos", F.col("__a").alias("__x"))
         longest = (longest + 1) // 2
     waiting.append(current)
@@ -346,10 +340,10 @@ def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) ->
     def deviation_after(done: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             x = pdf.sort_values("__pos")["__x"].to_numpy()
-            if level > depth(int(pdf["__size"].iloc[0])):
+            if level > depth(int(pdf["__size"].iloc[0]), bank):
                 raise ValueError(f"a series has fewer than {level} levels")
             for _ in range(level - done):
-                x, fine = analyse(x)
+                x, fine = analyse(x, bank)
             return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in ids},
                                  "__dev": [float(np.mean(np.abs(fine - np.mean(fine))))]})
         return run
@@ -368,8 +362,8 @@ def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) ->
     def finish_after(done: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("__pos")
-            levels = depth(int(pdf["__size"].iloc[0])) - done
-            x = hard_threshold(pdf["__x"].to_numpy(), levels, float(pdf["__limit"].iloc[0]))
+            levels = depth(int(pdf["__size"].iloc[0]), bank) - done
+            x = hard_threshold(pdf["__x"].to_numpy(), levels, float(pdf["__limit"].iloc[0]), bank)
             return pdf.assign(__x=x)[[*ids, "__pos", "__x"]]
         return run
 
@@ -381,7 +375,7 @@ def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) ->
             *ids, "__n", "__pos", "__size", F.when(F.abs(d) >= F.col("__limit"), d).otherwise(
                 F.when(d.isNotNull() & ~F.isnan(d), F.lit(0.0)).otherwise(d)).alias("__d"))
         pairs = blocks.lookup(kept, smooth, [*ids, "__pos"], "left").withColumnRenamed("__x", "__a")
-        upper = sized(_level_up(pairs.drop("__size"), ids, size))
+        upper = sized(_level_up(pairs.drop("__size"), ids, size, bank))
         length = F.ceil(F.col("__size") / 2**done)
         smooth = upper.where(F.col("__pos") < length).select(*ids, "__pos", "__x").unionByName(finished[done])
     return smooth.withColumnRenamed("__x", "__y")
@@ -389,20 +383,21 @@ def _wavelet_long(rows: DataFrame, ids: list[str], level: int, max_rows: int) ->
 
 def wavelet_denoise(df: DataFrame, column: str, name: str | None = None, level: int = 1,
                     ids: Sequence[str] = ("id",), order: Sequence[str] = ("time",),
-                    max_rows: int = blocks.MAX_ROWS, found: blocks.LongSeries | None = None) -> DataFrame:
-    """Hard-threshold all detail coefficients of a periodic db4 transform.
+                    max_rows: int = blocks.MAX_ROWS, found: blocks.LongSeries | None = None,
+                    wavelet: str = DEFAULT_WAVELET) -> DataFrame:
+    """Hard-threshold all detail coefficients of a periodic transform by ``wavelet`` (haar, db1 to db10, sym2 to sym8).
 
     ``level`` picks the detail (1 is the finest) that the noise is estimated from.  A series too short for
     one level passes unchanged.  A missing or infinite sample is an error: fill them before.
     """
     if level < 1:
         raise ValueError("level counts from 1")
-    ids, name = list(ids), name or f"{column}_wavelet"
+    bank, ids, name = bank_of(wavelet), list(ids), name or f"{column}_wavelet"
     df = _filled(df, column)
     found = blocks.long_series(df, ids, order, max_rows) if found is None else found
     short = blocks.others(df, ids, found) if found else df
-    out = _per_series(short, column, name, ids, order, lambda x: wavelet_array(x, level))
+    out = _per_series(short, column, name, ids, order, lambda x: wavelet_array(x, level, wavelet))
     if not found:
         return out
     rows = _indexed(df, column, ids, order, found, max_rows)
-    return out.unionByName(_filled_in(rows, _wavelet_long(rows, ids, level, max_rows), ids, name))
+    return out.unionByName(_filled_in(rows, _wavelet_long(rows, ids, level, max_rows, bank), ids, name))

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesmill.operators.signal import (
-    DB4, analyse, depth, fft_denoise, hard_threshold, kept_bins, synthesise, wavelet_array, wavelet_denoise,
+    analyse, depth, fft_denoise, hard_threshold, kept_bins, synthesise, wavelet_array, wavelet_denoise,
 )
+from seriesmill.operators.wavelets import names, wavelet
 
 
 @pytest.fixture(scope="module")
@@ -54,22 +55,61 @@ def test_kept_bins_match_the_frequency_grid():
             assert kept_bins(n, t) == (grid <= t).sum() - 1
 
 
-def test_filter_bank_is_orthogonal():
-    h = np.array(DB4)
+# Published low-pass analysis filters, first taps.
+PUBLISHED = {
+    "haar": [0.7071067811865476],
+    "db2": [-0.12940952255126037, 0.2241438680420134, 0.8365163037378079],
+    "db4": [-0.010597401784997278, 0.032883011666982945, 0.030841381835986965, -0.18703481171888114],
+    "sym2": [-0.12940952255126037, 0.2241438680420134, 0.8365163037378079],
+    "sym4": [-0.0757657147893567, -0.02963552764596039, 0.4976186676325629, 0.803738751805386],
+    "sym5": [0.027333068345077982, 0.029519490925774643, -0.039134249302383094, 0.1993975339773936],
+    "sym6": [0.015404109327027373, 0.0034907120842174702, -0.11799011114819057],
+    "sym7": [0.002681814568257878, -0.0010473848886829163, -0.01263630340325193],
+    "sym8": [-0.0033824159510061256, -0.0005421323317911481, 0.03169508781149298],
+}
+
+
+@pytest.mark.parametrize("name", sorted(PUBLISHED))
+def test_filters_are_the_published_ones(name):
+    np.testing.assert_allclose(wavelet(name).low[::-1][:len(PUBLISHED[name])], PUBLISHED[name], atol=1e-10)
+
+
+def test_unknown_wavelets_are_an_error(signals):
+    for name in ("db0", "db11", "sym1", "sym9", "coif1", ""):
+        with pytest.raises(ValueError, match="no wavelet"):
+            wavelet_denoise(signals, "x", wavelet=name)
+
+
+@pytest.mark.parametrize("name", names())
+def test_filter_bank_is_orthogonal(name):
+    bank = wavelet(name)
+    h = bank.low
+    moments = bank.taps // 2
     assert np.isclose(h.sum(), np.sqrt(2)) and np.isclose(h @ h, 1)
-    assert all(abs(h[2 * k:] @ h[:len(h) - 2 * k]) < 1e-9 for k in (1, 2, 3))
+    assert all(abs(h[2 * k:] @ h[:len(h) - 2 * k]) < 1e-9 for k in range(1, moments))
+    # The high-pass filter has no answer to polynomials below its number of vanishing moments.
+    x = np.arange(bank.taps) / bank.taps
+    assert all(abs(bank.high @ x**k) < 1e-7 for k in range(moments))
     rng = np.random.default_rng(1)
     for n in (8, 63, 64, 101, 1000):
         x = rng.normal(size=n)
-        a, d = analyse(x)
+        a, d = analyse(x, bank)
         assert len(a) == (n + 1) // 2
-        np.testing.assert_allclose(synthesise(a, d, n), x, atol=1e-9)
-        np.testing.assert_allclose(hard_threshold(x, depth(n), 0.0), x, atol=1e-8)
+        np.testing.assert_allclose(synthesise(a, d, n, bank), x, atol=1e-9)
+        np.testing.assert_allclose(hard_threshold(x, depth(n, bank), 0.0, bank), x, atol=1e-8)
     x = rng.normal(size=64)
-    a, d = analyse(x)
+    a, d = analyse(x, bank)
     assert np.isclose(a @ a + d @ d, x @ x)
 
 
+@pytest.mark.parametrize("name", ["haar", "db2", "db10", "sym8"])
+def test_any_wavelet_spread(signals, name):
+    out = by_id(wavelet_denoise(signals, "x", "y", max_rows=41, wavelet=name), "y")
+    assert len(out) == 5
+    for x, y in out.values():
+        np.testing.assert_allclose(y, wavelet_array(x, 1, name), atol=1e-4)
+
+
 @pytest.mark.parametrize("level", [1, 2, 4])
 @pytest.mark.parametrize("max_rows", [10_000, 100, 41])
 def test_wavelet(signals, level, max_rows):

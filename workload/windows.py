@@ -389,50 +389,79 @@ def fft_denoise_spread(spark, sf_dir):
     return low_passed(spark, sf_dir, max_rows=BLOCK_ROWS)
 
 
-# The periodic filter bank on lists: down to the depth of each series, threshold, and up again.
-_LOW = "[" + ", ".join(repr(float(v)) for v in signal.LOW) + "]"
-_HIGH = "[" + ", ".join(repr(float(v)) for v in signal.HIGH) + "]"
-
-
-def _down_sql(taps: str) -> str:
-    return (f"list_transform(range(len(e) // 2), lambda i: list_sum(list_transform(range(8), "
-            f"lambda k: {taps}[k + 1] * e[(2 * i + k) % len(e) + 1])))")
-
-
-_UP_SQL = f"""list_transform(range(2 * len(d)), lambda p: list_sum(list_transform(range(4), lambda j:
-    {_LOW}[p % 2 + 2 * j + 1] * a[((p - p % 2) // 2 - j + 4 * len(d)) % len(d) + 1] +
-    {_HIGH}[p % 2 + 2 * j + 1] * d[((p - p % 2) // 2 - j + 4 * len(d)) % len(d) + 1])))"""
-
-_WAVELET_SQL = with_m("""
-    SELECT id, unnest(times) AS time, round(CAST(CAST(unnest(a) AS FLOAT) AS DOUBLE), 3) + 0.0 AS y
-    FROM up JOIN series USING (id) WHERE lvl = 0""",
-    """series AS (SELECT id, list(value ORDER BY time) AS x, list(time ORDER BY time) AS times, count(*) AS n,
-                         CAST(floor(log2(count(*) / 7.0)) AS BIGINT) AS depth FROM m GROUP BY id)""",
-    f"""down AS (SELECT id, CAST(0 AS BIGINT) AS lvl, depth, x AS a, CAST([] AS DOUBLE[]) AS d, n FROM series
-                 UNION ALL
-                 SELECT id, lvl + 1, depth, {_down_sql(_LOW)}, {_down_sql(_HIGH)}, len(a0)
-                 FROM (SELECT id, lvl, depth, a AS a0,
-                              CASE WHEN len(a) % 2 = 1 THEN list_append(a, a[len(a)]) ELSE a END AS e
-                       FROM down WHERE lvl < depth))""",
-    """noise AS (SELECT id, list_avg(list_transform(d, lambda v: abs(v - list_avg(d)))) / 0.6745 AS sigma
-                 FROM down WHERE lvl = 1)""",
-    """cleaned AS (SELECT down.id, lvl, down.n,
-                          list_transform(d, lambda v: CASE WHEN abs(v) < sigma * sqrt(2 * ln(series.n)) THEN 0.0 ELSE v END) AS d
-                   FROM down JOIN noise ON noise.id = down.id JOIN series ON series.id = down.id)""",
-    f"""up AS (SELECT id, lvl, a FROM down WHERE lvl = depth
-               UNION ALL
-               SELECT id, lvl - 1, list_slice({_UP_SQL}, 1, n)
-               FROM (SELECT up.id, up.lvl, up.a, c.d, c.n FROM up JOIN cleaned c ON c.id = up.id AND c.lvl = up.lvl
-                     WHERE up.lvl > 0))""").replace("WITH", "WITH RECURSIVE", 1)
-
-
-@query("wavelet_denoise", _WAVELET_SQL)
-def wavelet_denoise(spark, sf_dir):
+# The periodic filter bank on lists: down to the depth of each series, threshold, and up again. Filters are given as text.
+_DB4 = [-0.010597401784997278, 0.032883011666982945, 0.030841381835986965, -0.18703481171888114,
+        -0.02798376941698385, 0.6308807679295904, 0.7148465705525415, 0.23037781330885523]
+_HAAR = ["sqrt(0.5)", "sqrt(0.5)"]
+_DB2 = ["(1 - sqrt(3)) / sqrt(32)", "(3 - sqrt(3)) / sqrt(32)", "(3 + sqrt(3)) / sqrt(32)", "(1 + sqrt(3)) / sqrt(32)"]
+
+
+def wavelet_sql(taps: list) -> str:
+    """Denoising by a filter, given from its last tap on."""
+    n = len(taps)
+    low = f"[{', '.join(str(v) for v in reversed(taps))}]"
+    high = f"[{', '.join(f'{(-1) ** k} * ({v})' for k, v in enumerate(taps))}]"
+
+    def down(filter_sql: str) -> str:
+        return (f"list_transform(range(len(e) // 2), lambda i: list_sum(list_transform(range({n}), "
+                f"lambda k: {filter_sql}[k + 1] * e[(2 * i + k) % len(e) + 1])))")
+
+    up = f"""list_transform(range(2 * len(d)), lambda p: list_sum(list_transform(range({n // 2}), lambda j:
+        {low}[p % 2 + 2 * j + 1] * a[((p - p % 2) // 2 - j + {n} * len(d)) % len(d) + 1] +
+        {high}[p % 2 + 2 * j + 1] * d[((p - p % 2) // 2 - j + {n} * len(d)) % len(d) + 1])))"""
+    return with_m("""
+        SELECT id, unnest(times) AS time, round(CAST(CAST(unnest(a) AS FLOAT) AS DOUBLE), 3) + 0.0 AS y
+        FROM up JOIN series USING (id) WHERE lvl = 0""",
+        f"""series AS (SELECT id, list(value ORDER BY time) AS x, list(time ORDER BY time) AS times, count(*) AS n,
+                              CAST(floor(log2(count(*) / {n - 1}.0)) AS BIGINT) AS depth FROM m GROUP BY id)""",
+        f"""down AS (SELECT id, CAST(0 AS BIGINT) AS lvl, depth, x AS a, CAST([] AS DOUBLE[]) AS d, n FROM series
+                     UNION ALL
+                     SELECT id, lvl + 1, depth, {down(low)}, {down(high)}, len(a0)
+                     FROM (SELECT id, lvl, depth, a AS a0,
+                                  CASE WHEN len(a) % 2 = 1 THEN list_append(a, a[len(a)]) ELSE a END AS e
+                           FROM down WHERE lvl < depth))""",
+        """noise AS (SELECT id, list_avg(list_transform(d, lambda v: abs(v - list_avg(d)))) / 0.6745 AS sigma
+                     FROM down WHERE lvl = 1)""",
+        """cleaned AS (SELECT down.id, lvl, down.n,
+                              list_transform(d, lambda v: CASE WHEN abs(v) < sigma * sqrt(2 * ln(series.n)) THEN 0.0 ELSE v END) AS d
+                       FROM down JOIN noise ON noise.id = down.id JOIN series ON series.id = down.id)""",
+        f"""up AS (SELECT id, lvl, a FROM down WHERE lvl = depth
+                   UNION ALL
+                   SELECT id, lvl - 1, list_slice({up}, 1, n)
+                   FROM (SELECT up.id, up.lvl, up.a, c.d, c.n FROM up JOIN cleaned c ON c.id = up.id AND c.lvl = up.lvl
+                         WHERE up.lvl > 0))""").replace("WITH", "WITH RECURSIVE", 1)
+
+
+def wavelet_denoised(spark, sf_dir, **settings):
     rows = measurements(spark, sf_dir).select("id", "time", "value")
-    return rounded(signal.wavelet_denoise(rows, "value", "y").drop("value"), 3, "y")
+    return rounded(signal.wavelet_denoise(rows, "value", "y", **settings).drop("value"), 3, "y")
 
 
-@query("wavelet_denoise_spread", _WAVELET_SQL)
+@query("wavelet_denoise", wavelet_sql(_DB4))
+def wavelet_denoise(spark, sf_dir):
+    return wavelet_denoised(spark, sf_dir)
+
+
+@query("wavelet_denoise_spread", wavelet_sql(_DB4))
 def wavelet_denoise_spread(spark, sf_dir):
-    rows = measurements(spark, sf_dir).select("id", "time", "value")
-    return rounded(signal.wavelet_denoise(rows, "value", "y", max_rows=BLOCK_ROWS).drop("value"), 3, "y")
+    return wavelet_denoised(spark, sf_dir, max_rows=BLOCK_ROWS)
+
+
+@query("wavelet_denoise_haar", wavelet_sql(_HAAR))
+def wavelet_denoise_haar(spark, sf_dir):
+    return wavelet_denoised(spark, sf_dir, wavelet="haar")
+
+
+@query("wavelet_denoise_haar_spread", wavelet_sql(_HAAR))
+def wavelet_denoise_haar_spread(spark, sf_dir):
+    return wavelet_denoised(spark, sf_dir, wavelet="haar", max_rows=BLOCK_ROWS)
+
+
+@query("wavelet_denoise_db2", wavelet_sql(_DB2))
+def wavelet_denoise_db2(spark, sf_dir):
+    return wavelet_denoised(spark, sf_dir, wavelet="db2")
+
+
+@query("wavelet_denoise_db2_spread", wavelet_sql(_DB2))
+def wavelet_denoise_db2_spread(spark, sf_dir):
+    return wavelet_denoised(spark, sf_dir, wavelet="db2", max_rows=BLOCK_ROWS)
