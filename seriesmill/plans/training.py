@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -22,6 +24,8 @@ from seriesmill.storage import kept
 # Trees need a number everywhere: a missing feature sorts below every value.
 MISSING = -1e30
 THRESHOLD = 0.5
+# Folds that are fitted at a time.
+PARALLELISM = 2
 
 
 def feature_columns(df: DataFrame, label: str = "target", ignored: Sequence[str] = IGNORED_FEATURES,
@@ -88,16 +92,26 @@ def evaluate(predictions: DataFrame, label: str = "target", by: Sequence[str] =
 
 def cross_validate(df: DataFrame, features: Sequence[str], n_splits: int = 2, label: str = "target",
                    key: str = "id", seed: int = SEED, params: Mapping | None = None,
-                   at: float = THRESHOLD) -> DataFrame:
+                   at: float = THRESHOLD, parallelism: int = PARALLELISM) -> DataFrame:
     """Metrics of each fold and their mean; no measurement is in training and validation of one fold.
 
-    The rows are kept once and read by the fits, which are jobs of their own, one per fold.
+    The rows are kept once and read by the fits.  Up to ``parallelism`` folds are fitted at a time, from threads that have
+    the job properties of the caller; the result does not depend on it.  Each fit caches its own binned rows.
     """
+    if parallelism < 1:
+        raise ValueError("parallelism counts from 1")
     rows = kept(group_kfold(feature_pool(df, features, label), n_splits, key))
-    held_out = None
-    for fold in range(n_splits):
+
+    def fit(fold: int) -> PipelineModel:
         marked = rows.withColumn("__held", F.col("fold") == fold)
-        model = train_classifier(marked, features, label, seed, "__held", params)
+        return train_classifier(marked, features, label, seed, "__held", params)
+
+    # Wrapped for each fold: properties are copied where the wrapping happens, which is the thread of the caller.
+    fits = [inheritable_thread_target(df.sparkSession)(lambda fold=fold: fit(fold)) for fold in range(n_splits)]
+    with ThreadPoolExecutor(min(parallelism, n_splits)) as pool:
+        models = list(pool.map(lambda run: run(), fits))
+    held_out = None
+    for fold, model in enumerate(models):
         scored = predict(model, rows.where(F.col("fold") == fold), features, (label, "fold"), at)
         held_out = scored if held_out is None else held_out.unionByName(scored)
     return fold_table(evaluate(held_out, label, ["fold"]))

@@ -285,6 +285,38 @@ def marked(spark):
     return spark.createDataFrame(rows, "id string, time double, ch0 double, kind string, target int")
 
 
+def test_folds_do_not_depend_on_how_many_run_at_a_time(spark, marked):
+    seen = []
+    spark.sparkContext.setLocalProperty("seriesmill.test", "set by the caller")
+    fit = training.train_classifier
+
+    def watched(*args, **kwargs):
+        seen.append(spark.sparkContext.getLocalProperty("seriesmill.test"))
+        return fit(*args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(training, "train_classifier", watched)
+        one, four = (sorted(training.cross_validate(marked, ["ch0", "kind"], 3, params={"maxIter": 2, "maxDepth": 2}, parallelism=n).collect())
+                     for n in (1, 4))
+    spark.sparkContext.setLocalProperty("seriesmill.test", None)
+    assert one == four and [r["fold"] for r in one] == ["0", "1", "2", "mean"]
+    assert seen == ["set by the caller"] * 6
+    with pytest.raises(ValueError, match="counts from 1"):
+        training.cross_validate(marked, ["ch0"], 2, parallelism=0)
+
+
+def test_a_leak_between_folds_would_show(spark):
+    """The class depends on the recording alone: nothing to learn between recordings, all of it between rows of one."""
+    rng = np.random.default_rng(8)
+    marks, targets = rng.permutation(60), rng.permutation(60) % 2
+    rows = spark.createDataFrame([(f"p{i}", f"p{i}_{t}", float(marks[i]), int(targets[i])) for i in range(60) for t in range(8)],
+                                 "id string, row string, mark double, target int")
+    tree = {"maxIter": 3, "maxDepth": 8, "maxBins": 64}
+    apart = {r["fold"]: r["auc"] for r in training.cross_validate(rows, ["mark"], 3, params=tree).collect()}
+    leaking = {r["fold"]: r["auc"] for r in training.cross_validate(rows, ["mark"], 3, key="row", params=tree).collect()}
+    assert max(apart.values()) < 0.8 and min(leaking.values()) > 0.95
+
+
 def test_training_stage(marked, tmp_path):
     features = training.feature_columns(marked)
     assert features == ["ch0", "kind"]
