@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,9 @@ from seriesmill.storage import reliable
 
 LONG, DOUBLE = T.LongType(), T.DoubleType()
 
+#: Row blocks, and value blocks, on a side of a coarse cell of counts.
+SPAN = 1000
+
 
 def _fields(df: DataFrame, ids: Sequence[str], **more: T.DataType) -> T.StructType:
     return T.StructType([*[df.schema[c] for c in ids], *[T.StructField(n, t) for n, t in more.items()]])
@@ -29,16 +32,112 @@ def _fields(df: DataFrame, ids: Sequence[str], **more: T.DataType) -> T.StructTy
 def _named(pdf: pd.DataFrame, ids: Sequence[str], **columns) -> pd.DataFrame:
     """New columns next to the ids of a group."""
     n = len(next(iter(columns.values())))
-    return pd.DataFrame({**{c: [pdf[c].iloc[0]] * n for c in ids}, **columns})
-
-
-def _grid(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row blocks, value blocks, counts of each pair, and counts over all earlier row blocks."""
-    rows, at = np.unique(pdf["__b"], return_inverse=True)
-    values, by = np.unique(pdf["__v"], return_inverse=True)
-    counts = np.zeros((len(rows), len(values)), np.int64)
-    np.add.at(counts, (at, by), pdf["__n"].to_numpy())
-    return rows, values, counts, np.cumsum(counts, 0) - counts
+    return pd.DataFrame({**{c: pd.Series([pdf[c].iloc[0]] * n, dtype=object) for c in ids}, **columns})
+
+
+def _coarse(block: str) -> Column:
+    return F.floor(F.col(block) / SPAN).cast("long")
+
+
+def _grid(rows: pd.Series, values: pd.Series, n: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows and values with the places of both, and counts of each pair."""
+    row, at = np.unique(rows.to_numpy(), return_inverse=True)
+    value, by = np.unique(values.to_numpy(), return_inverse=True)
+    counts = np.zeros((len(row), len(value)), np.int64)
+    np.add.at(counts, (at, by), n.to_numpy("int64"))
+    return row, value, at, by, counts
+
+
+def _corner(cells: DataFrame, ids: list[str], within: list[str], row: str, value: str, name: str) -> DataFrame:
+    """For each cell, the sum over those of its group in earlier rows and lower values."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        _, _, at, by, counts = _grid(pdf[row], pdf[value], pdf["__n"])
+        sums = np.pad(counts, ((1, 0), (1, 0))).cumsum(0).cumsum(1)
+        return _named(pdf, [*ids, *within], **{row: pdf[row].to_numpy(), value: pdf[value].to_numpy(), name: sums[at, by]})
+
+    keys = {c: LONG for c in (*within, row, value)}
+    return cells.groupBy(*ids, *within).applyInPandas(run, _fields(cells, ids, **keys, **{name: LONG}))
+
+
+def _carried(cells: DataFrame, wanted: DataFrame, ids: list[str], within: list[str], row: str, value: str) -> DataFrame:
+    """For each wanted row of a group, the sums by value over all earlier rows, where there are any."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        asked = pdf[value].isna()
+        held = pdf[~asked]
+        rows, values, _, _, counts = _grid(held[row], held[value], held["__n"])
+        upto, out = np.cumsum(counts, 0), []
+        for r in np.unique(pdf.loc[asked, row]).tolist():
+            k = int(np.searchsorted(rows, r))
+            if k:
+                some = np.flatnonzero(upto[k - 1])
+                out += zip([r] * len(some), values[some].tolist(), upto[k - 1][some].tolist())
+        r, v, n = zip(*out) if out else ((), (), ())
+        return _named(pdf, [*ids, *within], **{row: list(r), value: list(v), "__n": list(n)})
+
+    both = cells.select(*ids, *within, row, value, "__n").unionByName(wanted.select(*ids, *within, row).distinct(), allowMissingColumns=True)
+    keys = {c: LONG for c in (*within, row, value, "__n")}
+    return both.groupBy(*ids, *within).applyInPandas(run, _fields(cells, ids, **keys))
+
+
+def _narrowed(asks: DataFrame, cells: DataFrame, carried: DataFrame, ids: list[str], within: list[str], value: str) -> DataFrame:
+    """For each row block that asks for the ranks __low to __high among earlier rows, __below of which lie below its group,
+    the values of the group that hold them, each with how many earlier rows lie below it."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        asking = pdf["__low"].notna()
+        held, out = pdf[~asking], []
+        if asking.any():
+            # What is carried into the group stands before all its row blocks.
+            rows, values, _, _, counts = _grid(held["__b"].fillna(-1), held[value], held["__n"])
+            sums = np.cumsum(counts, 0)
+            for b, low, high, below in pdf.loc[asking, ["__b", "__low", "__high", "__below"]].astype("int64").itertuples(index=False):
+                earlier = sums[int(np.searchsorted(rows, b)) - 1]
+                upto = below + np.cumsum(earlier)
+                hit = np.flatnonzero((earlier > 0) & (upto > low) & (upto - earlier <= high))
+                out += zip([b] * len(hit), values[hit].tolist(), (upto - earlier)[hit].tolist(), [low] * len(hit), [high] * len(hit))
+        b, v, below, low, high = zip(*out) if out else ((), (), (), (), ())
+        return _named(pdf, [*ids, *within], __b=list(b), **{value: list(v)}, __below=list(below), __low=list(low), __high=list(high))
+
+    all_ = asks.select(*ids, *within, "__b", "__below", "__low", "__high").unionByName(
+        cells.select(*ids, *within, "__b", value, "__n"), allowMissingColumns=True).unionByName(
+        carried.select(*ids, *within, value, "__n"), allowMissingColumns=True)
+    keys = {c: LONG for c in (*within, "__b", value, "__below", "__low", "__high")}
+    return all_.groupBy(*ids, *within).applyInPandas(run, _fields(cells, ids, **keys))
+
+
+class _Counts:
+    """How many rows each pair of a row block and a value block holds, in cells, coarse cells of SPAN x SPAN pairs, and the
+    strips between. Sums over earlier rows are put together from these, so no group holds more than SPAN x SPAN
+    numbers as long as a series has at most SPAN x SPAN blocks."""
+
+    def __init__(self, cells: DataFrame, ids: list[str]) -> None:
+        def summed(*keys: str) -> DataFrame:
+            return self.cells.groupBy(*ids, *keys).agg(F.sum("__n").alias("__n"))
+
+        self.ids = ids
+        self.cells = reliable(cells.withColumns({"__cb": _coarse("__b"), "__cv": _coarse("__v")}))
+        self.coarse, self.by_row, self.by_value = summed("__cb", "__cv"), summed("__cb", "__b", "__cv"), summed("__cb", "__cv", "__v")
+
+    def below(self) -> DataFrame:
+        """__below of each cell: rows of earlier row blocks in lower value blocks."""
+        ids = self.ids
+        parts = [
+            (_corner(self.by_value, ids, ["__cv"], "__cb", "__v", "__part1"), ["__cb", "__cv", "__v"]),
+            (_corner(self.by_row, ids, ["__cb"], "__b", "__cv", "__part2"), ["__cb", "__b", "__cv"]),
+            (_corner(self.coarse, ids, [], "__cb", "__cv", "__part3"), ["__cb", "__cv"]),
+        ]
+        out = _corner(self.cells, ids, ["__cb", "__cv"], "__b", "__v", "__part0")
+        for part, keys in parts:
+            out = blocks.lookup(out, part, [*ids, *keys], "left")
+        return reliable(out.select(*ids, "__b", "__v", sum((F.col(f"__part{k}") for k in range(1, 4)), F.col("__part0")).alias("__below")))
+
+    def holding(self, asks: DataFrame) -> DataFrame:
+        """For each row block with ranks __low to __high among earlier rows, the value blocks that hold them, with __below."""
+        ids = self.ids
+        asks = asks.withColumn("__cb", _coarse("__b"))
+        before = _carried(self.coarse, asks, ids, [], "__cb", "__cv")
+        near = reliable(_narrowed(asks, self.by_row, before, ids, ["__cb"], "__cv"))
+        before = _carried(self.by_value, near, ids, ["__cv"], "__cb", "__v")
+        return reliable(_narrowed(near, self.cells, before, ids, ["__cb", "__cv"], "__v"))
 
 
 class _Ranked:
@@ -96,8 +195,12 @@ def _cut_values(rows: DataFrame, ids: list[str], max_rows: int) -> DataFrame:
     found = blocks.long_series(known, ids, ["__x"], max_rows)
     if not found:
         return known.withColumn("__v", F.lit(0).cast("long"))
-    parts = blocks.cut(known, ids, ["__x"], found, max_rows, alike_together=True).rows
-    return parts.withColumn("__v", F.coalesce(blocks.BLOCK, F.lit(0))).drop(blocks.BLOCK)
+    parts, sizes, n_blocks = blocks.cut(known, ids, ["__x"], found, max_rows, alike_together=True)
+    # Numbered by the rows before them, so that small neighbours share a number and there are no more than row blocks.
+    before = F.sum("__n").over(Window.partitionBy(*ids).orderBy(blocks.BLOCK).rowsBetween(blocks.FROM_START, -1))
+    numbers = reliable(sizes.select(*ids, blocks.BLOCK, F.floor(F.coalesce(before, F.lit(0)) / max_rows).cast("long").alias("__v")))
+    placed = blocks.lookup(parts, blocks.hinted(numbers, n_blocks), [*ids, blocks.BLOCK], "left")
+    return placed.withColumn("__v", F.coalesce("__v", F.lit(0).cast("long"))).drop(blocks.BLOCK)
 
 
 def expanding_order(df: DataFrame, source: Column, quantiles: dict[str, tuple[float, int]], ranks: dict[str, int],
@@ -109,46 +212,33 @@ def expanding_order(df: DataFrame, source: Column, quantiles: dict[str, tuple[fl
     rows = reliable(rows.withColumns({"__x": source, "__b": F.floor(F.col("__pos") / max_rows).cast("long")}))
     narrow = rows.select(*ids, "__pos", "__b", "__x")
     distinct = reliable(_cut_values(narrow, ids, max_rows).groupBy(*ids, "__b", "__v", "__x").agg(F.count(F.lit(1)).alias("__n")))
-    counts = distinct.groupBy(*ids, "__b", "__v").agg(F.sum("__n").alias("__n"))
-    every = reliable(narrow.groupBy(*ids, "__b").agg(F.count("__x").alias("__held")))
+    counts = _Counts(distinct.groupBy(*ids, "__b", "__v").agg(F.sum("__n").alias("__n")), ids)
+    earlier = F.sum("__held").over(Window.partitionBy(*ids).orderBy("__b").rowsBetween(blocks.FROM_START, -1))
+    every = narrow.groupBy(*ids, "__b").agg(F.count("__x").alias("__held"))
+    every = reliable(every.withColumn("__before", F.coalesce(earlier, F.lit(0))))
     out = rows
     for name, (q, least) in quantiles.items():
         out = blocks.lookup(out, _quantiles(narrow, distinct, counts, every, ids, name, q, least), [*ids, "__pos"], "left")
     if ranks:
-        out = blocks.lookup(out, _ranks(narrow, distinct, counts, ids, ranks), [*ids, "__pos"], "left")
+        out = blocks.lookup(out, _ranks(narrow, distinct, counts, every, ids, ranks), [*ids, "__pos"], "left")
     made = [*quantiles, *ranks]
     return out.select(*[F.col(f"`{c}`") for c in df.columns], *[F.nullif(F.col(f"`{c}`"), F.lit(float("nan"))).alias(c) for c in made])
 
 
-def _quantiles(narrow: DataFrame, distinct: DataFrame, counts: DataFrame, every: DataFrame, ids: list[str], name: str,
+def _quantiles(narrow: DataFrame, distinct: DataFrame, counts: _Counts, every: DataFrame, ids: list[str], name: str,
                q: float, least: int) -> DataFrame:
-    def needed(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Which value blocks each row block needs: those of the ranks that its quantiles can have among earlier
-        values.  Row blocks without values are told what came before them, too."""
-        every_b = pdf[pdf["__v"].isna()].sort_values("__b")
-        _, values, _, earlier = _grid(pd.concat([pdf[pdf["__v"].notna()][["__b", "__v", "__n"]],
-                                                 pd.DataFrame({"__b": every_b["__b"], "__v": pdf["__v"].min(), "__n": 0})]))
-        out = []
-        for b, held, row in zip(every_b["__b"], every_b["__n"], earlier):
-            before = int(row.sum())
-            if not before:
-                out.append((b, None, 0, 0))
-                continue
-            low = min(max(0, int(q * before) - held - 1), before - 1)
-            high = min(before - 1, int(q * (before + held)) + 1)
-            upto = np.cumsum(row)
-            first, last = int(np.searchsorted(upto, low, "right")), int(np.searchsorted(upto, high, "right"))
-            out += [(b, values[v], int(upto[first] - row[first]), before) for v in range(first, last + 1)]
-        b, v, below, before = zip(*out)
-        return _named(pdf, ids, __to=list(b), __v=pd.array(v, "Int64"), __below=list(below), __before=list(before))
-
-    both = counts.select(*ids, "__b", "__v", "__n").unionByName(
-        every.select(*ids, "__b", F.lit(None).cast("long").alias("__v"), F.col("__held").alias("__n")))
-    schema = _fields(narrow, ids, __to=LONG, __v=LONG, __below=LONG, __before=LONG)
-    wanted = reliable(both.groupBy(*ids).applyInPandas(needed, schema))
-    sent = blocks.lookup(distinct, wanted.where("__v IS NOT NULL"), [*ids, "__v"], "inner").where("__b < __to")
+    # Each row block needs the value blocks of the ranks that its quantiles can have among earlier values.
+    before, held = F.col("__before"), F.col("__held")
+    low = F.least(F.greatest(F.lit(0), F.floor(F.lit(q) * before) - held - 1), before - 1)
+    high = F.least(before - 1, F.floor(F.lit(q) * (before + held)) + 1)
+    asks = every.where(before > 0).select(*ids, "__b", F.lit(0).cast("long").alias("__below"), low.cast("long").alias("__low"),
+                                          high.cast("long").alias("__high"))
+    wanted = counts.holding(asks)
+    to = wanted.select(*ids, F.col("__b").alias("__to"), "__v")
+    sent = blocks.lookup(distinct, to, [*ids, "__v"], "inner").where("__b < __to")
     sent = sent.groupBy(*ids, F.col("__to").alias("__b"), "__x").agg(F.sum("__n").alias("__n"))
-    base = wanted.groupBy(*ids, F.col("__to").alias("__b")).agg(F.min("__below").alias("__below"), F.max("__before").alias("__before"))
+    least_below = wanted.groupBy(*ids, "__b").agg(F.min("__below").alias("__below"))
+    base = blocks.lookup(every.select(*ids, "__b", "__before"), least_below, [*ids, "__b"], "left").fillna({"__below": 0})
     all_ = blocks.lookup(narrow.select(*ids, "__b", "__pos", "__x").unionByName(sent, allowMissingColumns=True), base, [*ids, "__b"], "left")
 
     def select(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -162,15 +252,8 @@ def _quantiles(narrow: DataFrame, distinct: DataFrame, counts: DataFrame, every:
     return all_.groupBy(*ids, "__b").applyInPandas(select, _fields(narrow, ids, __pos=LONG, **{name: DOUBLE}))
 
 
-def _ranks(narrow: DataFrame, distinct: DataFrame, counts: DataFrame, ids: list[str], ranks: dict[str, int]) -> DataFrame:
-    def smaller(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, values, _, earlier = _grid(pdf)
-        below = np.cumsum(earlier, 1) - earlier
-        return _named(pdf, ids, __b=np.repeat(rows, len(values)), __v=np.tile(values, len(rows)), __below=below.ravel(),
-                      __before=np.repeat(earlier.sum(1), len(values)))
-
-    schema = _fields(narrow, ids, __b=LONG, __v=LONG, __below=LONG, __before=LONG)
-    table = reliable(counts.groupBy(*ids).applyInPandas(smaller, schema))
+def _ranks(narrow: DataFrame, distinct: DataFrame, counts: _Counts, every: DataFrame, ids: list[str], ranks: dict[str, int]) -> DataFrame:
+    table = blocks.lookup(counts.below(), every.select(*ids, "__b", "__before"), [*ids, "__b"], "left")
     placed = blocks.lookup(distinct, table, [*ids, "__b", "__v"], "left")
 
     def among_values(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -183,8 +266,8 @@ def _ranks(narrow: DataFrame, distinct: DataFrame, counts: DataFrame, ids: list[
             equal.append(seen[at])
             less.append(np.cumsum(seen)[at] - equal[-1])
             seen[at] += more
-        return pdf.assign(__below=pdf["__below"] + np.concatenate(less), __equal=np.concatenate(equal))[
-            [*ids, "__b", "__x", "__below", "__equal", "__before"]]
+        return _named(pdf, ids, __b=pdf["__b"].to_numpy(), __x=pdf["__x"].to_numpy(), __below=pdf["__below"].to_numpy() + np.concatenate(less),
+                      __equal=np.concatenate(equal), __before=pdf["__before"].to_numpy())
 
     kinds = dict(__b=LONG, __x=DOUBLE, __below=LONG, __equal=LONG, __before=LONG)
     partly = placed.groupBy(*ids, "__v").applyInPandas(among_values, _fields(narrow, ids, **kinds))

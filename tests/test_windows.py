@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from seriesmill.operators import blocks, windows
+from seriesmill.operators import blocks, growing, windows
 from seriesmill.operators.windows import FUNCTIONS, RollingSpec, diff, rolling, shift, weights
 
 NEVER, CUT = 10_000, 20
@@ -65,8 +65,10 @@ def test_expanding(series, series_df, max_rows):
         same(out[f], want(series, lambda g: getattr(g.x.expanding(2), f)()), 1e-6)
 
 
-def test_expanding_order_of_a_long_series(spark, series):
-    """Over blocks as in one piece, with ties and gaps."""
+@pytest.mark.parametrize("span", [2, 1000])
+def test_expanding_order_of_a_long_series(spark, series, monkeypatch, span):
+    """Over blocks as in one piece, with ties and gaps, whatever the size of the coarse cells."""
+    monkeypatch.setattr(growing, "SPAN", span)
     pdf = series.assign(x=series["x"].round(-1), seq=range(len(series)))
     rows = [tuple(None if v != v else v for v in r) for r in pdf.itertuples(index=False)]
     df = spark.createDataFrame(rows, "id string, time double, x double, kind string, seq long").repartition(5)
