@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,60 +43,83 @@ def split(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def pressed(x: np.ndarray | bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(x if isinstance(x, bytes) else x.tobytes())
+
+
+def opened(x: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(x)
+
+
 def bucketed(documents: DataFrame) -> DataFrame:
-    """Rows of (bucket, doc_ids, lengths, blob): runs of a task's documents with their texts packed together. They are
-    written once, so every later step sees the same buckets."""
+    """Rows of (bucket, doc_ids, sizes, words, row, bytes): runs of a task's documents with their number of tokens, the distinct
+    words by first occurrence, and all tokens as numbers of words, of which 0 is the end. They are written once, so
+    every later step sees the same buckets, and texts are taken apart once."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, made = TaskContext.get().partitionId() << 32, 0
         ids: list = []
-        held: list[bytes] = []
+        rows: list[np.ndarray] = []
         size = 0
+        code = fresh()
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([
                 pa.array([base + made], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                pa.array([[len(x) for x in held]], pa.list_(pa.int64())), pa.array([zlib.compress(b"".join(held), 1)], pa.binary())],
-                ["bucket", "doc_ids", "lengths", "blob"])
+                pa.array([[len(r) for r in rows]], pa.list_(pa.int64())), pa.array([pressed(END.join(islice(code, 1, None)))], pa.binary()),
+                pa.array([pressed(np.concatenate(rows))], pa.binary()), pa.array([size], pa.int64())],
+                ["bucket", "doc_ids", "sizes", "words", "row", "bytes"])
 
         for doc_ids, batch in texts(batches):
             for doc_id, text in zip(doc_ids, batch):
                 raw = text.encode()
-                if held and size + len(raw) > BUCKET_BYTES:
+                if rows and size + len(raw) > BUCKET_BYTES:
                     yield out()
-                    made, ids, held, size = made + 1, [], [], 0
+                    made, ids, rows, size, code = made + 1, [], [], 0, fresh()
+                found = split(raw)
                 ids.append(doc_id)
-                held.append(raw)
+                rows.append(np.fromiter(chain(map(code.__getitem__, found), (0,)), np.uint32, len(found) + 1))
                 size += len(raw) + 64
-        if held:
+        if rows:
             yield out()
 
-    return documents.mapInArrow(run, "bucket long, doc_ids array<long>, lengths array<long>, blob binary")
+    return documents.mapInArrow(run, "bucket long, doc_ids array<long>, sizes array<long>, words binary, row binary, bytes long")
+
+
+def fresh() -> defaultdict[bytes, int]:
+    """Numbers of words: a new word gets the next one."""
+    code: defaultdict[bytes, int] = defaultdict(None, {END: 0})
+    code.default_factory = code.__len__
+    return code
+
 
+def walked(sizes: list[int], words: bytes, row: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's words, its tokens as numbers, the first token of each text, and the state before each token: a word's
+    number, or that after the last for the start of a text."""
+    known = [END, *opened(words).split()]  # no word holds white space
+    tokens = np.frombuffer(opened(row), np.uint32).astype(np.int64)
+    first = np.cumsum(sizes) - sizes
+    states = np.concatenate([[0], tokens[:-1]])
+    states[first] = len(known)
+    return known, tokens, first, states
 
-def unpacked(ids: list, lengths: list[int], blob: bytes) -> Iterator[tuple[int | None, bytes]]:
-    raw, at = zlib.decompress(blob), 0
-    for doc_id, length in zip(ids, lengths):
-        yield doc_id, raw[at:at + length]
-        at += length
+
+def trains(ids: list, sizes: list[int]) -> np.ndarray:
+    """Of each token of a bucket, whether the model learns from it."""
+    return np.repeat([not is_held_out(d) for d in ids], sizes)
+
+
+BUCKET = ("bucket", "doc_ids", "sizes", "words", "row")
 
 
 def word_counts(buckets: DataFrame) -> DataFrame:
     """(word, bucket, n): the distinct words of each bucket with their number in its training documents."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, ids, lengths, blob in zip(*(c.to_pylist() for c in batch.columns)):
-                found: Counter[bytes] = Counter()
-                others: set[bytes] = {END}
-                for doc_id, text in unpacked(ids, lengths, blob):
-                    if is_held_out(doc_id):
-                        others.update(split(text))
-                    else:
-                        found.update(split(text))
-                        found[END] += 1
-                for word in others:
-                    found.setdefault(word, 0)
-                yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array([bucket] * len(found), pa.int64()),
-                                                  pa.array(found.values(), pa.int64())], ["word", "bucket", "n"])
+            for bucket, ids, sizes, words, row in zip(*(batch.column(c).to_pylist() for c in BUCKET)):
+                known, tokens, *_ = walked(sizes, words, row)
+                n = np.bincount(tokens[trains(ids, sizes)], minlength=len(known))
+                yield pa.RecordBatch.from_arrays([pa.array(known, pa.binary()), pa.array(np.full(len(known), bucket)), pa.array(n)],
+                                                 ["word", "bucket", "n"])
 
     return buckets.mapInArrow(run, "word binary, bucket long, n long")
 
@@ -106,7 +130,7 @@ class Automaton:
     state << 32 | word of the explicit arcs with their log10 weights; without one, the failure arc leads to the root
     at the state's weight, and the root has an arc for every word."""
 
-    words: dict[bytes, int]
+    words: list[bytes]
     arcs: np.ndarray
     weights: np.ndarray
     failure: np.ndarray
@@ -120,20 +144,19 @@ class Automaton:
     def build(cls, words: list[tuple[bytes, int]], pairs: list[tuple[int, int]], starts: int, tokens: int, distinct: int) -> Automaton:
         """Absolute discounting: an arc's probability is its discounted share plus the state's rest times the unigram's;
         the rest is what the arcs leave."""
-        index = {word: k for k, (word, _) in enumerate(words)}
         counts = np.array([*(c for _, c in words), starts], np.float64)
         keys = np.array([k for k, _ in pairs], np.int64)
         order = np.argsort(keys)
         keys, n = keys[order], np.array([c for _, c in pairs], np.float64)[order]
-        return cls.of(index, keys, n, counts, np.bincount(keys >> 32, n - DISCOUNT, minlength=len(counts)), tokens, distinct)
+        return cls.of([word for word, _ in words], keys, n, counts, np.bincount(keys >> 32, n - DISCOUNT, minlength=len(counts)), tokens, distinct)
 
     @classmethod
-    def of(cls, index: dict[bytes, int], keys: np.ndarray, n: np.ndarray, counts: np.ndarray, mass: np.ndarray, tokens: int,
+    def of(cls, words: list[bytes], keys: np.ndarray, n: np.ndarray, counts: np.ndarray, mass: np.ndarray, tokens: int,
            distinct: int) -> Automaton:
         """Some states of a larger automaton with some of their arcs: ``counts`` of the states in the corpus, and ``mass``,
         the discounted counts of all arcs that they have there."""
         rest = np.maximum(1 - mass / np.maximum(counts, 1), 1e-12)
-        made = cls(index, keys, np.zeros(0), np.append(np.log10(rest), 0.0), tokens, distinct)
+        made = cls(words, keys, np.zeros(0), np.append(np.log10(rest), 0.0), tokens, distinct)
         state, word = keys >> 32, keys & 0xFFFFFFFF
         made.weights = np.log10((n - DISCOUNT) / counts[state] + rest[state] * 10 ** made.unigram(counts[word]))
         return made
@@ -149,23 +172,6 @@ class Automaton:
         return np.where(found, self.weights[at], self.failure[states] + unigram)
 
 
-def walked(ids: list, lengths: list[int], blob: bytes) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
-    """A bucket's words with their numbers by first occurrence, its tokens as numbers, the first token of each text,
-    and the state before each token: a word's number, or that after the last for the start of a text."""
-    code: defaultdict[bytes, int] = defaultdict(None, {END: 0})
-    code.default_factory = code.__len__  # a new word gets the next number
-    rows = []
-    for _, text in unpacked(ids, lengths, blob):
-        found = split(text)
-        rows.append(np.fromiter(chain(map(code.__getitem__, found), (0,)), np.int64, len(found) + 1))
-    code.default_factory = None
-    row = np.concatenate(rows)
-    first = np.concatenate([[0], np.cumsum([len(r) for r in rows])[:-1]]).astype(np.int64)
-    states = np.concatenate([[0], row[:-1]])
-    states[first] = len(code)
-    return code, row, first, states
-
-
 def word_key(word: bytes) -> int:
     """60 bits of the word's xxHash with Spark's seed, as ``key_column`` has them."""
     return xxhash.xxh64_intdigest(word, 42) >> 4
@@ -179,17 +185,21 @@ def key_column(word: str) -> F.Column:
 START = -1
 
 
-def dealt(code: dict[bytes, int], row: np.ndarray, states: np.ndarray, parts: int) -> tuple[np.ndarray, ...]:
-    """The distinct pairs of a bucket as sorted keys state << 32 | word, the order in which they are dealt into parts (as
-    they come within one), and in that order their parts and the keys of both words. The same bucket always gives the
-    same order."""
-    pair = np.unique(states << 32 | row)
-    keys = np.array([*map(word_key, code), START], np.int64)
+def opens(found: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values of a sorted array begin."""
+    return np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])[:len(found)])
+
+
+def dealt(words: list[bytes], pair: np.ndarray, parts: int) -> tuple[np.ndarray, ...]:
+    """The order in which the distinct pairs of a bucket, sorted keys state << 32 | word, are dealt into parts (as they come
+    within one), and in that order their parts and the keys of both words. The same bucket always gives the same
+    order."""
+    keys = np.array([*map(word_key, words), START], np.int64)
     left, right = keys[pair >> 32], keys[pair & 0xFFFFFFFF]
     part = (mixed(left.view(np.uint64) * MIX + right.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
     # Small numbers sort by their digits.
     order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
-    return pair, order, part[order], left[order], right[order]
+    return order, part[order], left[order], right[order]
 
 
 def asked_pairs(buckets: DataFrame, parts: int) -> DataFrame:
@@ -197,20 +207,21 @@ def asked_pairs(buckets: DataFrame, parts: int) -> DataFrame:
     in its training documents, which is 0 for those that only its other documents have."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, ids, lengths, blob in zip(*(c.to_pylist() for c in batch.columns)):
-                code, row, first, states = walked(ids, lengths, blob)
-                sizes = np.diff(np.append(first, len(row)))
-                trains = np.repeat([not is_held_out(d) for d in ids], sizes)
-                pair, order, part, left, right = dealt(code, row, states, parts)
-                seen = np.searchsorted(pair, (states << 32 | row)[trains])
-                n = np.bincount(seen, minlength=len(pair))[order]
+            for bucket, ids, sizes, words, row in zip(*(batch.column(c).to_pylist() for c in BUCKET)):
+                known, tokens, _, states = walked(sizes, words, row)
+                # With a last bit that tells tokens of training, one sort finds the pairs and counts them.
+                marked = np.sort((states << 32 | tokens) << 1 | trains(ids, sizes))
+                first = opens(marked >> 1)
+                pair = marked[first] >> 1
+                order, part, left, right = dealt(known, pair, parts)
+                n = np.add.reduceat(marked & 1, first)[order]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)).tolist()
                 spans = list(zip(cuts[:-1], cuts[1:]))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([int(part[a]) for a, _ in spans], pa.int64()), pa.array([bucket] * len(spans), pa.int64()),
-                    pa.array([zlib.compress(left[a:b].tobytes(), 1) for a, b in spans], pa.binary()),
+                    pa.array([pressed(left[a:b]) for a, b in spans], pa.binary()),
                     pa.array([right[a:b].tobytes() for a, b in spans], pa.binary()),
-                    pa.array([zlib.compress(n[a:b].tobytes(), 1) for a, b in spans], pa.binary())],
+                    pa.array([pressed(n[a:b]) for a, b in spans], pa.binary())],
                     ["part", "bucket", "lefts", "rights", "counts"])
 
     return buckets.mapInArrow(run, "part long, bucket long, lefts binary, rights binary, counts binary")
@@ -224,7 +235,7 @@ def counted_pairs(asked: DataFrame) -> DataFrame:
     (key, mass): the discounted counts of a word's arcs in a part."""
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        unpack = lambda c: [np.frombuffer(zlib.decompress(x), np.int64) for x in table.column(c).to_pylist()]
+        unpack = lambda c: [np.frombuffer(opened(x), np.int64) for x in table.column(c).to_pylist()]
         lefts, counts = unpack("lefts"), unpack("counts")
         left, n = np.concatenate(lefts), np.concatenate(counts)
         right = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("rights").to_pylist()])
@@ -235,9 +246,10 @@ def counted_pairs(asked: DataFrame) -> DataFrame:
         answer = np.empty(len(n), np.int64)
         answer[order] = total[np.cumsum(new) - 1]
         arcs = total >= LEAST
-        key, at = np.unique(x[new][arcs], return_inverse=True)
-        mass = np.bincount(at, total[arcs] - DISCOUNT, minlength=len(key))
-        back = [zlib.compress(c.tobytes(), 1) for c in np.split(answer, np.cumsum([len(c) for c in counts])[:-1])]
+        having = x[new][arcs]
+        first = opens(having)
+        key, mass = having[first], np.add.reduceat(total[arcs] - DISCOUNT, first) if len(first) else np.zeros(0)
+        back = [pressed(c) for c in np.split(answer, np.cumsum([len(c) for c in counts])[:-1])]
         none, more = [None] * len(key), [None] * len(back)
         return pa.Table.from_arrays([
             pa.array(table.column("bucket").to_pylist() + none, pa.int64()), pa.array([part] * (len(back) + len(key)), pa.int64()),
@@ -260,7 +272,7 @@ def scored(documents: DataFrame) -> DataFrame:
     gives an empty result. Other columns are ignored.
     """
     buckets = stored(bucketed(pick(documents, "doc_id", "text")))
-    held = buckets.agg(F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n)), F.lit(0))).first()[0]
+    held = buckets.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     parts = 1 + held // PART_BYTES
     pairs = stored(counted_pairs(asked_pairs(buckets, parts)))
     mass = pairs.where("bucket IS NULL").groupBy("key").agg(F.sum("mass").alias("mass"))
@@ -281,19 +293,21 @@ def scored(documents: DataFrame) -> DataFrame:
         place = {word: k for k, word in enumerate(given.column("word").to_pylist())}
         c, m = given.column("c").to_numpy(), given.column("mass").fill_null(0.0).to_numpy()
         out: list[tuple] = []
-        for ids, lengths, blob in zip(*(left.column(c).to_pylist() for c in ("doc_ids", "lengths", "blob"))):
-            code, row, first, states = walked(ids, lengths, blob)
-            at = np.array([place[word] for word in code], np.int64)
+        for _, ids, sizes, words, row in zip(*(left.column(c).to_pylist() for c in BUCKET)):
+            known, row, first, states = walked(sizes, words, row)
+            at = np.fromiter(map(place.__getitem__, known), np.int64, len(known))
             counts, mass = np.append(c[at], starts), np.append(m[at], start_mass)
-            pair, order, *_ = dealt(code, row, states, parts)
+            walks = np.sort(states << 32 | row)
+            pair = walks[opens(walks)]
+            order = dealt(known, pair, parts)[0]
             n = np.empty(len(pair), np.int64)
-            n[order] = np.concatenate([np.frombuffer(zlib.decompress(x), np.int64) for x in counted])
+            n[order] = np.concatenate([np.frombuffer(opened(x), np.int64) for x in counted])
             arcs = n >= LEAST
-            model = Automaton.of(code, pair[arcs], n[arcs], counts, mass, tokens, distinct)
+            model = Automaton.of(known, pair[arcs], n[arcs], counts, mass, tokens, distinct)
             unigram = model.unigram(counts)
             weights = model.traverse(states, row, unigram[row])
             n_known = np.add.reduceat((counts[row] > 0).astype(np.int64), first)
-            out += zip(ids, map(is_held_out, ids), np.diff(np.append(first, len(row))).tolist(), n_known.tolist(), [tokens] * len(ids),
+            out += zip(ids, map(is_held_out, ids), sizes, n_known.tolist(), [tokens] * len(ids),
                        np.add.reduceat(unigram[row], first).tolist(), np.add.reduceat(weights, first).tolist())
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*out)) or [[]] * len(RESULT), RESULT)], schema=RESULT)
 
