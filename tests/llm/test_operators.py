@@ -253,6 +253,29 @@ def test_toxicity(spark, odd, none):
     assert toxicity.scored(odd, marks).count() == odd.count()
 
 
+def test_expected_severity_by_definition():
+    """A fitted model's severity is the sum of grade times probability, and its bounds and weights are where the penalised
+    likelihood, written out by itself, has no slope."""
+    rng = np.random.default_rng(2)
+    x = rng.poisson(1.0, (300, 2)).astype(float)
+    grades = np.clip(np.round(x @ [1.0, 0.4] + rng.normal(0, 0.8, 300)).astype(int), 0, toxicity.GRADES - 1)
+    rows = [dict(enumerate(r)) for r in x.tolist()]
+    model = toxicity.Ordinal.fit({"a": 0, "b": 1}, rows, grades, rounds=3000, rate=0.02)
+    above = model.above(rows)
+    full = np.hstack([np.ones((300, 1)), above, np.zeros((300, 1))])
+    share = full[:, :-1] - full[:, 1:]
+    assert np.allclose(share.sum(1), 1) and np.allclose(share @ np.arange(toxicity.GRADES), above.sum(1))
+
+    def likelihood(p):
+        up = 1 / (1 + np.exp(-((x @ p[:2])[:, None] - p[2:])))
+        edges = np.hstack([np.ones((300, 1)), up, np.zeros((300, 1))])
+        return (np.log(edges[np.arange(300), grades] - edges[np.arange(300), grades + 1]).sum() - 0.01 * (p[:2] ** 2).sum() / 2) / 300
+
+    found = np.concatenate([model.weights, model.bounds])
+    slopes = [(likelihood(found + e) - likelihood(found - e)) / 2e-5 for e in 1e-5 * np.eye(len(found))]
+    assert np.abs(slopes).max() < 2e-3
+
+
 def test_ordinal_thresholds_rise():
     rng = np.random.default_rng(1)
     x = rng.poisson(1.5, (400, 2))
