@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,7 @@ from seriesmill.operators.blocks import micros, ticks_per_second
 from seriesmill.operators.windows import diff
 
 DAY = 86_400
-# Grid buckets made from one row; longer grids grow in two steps.
+# Buckets made from one row; longer gaps grow in two steps.
 GRID_ROWS = 100_000
 
 
@@ -70,27 +70,29 @@ def resample_mean(df: DataFrame, time_step: int | None = None, time: str = "time
         *[F.sum(F.col(f"`{c}`").cast("double")).alias(f"__s{i}") for i, c in enumerate(columns)],
         *[F.count(f"`{c}`").alias(f"__n{i}") for i, c in enumerate(columns)],
     )
-    # Cells divide steps and days, so the first and the last one stand for the first and the last row.
-    spans = sums.groupBy(*ids).agg(F.min("__t").alias("__min"), F.max("__t").alias("__max"))
-    spans = spans.select(*ids, whole(F.col("__min"), day).alias("__day"), "__min", "__max")
-
-    def bucket(x: Column) -> Column:
-        return F.floor((x - F.col("__day")) / F.lit(step)).cast("long")
-
     if time_step == cell // unit:
         buckets = sums
     else:
-        placed = blocks.lookup(sums, spans.select(*ids, "__day"), ids, "left")
-        buckets = placed.withColumn("__t", F.col("__day") + bucket(F.col("__t")) * step).drop("__day")
-    grid = spans.select(*ids, "__day", bucket(F.col("__min")).alias("__a"), bucket(F.col("__max")).alias("__b"))
-    grid = grid.withColumn("__c", F.explode(F.sequence("__a", "__b", F.lit(GRID_ROWS).cast("long"))))
-    # A long grid leaves in chunks, so that its rows are made by many tasks.
-    grid = grid.repartition(*ids, "__c").withColumn("__i", F.explode(F.sequence(
-        "__c", F.least(F.col("__b"), F.col("__c") + GRID_ROWS - 1))))
-    grid = grid.select(*ids, (F.col("__day") + F.col("__i") * step).alias("__t"))
-    # Grid rows carry no sums, so one aggregate both averages and keeps the empty buckets.
-    full = buckets.unionByName(grid, allowMissingColumns=True).groupBy(*ids, "__t").agg(
-        *[F.try_divide(F.sum(f"__s{i}"), F.sum(f"__n{i}")).alias(c) for i, c in enumerate(columns)])
+        # Cells divide steps and days, so the first one stands for the first row.
+        days = sums.groupBy(*ids).agg(whole(F.min("__t"), day).alias("__day"))
+        bucket = F.floor((F.col("__t") - F.col("__day")) / F.lit(step)).cast("long")
+        placed = blocks.lookup(sums, days, ids, "left").withColumn("__t", F.col("__day") + bucket * step)
+        buckets = placed.groupBy(*ids, "__t").agg(*[F.sum(c).alias(c) for c in sums.columns if c not in (*ids, "__t")])
+
+    def up_to_next(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.withColumn("__next", F.lead("__t").over(Window.partitionBy(*keys).orderBy("__t")))
+
+    # A bucket with rows also makes the empty ones up to the next, so a task only holds buckets with rows.
+    found = blocks.long_series(df, ids, [time], max_rows)
+    gaps = blocks.over_series(buckets, ids, ["__t"], 0, 1, up_to_next, max_rows, found)
+    size = F.when(F.col("__t").isNotNull() & F.col("__next").isNotNull(), F.floor((F.col("__next") - F.col("__t")) / F.lit(step)))
+    gaps = gaps.withColumn("__size", F.coalesce(size, F.lit(1)).cast("long")).withColumn(
+        "__c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__size") - 1, F.lit(GRID_ROWS).cast("long"))))
+    # A long gap leaves in chunks, so that its rows are made by many tasks.
+    full = gaps.repartition(*ids, "__t", "__c").withColumn("__i", F.explode(F.sequence(
+        "__c", F.least(F.col("__size"), F.col("__c") + GRID_ROWS) - 1)))
+    full = full.select(*ids, (F.col("__t") + F.col("__i") * step).alias("__t"), *[
+        F.when(F.col("__i") == 0, F.try_divide(f"__s{i}", f"__n{i}")).alias(c) for i, c in enumerate(columns)])
     dtype = df.schema[time].dataType
     start = F.col("__t") if unit == 1 else F.timestamp_micros("__t")
     if isinstance(dtype, T.TimestampNTZType):
