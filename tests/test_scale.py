@@ -55,7 +55,6 @@ def test_long_gaps_leave_in_chunks(spark, monkeypatch):
     lambda df: fft_denoise(df, "x", "y", 20_001.0, max_rows=24),
     lambda df: wavelet_denoise(df, "x", "y", max_rows=24, wavelet="haar"),
     lambda df: rolling(df, [RollingSpec("x", "median", min_periods=3, name="y")], max_rows=24),
-    lambda df: rolling(df, [RollingSpec("x", "rank", min_periods=3, name="y")], max_rows=24),
 ])
 def test_groups_of_long_series_share_calls_of_python(samples, make):
     plan = plan_of(make(samples))
@@ -73,3 +72,20 @@ def test_groups_cut_by_batches_are_whole(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert out == {f"g{k}": (k + 1, k * (k + 1) / 2) for k in range(9)}
+
+
+def test_groups_of_a_value_in_most_rows_are_bounded(spark, monkeypatch, tmp_path):
+    as_it_is = kernels.one_by_one
+
+    def watched(make, fields):
+        def run(group):
+            if "__x" in group:
+                (tmp_path / f"{len(group['__x']):06d}").touch()
+            return make(group)
+        return as_it_is(run, fields)
+
+    monkeypatch.setattr(kernels, "one_by_one", watched)
+    rows = [("a", float(k), 0.0 if k % 5 < 2 else float(k * 7 % 101)) for k in range(2000)]
+    df = spark.createDataFrame(rows, "id string, time double, x double")
+    rolling(df, [RollingSpec("x", "median", min_periods=2, name="y")], max_rows=100).collect()
+    assert 0 < max(int(f.name) for f in tmp_path.iterdir()) <= 500
