@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,24 +20,36 @@ END = 1
 PACK_ITEMS, PACK_TOKENS = 60_000, 40_000_000
 #: Likewise where their ids are held as well.
 PACK_IDS = 8_000_000
-#: Bytes of text that are encoded at a time, and rows handed on at a time.
-PART_BYTES, ROWS = 4_000_000, 4_000
-#: Words that a task remembers before it starts over; bounds memory only.
-REMEMBERED = 800_000
+#: Bytes of text that are encoded at a time, and rows handed on at a time, or fewer where they hold so many tokens of ids.
+PART_BYTES, ROWS, ROWS_IDS = 1_000_000, 4_000, 500_000
+#: Pieces, and words of texts that are not plain ASCII, that a worker remembers before it starts over; bounds memory only.
+REMEMBERED = 150_000
 
 # Fixed value: how the tokenizer of words cuts printable ASCII in lower case.
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: What is neither printable nor white space where bytes are split.
+CONTROLS = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+class Asked(dict):
+    """What a function gives for each key, called once."""
+
+    def __init__(self, ask: Callable) -> None:
+        self.ask = ask
+
+    def __missing__(self, key) -> bytes:
+        found = self[key] = self.ask(key)
+        return found
+
+
 @dataclass
 class WordIds:
-    """Ids by the tokenizers library, asked once per distinct piece of a word: no piece spans white space."""
+    """Ids by the tokenizers library, asked once per distinct piece of a word: no piece spans white space. A text of plain
+    ASCII is cut into pieces as a whole, others word by word."""
 
     path: str
-    known: dict[bytes, bytes] = field(default_factory=dict)
-    pieces: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         from tokenizers import Tokenizer
@@ -45,43 +57,32 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(self.path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
+        tokenize = self.tokenizer.model.tokenize
+        self.pieces = Asked(lambda piece: np.array([t.id for t in tokenize(piece)], "<u4").tobytes())
+        self.known = Asked(self.of_word)
 
     def cut(self, word: str) -> list[str]:
         if word.isascii() and word.isprintable():
             return ASCII_PIECES.findall(word.lower())
         return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word))]
 
-    def learn(self, new: set[bytes]) -> None:
-        pieces, tokenize = self.pieces, self.tokenizer.model.tokenize
-        for raw in new:
-            word = raw.decode()
-            if any(token in word for token in self.specials):
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-                self.known[raw] = np.array(ids, "<u4").tobytes()
-                continue
-            found = []
-            for piece in self.cut(word):
-                if piece not in pieces:
-                    pieces[piece] = np.array([t.id for t in tokenize(piece)], "<u4").tobytes()
-                found.append(pieces[piece])
-            self.known[raw] = b"".join(found)
+    def of_word(self, raw: bytes) -> bytes:
+        word = raw.decode()
+        if self.special.search(word):
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self.pieces.__getitem__, self.cut(word)))
 
     def encode(self, batch: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text. Splitting bytes cuts at ASCII white space only."""
-        new: set[bytes] = set()
-        for text in batch:
-            new.update(text.encode().split())
-        fresh = new - self.known.keys()
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = new
-        if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
-        self.learn(fresh)
-        known = self.known
         for text in batch:
-            yield b"".join([known[word] for word in text.encode().split()])
+            for held in (self.pieces, self.known):
+                if len(held) > REMEMBERED:
+                    held.clear()
+            if text.isascii() and not CONTROLS.search(text) and not self.special.search(text):
+                yield b"".join(map(self.pieces.__getitem__, ASCII_PIECES.findall(text.lower())))
+            else:
+                yield b"".join(map(self.known.__getitem__, text.encode().split()))
 
 
 _IDS: dict[str, WordIds] = {}
@@ -158,6 +159,7 @@ def packed(documents: DataFrame, vocabulary: str, window: int = WINDOW, end: int
         own, base, made = word_ids(vocabulary), TaskContext.get().partitionId() << 36, 0
         held: list[tuple] = []
         tokens = 0
+        rows_out = max(1, min(ROWS, ROWS_IDS // window)) if with_ids else ROWS
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows)) or [[]] * 8
@@ -171,8 +173,8 @@ def packed(documents: DataFrame, vocabulary: str, window: int = WINDOW, end: int
             names, offsets, windows = best_fit(np.array([row[2] for row in held], np.int64), window)
             rows = [(*row, base + made + n, o) for row, n, o in zip(held, names.tolist(), offsets.tolist())]
             made, held, tokens = made + windows, [], 0
-            for lo in range(0, len(rows), ROWS):
-                yield out(rows[lo:lo + ROWS])
+            for lo in range(0, len(rows), rows_out):
+                yield out(rows[lo:lo + rows_out])
 
         tail = np.array([end], "<u4").tobytes()
         for doc_ids, batch in texts(in_parts(batches, most=PART_BYTES, rows=10_000)):
@@ -186,15 +188,16 @@ def packed(documents: DataFrame, vocabulary: str, window: int = WINDOW, end: int
                     if row[2] == window:
                         full.append((*row, base + made, 0))
                         made += 1
+                        if len(full) >= rows_out:
+                            yield out(full)
+                            full = []
                     else:
                         held.append(row)
                         tokens += row[2]
                 if len(held) >= PACK_ITEMS or tokens >= (PACK_IDS if with_ids else PACK_TOKENS):
                     yield from place()
-                if len(full) >= ROWS:
-                    yield out(full)
-                    full = []
-            yield out(full)
+            if full:
+                yield out(full)
         if held:
             yield from place()
 

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -389,6 +390,54 @@ def test_best_fit_is_best_fit():
         assert made == len(room)
 
 
+class Caught:
+    """Takes the function that an operator hands to its tasks."""
+
+    columns = ["doc_id", "text"]
+
+    def toDF(self, *names):
+        return self
+
+    def select(self, *columns):
+        return self
+
+    def groupBy(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    applyInArrow = mapInArrow
+
+
+def test_packing_holds_little(monkeypatch, spark):
+    task = type("Task", (), {"get": staticmethod(lambda: type("Context", (), {"partitionId": lambda self: 3})())})
+    monkeypatch.setattr(packing, "TaskContext", task)
+    monkeypatch.setattr(packing, "REMEMBERED", 1000)
+    own = packing.word_ids(WORD_BPE)
+    texts = ["1" * 2_100_000, *(" ".join(f"w{k}x{j}" for j in range(400)) for k in range(20)), *(" ".join(f"é{k}x{j}" for j in range(400)) for k in range(20))]
+    caught = Caught()
+    packing.packed(caught, WORD_BPE, with_ids=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    out = list(caught.run([batch]))
+    assert max(b.nbytes for b in out) < 3_000_000  # handed on in small batches, whole windows too
+    assert len(own.known) <= 1500 and len(own.pieces) <= 1500
+    ids = {}
+    for b in out:
+        for row in b.to_pylist():
+            ids.setdefault(row["doc_id"], []).append((row["start"], row["ids"]))
+    for k, text in enumerate(texts):
+        want = own.tokenizer.encode(text, add_special_tokens=False).ids if k else own.tokenizer.encode("1", add_special_tokens=False).ids * len(text)
+        assert b"".join(x for _, x in sorted(ids[k])) == np.array([*want, packing.END], "<u4").tobytes()
+
+
+def test_packing_of_plain_and_odd_ascii():
+    own = packing.word_ids(WORD_BPE)
+    odd = ["Don't we'LL I'D\tgo\x0b12ab\r\n!!a,b", "a\x1cb c\x00d \x7f", "x<|endoftext|>y <|startoftext|>", "", " \n ", "é Don't A1"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(odd)] == [own.tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
+
+
 # WARC
 
 @pytest.fixture
