@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import pick, stored, texts
+from seriesmill.llm.common import in_parts, pick, stored, texts
 from seriesmill.llm.near_dedup import MIX, mixed
 
 #: Text that one bucket holds, unless a single text is longer.
@@ -69,7 +69,7 @@ def bucketed(documents: DataFrame) -> DataFrame:
                 pa.array([pressed(np.concatenate(rows))], pa.binary()), pa.array([size], pa.int64())],
                 ["bucket", "doc_ids", "sizes", "words", "row", "bytes"])
 
-        for doc_ids, batch in texts(batches):
+        for doc_ids, batch in texts(in_parts(batches)):
             for doc_id, text in zip(doc_ids, batch):
                 raw = text.encode()
                 if rows and size + len(raw) > BUCKET_BYTES:
@@ -111,11 +111,17 @@ def trains(ids: list, sizes: list[int]) -> np.ndarray:
 BUCKET = ("bucket", "doc_ids", "sizes", "words", "row")
 
 
+def each(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple]:
+    """The buckets of a batch, one taken out at a time."""
+    for k in range(batch.num_rows):
+        yield tuple(batch.column(c)[k].as_py() for c in BUCKET)
+
+
 def word_counts(buckets: DataFrame) -> DataFrame:
     """(word, bucket, n): the distinct words of each bucket with their number in its training documents."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, ids, sizes, words, row in zip(*(batch.column(c).to_pylist() for c in BUCKET)):
+            for bucket, ids, sizes, words, row in each(batch):
                 known, tokens, *_ = walked(sizes, words, row)
                 n = np.bincount(tokens[trains(ids, sizes)], minlength=len(known))
                 yield pa.RecordBatch.from_arrays([pa.array(known, pa.binary()), pa.array(np.full(len(known), bucket)), pa.array(n)],
@@ -207,7 +213,7 @@ def asked_pairs(buckets: DataFrame, parts: int) -> DataFrame:
     in its training documents, which is 0 for those that only its other documents have."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, ids, sizes, words, row in zip(*(batch.column(c).to_pylist() for c in BUCKET)):
+            for bucket, ids, sizes, words, row in each(batch):
                 known, tokens, _, states = walked(sizes, words, row)
                 # With a last bit that tells tokens of training, one sort finds the pairs and counts them.
                 marked = np.sort((states << 32 | tokens) << 1 | trains(ids, sizes))
@@ -235,21 +241,28 @@ def counted_pairs(asked: DataFrame) -> DataFrame:
     (key, mass): the discounted counts of a word's arcs in a part."""
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        unpack = lambda c: [np.frombuffer(opened(x), np.int64) for x in table.column(c).to_pylist()]
-        lefts, counts = unpack("lefts"), unpack("counts")
-        left, n = np.concatenate(lefts), np.concatenate(counts)
-        right = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("rights").to_pylist()])
-        order = np.lexsort((right, left))
-        x, y = left[order], right[order]
+        cuts = np.cumsum([0, *(len(x.as_py()) // 8 for x in table.column("rights"))])
+
+        def column(name: str) -> np.ndarray:
+            """All numbers of a column, one row opened at a time."""
+            out = np.empty(cuts[-1], np.int64)
+            for a, b, x in zip(cuts[:-1], cuts[1:], table.column(name)):
+                out[a:b] = np.frombuffer(x.as_py() if name == "rights" else opened(x.as_py()), np.int64)
+            return out
+
+        x, y = column("lefts"), column("rights")
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
         new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+        x, y = x[new], None
+        n = column("counts")
         total = np.add.reduceat(n[order], np.flatnonzero(new))
-        answer = np.empty(len(n), np.int64)
-        answer[order] = total[np.cumsum(new) - 1]
+        n[order] = total[np.cumsum(new) - 1]  # now the number of each pair in the whole corpus
         arcs = total >= LEAST
-        having = x[new][arcs]
+        having = x[arcs]
         first = opens(having)
         key, mass = having[first], np.add.reduceat(total[arcs] - DISCOUNT, first) if len(first) else np.zeros(0)
-        back = [pressed(c) for c in np.split(answer, np.cumsum([len(c) for c in counts])[:-1])]
+        back = [pressed(n[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
         none, more = [None] * len(key), [None] * len(back)
         return pa.Table.from_arrays([
             pa.array(table.column("bucket").to_pylist() + none, pa.int64()), pa.array([part] * (len(back) + len(key)), pa.int64()),
@@ -293,7 +306,7 @@ def scored(documents: DataFrame) -> DataFrame:
         place = {word: k for k, word in enumerate(given.column("word").to_pylist())}
         c, m = given.column("c").to_numpy(), given.column("mass").fill_null(0.0).to_numpy()
         out: list[tuple] = []
-        for _, ids, sizes, words, row in zip(*(left.column(c).to_pylist() for c in BUCKET)):
+        for _, ids, sizes, words, row in each(left):
             known, row, first, states = walked(sizes, words, row)
             at = np.fromiter(map(place.__getitem__, known), np.int64, len(known))
             counts, mass = np.append(c[at], starts), np.append(m[at], start_mass)

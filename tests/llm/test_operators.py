@@ -438,6 +438,37 @@ def test_packing_of_plain_and_odd_ascii():
     assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(odd)] == [own.tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_pairs_are_counted_one_row_at_a_time():
+    """What a part's count holds at once stays a small multiple of its pairs, and the counts are right."""
+    import tracemalloc
+
+    n, rng = 20_000, np.random.default_rng(3)
+    rows, want = [], collections.Counter()
+    for bucket in range(20):
+        pair = np.unique(rng.integers(0, 400, (n, 2)), axis=0)
+        counts = rng.integers(0, 3, len(pair))
+        rows.append((0, bucket, lm_scoring.pressed(pair[:, 0].copy()), pair[:, 1].tobytes(), lm_scoring.pressed(counts)))
+        for p, c in zip(map(tuple, pair.tolist()), counts.tolist()):
+            want[p] += c
+    names = ["part", "bucket", "lefts", "rights", "counts"]
+    table = pa.table({name: pa.array(c, pa.int64() if k < 2 else pa.binary()) for k, (name, c) in enumerate(zip(names, zip(*rows)))})
+    caught = Caught()
+    lm_scoring.counted_pairs(caught)
+    tracemalloc.start()
+    found = caught.run(table)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    pairs = sum(len(r[3]) // 8 for r in rows)
+    assert most < 8 * 8 * pairs
+    for (_, bucket, left, right, _), row in zip(rows, found.to_pylist()):
+        keys = zip(np.frombuffer(lm_scoring.opened(left), np.int64).tolist(), np.frombuffer(right, np.int64).tolist())
+        assert row["bucket"] == bucket and np.frombuffer(lm_scoring.opened(row["counts"]), np.int64).tolist() == [want[k] for k in keys]
+    mass = collections.Counter()
+    for (x, _), c in want.items():
+        mass[x] += (c - lm_scoring.DISCOUNT) * (c >= lm_scoring.LEAST)
+    assert {r["key"]: pytest.approx(r["mass"]) for r in found.to_pylist() if r["key"] is not None} == {x: m for x, m in mass.items() if m}
+
+
 # WARC
 
 @pytest.fixture
