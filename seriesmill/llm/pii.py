@@ -111,8 +111,8 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
-#: Bytes of text that are decoded at a time, unless one text is longer.
-PART_BYTES = 500_000
+#: Bytes of text that are decoded at a time, unless one text is longer, and words whose scores are put together at a time.
+PART_BYTES, WORDS = 1_500_000, 50_000
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -186,6 +186,14 @@ def features(words: list[str]) -> list[list[str]]:
     return out
 
 
+def shapes_of(words: Iterable[str]) -> list[str]:
+    """The shape of each word; no word holds a line's end, and no run of a shape reaches over one."""
+    text = "\n".join(words)
+    for run, mark in RUNS:
+        text = run.sub(mark, text)
+    return DIGIT.sub("9", text).split("\n")
+
+
 def brief_of(shape: str) -> str:
     return re.sub(r"9+", "9", shape)
 
@@ -272,11 +280,7 @@ class Field:
         known, before, after = self.tables
         distinct, shapes = Numbered(), Numbered()
         at = np.fromiter(map(distinct.__getitem__, words), np.int64, len(words))
-        of_word = np.empty(len(distinct), np.int64)
-        for k, word in enumerate(distinct):
-            for run, mark in RUNS:
-                word = run.sub(mark, word)
-            of_word[k] = shapes[DIGIT.sub("9", word)]
+        of_word = np.fromiter(map(shapes.__getitem__, shapes_of(distinct)), np.int64, len(distinct))
         own, brief = np.zeros((len(shapes), len(LABELS)), np.float32), np.empty(len(shapes), np.int64)
         for k, shape in enumerate(shapes):
             short = brief_of(shape)
@@ -288,8 +292,10 @@ class Field:
         left[starts] = known["^"]
         right[np.append(starts[1:], len(words)) - 1] = known["$"]
         out = own[shape]
-        out += before[left, here]
-        out += after[here, right]
+        for lo in range(0, len(words), WORDS):
+            part = slice(lo, lo + WORDS)
+            out[part] += before[left[part], here[part]]
+            out[part] += after[here[part], right[part]]
         return out
 
     def paths(self, words: list[str], lengths: np.ndarray) -> np.ndarray:
@@ -302,10 +308,14 @@ class Field:
         into = np.ascontiguousarray(self.step.T)
         best = self.first + scores[starts]
         back = np.zeros(scores.shape, np.int8)
+        labels = into.shape[0]
+        corner = np.arange(len(starts) * labels).reshape(-1, labels) * labels
         for t, n in enumerate(alive.tolist(), 1):
             routes = best[:n, None, :] + into
-            back[starts[:n] + t] = routes.argmax(2)
-            best[:n] = routes.max(2) + scores[starts[:n] + t]
+            at, chosen = starts[:n] + t, routes.argmax(2)
+            back[at] = chosen
+            chosen += corner[:n]
+            np.add(routes.ravel().take(chosen), scores[at], out=best[:n])
         out = np.zeros(len(words), np.int8)
         label = best.argmax(1)
         out[starts + lengths - 1] = label

@@ -672,3 +672,27 @@ def test_viterbi_is_best():
         value = lambda p: field.first[p[0]] + sum(scores[k, x] for k, x in enumerate(p)) + sum(field.step[x, y] for x, y in zip(p, p[1:]))
         best = max(itertools.product(range(len(pii.LABELS)), repeat=len(run)), key=value)
         assert math.isclose(value(best), value(path))
+
+
+def test_shapes_are_found_for_all_words_at_once(monkeypatch):
+    calls = []
+
+    class Counted:
+        def __init__(self, run):
+            self.run = run
+
+        def sub(self, *args):
+            calls.append(1)
+            return self.run.sub(*args)
+
+    field = pii.trained()
+    texts = [prose(k, 300) + f" Call +1 (578) 555-64{k:02} x\x1cé\u2028y A1b--Ü9 mail a.b{k}@mail.example.com" for k in range(20)]
+    one_by_one = [pii.all_spans([t], field)[0] for t in texts]
+    monkeypatch.setattr(pii, "RUNS", tuple((Counted(run), mark) for run, mark in pii.RUNS))
+    assert pii.all_spans(texts, field) == one_by_one
+    assert len(calls) <= 10
+    run = [w for t in texts for w in pii.WORD.findall(t)]
+    monkeypatch.undo()
+    scores = field.scores(run, np.array([0]))
+    want = np.array([sum(field.emit[field.index[f]] for f in word if f in field.index) for word in pii.features(run)])
+    assert np.allclose(scores, want, atol=1e-4)
