@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from seriesmill.llm.bpe import some
-from seriesmill.llm.common import looked_up, pick, stored, texts
+from seriesmill.llm.common import in_parts, looked_up, pick, stored, texts
 
 #: Values that a sketch keeps, and how many two sketches share at least. Of the K smallest values of the union of two
 #: sets with similarity s, each is in both with probability s, without replacement; for s >= 0.8 fewer than SHARED of
@@ -24,6 +24,8 @@ BLOCK = 512
 PAIRS = 20_000
 #: Parts of the hash space whose counts of values two sets are first compared by.
 PARTS = 256
+#: Bits of the map of keys that drops rows before an exchange: 4 MB to broadcast at any size of the input.
+BITS = 1 << 25
 
 MIX, TOP, ROW_LIMIT = np.uint64(0x9E3779B97F4A7C15), np.uint64(1 << 63), 400_000
 _POWERS: list[np.ndarray] = []
@@ -112,39 +114,58 @@ def sketched(documents: DataFrame, width: int) -> DataFrame:
     return documents.mapInArrow(run, "doc_id long, t string, n long, fp binary, sketch array<long>")
 
 
-def whole_sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(fp, values) for each wanted (fp, rep): the whole set of the class, from the text of the row it is taken from."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = list(zip(batch.column("fp").to_pylist(), batch.column("rep").to_pylist()))
-            held = [t or "" for t in batch.column("text").to_pylist()]
-            for keys, part in some(pairs, held, ROW_LIMIT):
-                sets = shingle_sets(part, width)
-                # A doc_id may occur with several texts; only the wanted one has the class's name.
-                found = [(fp, s.tobytes()) for (fp, _), s in zip(keys, sets) if set_name(s) == fp]
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())],
-                                                 ["fp", "values"])
+def row_key(doc_id: F.Column, t: F.Column) -> F.Column:
+    """A row by doc_id and the md5 of its text, never null, so that both sides of a join are dealt alike."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), t)
+
+
+def marked(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is in ``wanted``, and a few others whose key's bit is set by one that is: what a join by the key
+    need not move. The map of bits is of one size; the more keys it holds, the fewer rows it drops."""
+    spot = F.pmod(F.xxhash64(key), F.lit(BITS))
+    bits = wanted.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+    place = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substr("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(bits), "bucket")
+    return found.where(F.getbit(byte, (place % 8).cast("int")) == 1).select(*rows.columns)
+
+
+def texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(fp, text) for each wanted (fp, row): the text of the class's least row. Texts of other rows are dropped before
+    the exchange, and repeated rows become one after it."""
+    keyed = documents.select(row_key(F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("key"), "text")
+    wanted = wanted.select("fp", row_key(F.col("row.doc_id"), F.col("row.t")).alias("key"))
+    return marked(keyed, wanted, "key").join(wanted, "key").groupBy("key", "fp").agg(F.first("text").alias("text")).select("fp", "text")
+
 
-    rows = documents.join(wanted, documents["doc_id"].eqNullSafe(wanted["rep"])).select("fp", "rep", "text")
-    return rows.mapInArrow(run, "fp binary, values binary").dropDuplicates(["fp"])
+def each_set(batch: pa.RecordBatch, columns: list[str], width: int) -> Iterator[tuple[pa.RecordBatch, list[list[np.ndarray]]]]:
+    """Slices of a batch, with the shingle sets of their texts in each of the columns; a text that occurs again in a slice,
+    as that of a family's centre does, is taken apart once."""
+    for part in in_parts([batch], columns[0]):
+        held = [part.column(c).to_pylist() for c in columns]
+        distinct = list(dict.fromkeys(x for column in held for x in column))
+        sets: dict[str, np.ndarray] = {}
+        for names, few in some(distinct, distinct, ROW_LIMIT):
+            sets.update(zip(names, shingle_sets(few, width)))
+        yield part, [[sets[x] for x in column] for column in held]
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets satisfy 100 * intersection >= percent * union."""
+def verified(pairs: DataFrame, held: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets satisfy 100 * intersection >= percent * union. What moves is the texts (fp, text),
+    which are half as large as their sets."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, left, right = (c.to_pylist() for c in batch.columns)
-            good = []
-            for k, (x, y) in enumerate(zip(left, right)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    good.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in good], pa.binary()), pa.array([b[k] for k in good], pa.binary())], ["a", "b"])
+            for part, (left, right) in each_set(batch, ["left", "right"], width):
+                good = []
+                for x, y in zip(left, right):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    good.append(100 * both >= percent * (len(x) + len(y) - both))
+                yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    first = sets.select(F.col("fp").alias("b"), F.col("values").alias("right"))
-    second = sets.select(F.col("fp").alias("a"), F.col("values").alias("left"))
-    return pairs.join(first, "b").join(second, "a").select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary")
+    first = held.select(F.col("fp").alias("b"), F.col("text").alias("right"))
+    second = held.select(F.col("fp").alias("a"), F.col("text").alias("left"))
+    return pairs.join(first, "b").join(second, "a").select("a", "b", "left", "right").mapInArrow(run, pairs.select("a", "b").schema)
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -186,9 +207,10 @@ def blocks(rows: DataFrame, percent: int) -> DataFrame:
     dealt = rows.withColumn("parts", parts).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     keys = ["x", "i", "j"]
+    name = pa.binary() if rows.schema["fp"].dataType.typeName() == "binary" else pa.int64()
     dealt = dealt.select(*keys, "own", "fp", "n", "label", "at", "counts").repartition(*keys).sortWithinPartitions(*keys)
 
-    def compare(group: list[tuple]) -> list[tuple[bytes, bytes]]:
+    def compare(group: list[tuple]) -> list[tuple]:
         _, i, j = group[0][:3]
         left = [row for row in group if row[3] == i]
         right = [row for row in group if row[3] == j] if i != j else left
@@ -211,12 +233,12 @@ def blocks(rows: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
 
-        def out(found: set[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        def out(found: set[tuple]) -> pa.RecordBatch:
             listed = sorted(found)
-            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in listed], pa.binary()), pa.array([b for _, b in listed], pa.binary())], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in listed], name), pa.array([b for _, b in listed], name)], ["a", "b"])
 
         for batch in batches:
-            found: set[tuple[bytes, bytes]] = set()
+            found: set[tuple] = set()
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[:3] != key:
                     found.update(compare(group) if group else ())
@@ -229,7 +251,7 @@ def blocks(rows: DataFrame, percent: int) -> DataFrame:
         if group:
             yield out(set(compare(group)))
 
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    return dealt.mapInArrow(run, dealt.select(F.col("fp").alias("a"), F.col("fp").alias("b")).schema).distinct()
 
 
 def rarest(values: DataFrame, shared: F.Column) -> DataFrame:
@@ -250,7 +272,7 @@ def enough(percent: int) -> F.Column:
 
 
 def links(documents: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, label) of all classes that are linked with another.
+    """(node, label) of all classes that are linked with another, by their numbers, which take less room in lists than names.
 
     1. Inverted lists of retained values, from the rarest on, as many as the least overlap asks for.
     2. In each list the member with the most frequent values, the likeliest centre of a family, is compared with all
@@ -259,6 +281,7 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int) ->
        lists anew, over their whole sets with an exact least overlap, and there the pairs of different components are
        compared, in blocks. So no list is compared pair by pair beyond its components, and no link is lost.
     """
+    classes = classes.withColumn("fp", F.col("number"))
     exploded = classes.select("fp", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("x"))
     lists = stored(rarest(exploded, F.least(F.lit(SHARED), enough(percent))))
     centre = lists.groupBy("x").agg(F.max(F.struct("score", "fp", "n")).alias("c"))
@@ -273,8 +296,8 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int) ->
     pairs = stored(pairs.join(right, "b").join(left, "a").where(likely).select("a", "b"))
 
     listed = lists.select("fp").distinct()
-    sets = stored(whole_sets(documents, classes.join(listed, "fp").select("fp", "rep"), width))
-    edges = stored(verified(pairs, sets, percent))
+    held = stored(texts_of(documents, classes.join(listed, "fp").select("fp", "row")))
+    edges = stored(verified(pairs, held, width, percent))
     labels = connected(edges)
 
     named = lists.join(labels, lists["fp"] == labels["node"], "left").select(lists["*"], F.coalesce("label", "fp").alias("label"))
@@ -283,41 +306,50 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int) ->
     members = stored(named.join(open_, "x").select("fp", "n", "label").distinct())
     if not members.head(1):
         return labels
-    values = sets.join(members, "fp").mapInArrow(spread, "fp binary, n long, label binary, x long")
+    mine = stored(held.join(members, "fp"))
+    values = mine.mapInArrow(spread(width), "fp long, n long, label long, x long")
     again = rarest(values.select("fp", "n", F.col("n").alias("size"), "x"), enough(percent))
-    again = again.join(sets.join(members, "fp").mapInArrow(part_counts, "fp binary, label binary, counts binary"), "fp")
+    again = again.join(mine.mapInArrow(part_counts(width), "fp long, label long, counts binary"), "fp")
     mixed_ = again.groupBy("x").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("x")
     more = stored(blocks(again.join(mixed_, "x"), percent))
     if not more.head(1):
         return labels
-    return connected(edges.unionByName(verified(more, sets, percent)))
+    return connected(edges.unionByName(verified(more, held, width, percent)))
 
 
-def part_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def part_counts(width: int) -> Callable:
     """How many values of each set lie in each part of the hash space; nothing for a set that has too many to count."""
-    for batch in batches:
-        fp, label = batch.column("fp"), batch.column("label")
-        counts = [np.bincount((np.frombuffer(raw, np.uint64) % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) for raw in batch.column("values").to_pylist()]
-        packed = [c.astype(np.uint16).tobytes() if c.max() < 1 << 16 else b"" for c in counts]
-        yield pa.RecordBatch.from_arrays([fp, label, pa.array(packed, pa.binary())], ["fp", "label", "counts"])
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, (sets,) in each_set(batch, ["text"], width):
+                counts = [np.bincount((s % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) for s in sets]
+                packed = [c.astype(np.uint16).tobytes() if c.max() < 1 << 16 else b"" for c in counts]
+                yield pa.RecordBatch.from_arrays([part.column("fp"), part.column("label"), pa.array(packed, pa.binary())], ["fp", "label", "counts"])
+
+    return run
 
 
-def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def spread(width: int) -> Callable:
     """One row for each value of a set, a bounded number at a time."""
-    for batch in batches:
-        for fp, raw, n, label in zip(*(batch.column(c).to_pylist() for c in ("fp", "values", "n", "label"))):
-            values = np.frombuffer(raw, np.int64)
-            for lo in range(0, len(values), 100_000):
-                part = values[lo:lo + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array([fp] * len(part), pa.binary()), pa.array([n] * len(part), pa.int64()),
-                                                  pa.array([label] * len(part), pa.binary()), pa.array(part)], ["fp", "n", "label", "x"])
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, (sets,) in each_set(batch, ["text"], width):
+                for fp, s, label in zip(part.column("fp").to_pylist(), sets, part.column("label").to_pylist()):
+                    values = s.view(np.int64)
+                    for lo in range(0, len(values), 100_000):
+                        few = values[lo:lo + 100_000]
+                        same = [pa.array(np.full(len(few), x, np.int64)) for x in (fp, len(s), label)]
+                        yield pa.RecordBatch.from_arrays([*same, pa.array(few)], ["fp", "n", "label", "x"])
+
+    return run
 
 
 def classes_of(base: DataFrame) -> DataFrame:
-    """One row for each set of shingles: its least row by doc_id, null last, then text, and how many rows have it."""
+    """One row for each set of shingles: its least row by doc_id, null last, then text, and how many rows have it; to be
+    stored, so that its number stays."""
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "t")
-    return base.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("sketch").alias("sketch"),
-                                                 F.min(row).alias("row"), F.count("*").alias("weight"))
+    return base.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.min(row).alias("row"),
+                                                 F.count("*").alias("weight")).withColumn("number", F.monotonically_increasing_id())
 
 
 def deduplicated(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -333,10 +365,10 @@ def deduplicated(documents: DataFrame, width: int = 5, percent: int = 80) -> Dat
     base = stored(sketched(rows, width))
     classes = stored(classes_of(base))
     labels = links(rows, classes, width, percent)
-    linked = classes.select("fp", "rep", "weight").join(labels, F.col("fp") == F.col("node")).select("fp", "rep", "label", "weight")
+    linked = classes.select("fp", "rep", "weight", "number").join(labels, F.col("number") == F.col("node")).select("fp", "rep", "label", "weight")
     least = linked.groupBy("label").agg(F.min("rep").alias("component_id"))
     # A class of one row and without links is its own component; only the others are looked up.
-    alone = classes.where("weight > 1").join(labels, F.col("fp") == F.col("node"), "left_anti").select("fp", F.col("rep").alias("component_id"), "weight")
+    alone = classes.where("weight > 1").join(labels, F.col("number") == F.col("node"), "left_anti").select("fp", F.col("rep").alias("component_id"), "weight")
     of_class = stored(linked.join(least, "label").select("fp", "component_id", "weight").unionByName(alone).withColumn("found", F.lit(True)))
     found = looked_up(base.drop("sketch", "t"), of_class, ["fp"], "weight", ["doc_id"])
     component = F.when((F.col("n") > 0) & F.col("found").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
@@ -355,13 +387,12 @@ def one_of_each(documents: DataFrame, keep: list[str], width: int = 5, percent:
     base = stored(sketched(rows.select("doc_id", "text"), width))
     classes = stored(classes_of(base))
     labels = links(rows.select("doc_id", "text"), classes, width, percent)
-    group = F.coalesce("label", "fp").alias("group")
-    least = classes.join(labels, F.col("fp") == F.col("node"), "left").groupBy(group).agg(F.min("row").alias("row"))
+    group = F.coalesce("label", "number").alias("group")
+    least = classes.join(labels, F.col("number") == F.col("node"), "left").groupBy(group).agg(F.min("row").alias("row"))
     bare = base.where("n = 0").select("doc_id", "t").distinct()
-    # Keys that are never null, so that both sides are dealt alike.
-    named = lambda d, t: F.concat_ws(":", F.coalesce(d.cast("string"), F.lit("-")), t).alias("key")
-    wanted = least.select(named(F.col("row.doc_id"), F.col("row.t"))).unionByName(bare.select(named(F.col("doc_id"), F.col("t"))))
-    keyed = rows.select(named(F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))), F.struct(*rows.columns).alias("row"))
+    wanted = least.select(row_key(F.col("row.doc_id"), F.col("row.t")).alias("key")).unionByName(
+        bare.select(row_key(F.col("doc_id"), F.col("t")).alias("key")))
+    keyed = rows.select(row_key(F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("key"), F.struct(*rows.columns).alias("row"))
     # Repeated rows become one before the exchange, which serves the join as well.
     once = keyed.groupBy("key").agg(F.min("row").alias("row"))
     return once.join(wanted, "key", "left_semi").select("row.*")

@@ -134,6 +134,21 @@ def test_near_dedup_families(spark, width, percent):
     assert rows_of(found, "doc_id", "n_shingles", "component_id", "kept") == components(rows, width, percent)
 
 
+def test_texts_of_classes_leave_the_others_where_they_are(spark):
+    """Only the texts of the wanted rows are moved: null and repeated doc_ids are told apart by their texts, repeated rows
+    are one, and nearly all other rows are dropped before the exchange."""
+    rows = [(k, f"text {k}") for k in range(3000)] + [(7, "another text"), (7, "text 7"), (None, "text 8"), (None, "no id"), (3001, None)]
+    wanted = [(100 + k, d, t) for k, (d, t) in enumerate([(7, "text 7"), (None, "text 8"), (2999, "text 2999")])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    of = spark.createDataFrame([(fp, (d is None, d, near_dedup.md5(t))) for fp, d, t in wanted], "fp long, row struct<nameless: boolean, doc_id: long, t: string>")
+    assert rows_of(near_dedup.texts_of(docs, of), "fp", "text") == sorted(((fp, t) for fp, _, t in wanted), key=repr)
+    keyed = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("key"), "doc_id")
+    left = near_dedup.marked(keyed, spark.createDataFrame([(t,) for _, _, t in wanted], "key string"), "key")
+    found = rows_of(left, "key", "doc_id")
+    assert left.columns == ["key", "doc_id"] and len(found) < 10
+    assert {x for x in found if x[0] == "text 7"} == {("text 7", 7)} and sum(x[0] == "text 7" for x in found) == 2
+
+
 def test_a_value_of_most_sets_fills_no_task(spark, monkeypatch):
     """One shingle in all sets: its sets get its count by broadcast, with the same prefixes as by an exchange."""
     rows = [(bytes([k % 256, k // 256]), 3, 3, x) for k in range(600) for x in (1, 1000 + k // 2, 5000 + k // 3)]
