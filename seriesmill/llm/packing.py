@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -22,11 +23,17 @@ PACK_ITEMS, PACK_TOKENS = 60_000, 40_000_000
 PACK_IDS = 8_000_000
 #: Bytes of text that are encoded at a time, and rows handed on at a time, or fewer where they hold so many tokens of ids.
 PART_BYTES, ROWS, ROWS_IDS = 1_000_000, 4_000, 500_000
-#: Pieces, and words of texts that are not plain ASCII, that a worker remembers before it starts over; bounds memory only.
+#: Pieces that a worker remembers before it starts over, with as many of those before at hand; of words, that are cut one by
+#: one, half as many. Bounds memory only.
 REMEMBERED = 150_000
 
-# Fixed value: how the tokenizer of words cuts printable ASCII in lower case.
+# How the tokenizer of words cuts lower case, in printable ASCII and in characters of which it is known that
+# Python's classes are the tokenizer's.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Fixed value: the characters by which byte-level tokenizers spell bytes; printable ones stand for themselves.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SPELLED = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(SHOWN)))}
 #: What is neither printable nor white space where bytes are split.
 CONTROLS = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
@@ -34,20 +41,30 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 class Asked(dict):
-    """What a function gives for each key, called once."""
+    """What a function gives for each key, called once while it is remembered."""
 
     def __init__(self, ask: Callable) -> None:
-        self.ask = ask
+        self.ask, self.before = ask, {}
 
     def __missing__(self, key) -> bytes:
-        found = self[key] = self.ask(key)
+        found = self.before.get(key)
+        if found is None:
+            found = self.ask(key)
+        self[key] = found
         return found
 
+    def start_over(self, most: int) -> None:
+        """Beyond ``most`` keys begin anew; keys in use come back from those before without a call."""
+        if len(self) > most:
+            self.before = dict(self)
+            self.clear()
+
 
 @dataclass
 class WordIds:
-    """Ids by the tokenizers library, asked once per distinct piece of a word: no piece spans white space. A text of plain
-    ASCII is cut into pieces as a whole, others word by word."""
+    """Ids by the tokenizers library, asked once per distinct piece of a word: no piece spans white space. A text in normal
+    form, of characters that Python lowers and classes as the tokenizer does, is cut into pieces as a whole, others word by
+    word. Which characters these are the tokenizer is asked once for each that occurs."""
 
     path: str
 
@@ -59,13 +76,39 @@ class WordIds:
         self.tokenizer.no_padding()
         self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
         tokenize = self.tokenizer.model.tokenize
-        self.pieces = Asked(lambda piece: np.array([t.id for t in tokenize(piece)], "<u4").tobytes())
+
+        def of_piece(piece: str) -> bytes:
+            if not (piece.isascii() and piece.isprintable()):
+                piece = piece.encode().decode("latin-1").translate(SPELLED)
+            return np.array([t.id for t in tokenize(piece)], "<u4").tobytes()
+
+        self.pieces = Asked(of_piece)
+        self.alike: set[str] = set()
+        self.unlike: set[str] = set()
         self.known = Asked(self.of_word)
 
     def cut(self, word: str) -> list[str]:
         if word.isascii() and word.isprintable():
             return ASCII_PIECES.findall(word.lower())
-        return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word))]
+        # In characters, not yet spelled in bytes: a piece names its place in the word.
+        low = self.tokenizer.normalizer.normalize_str(word)
+        return [low[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(low)]
+
+    def same(self, c: str) -> bool:
+        """Whether a character is lowered and cut from its neighbours by ``PIECES`` as by the tokenizer."""
+        if unicodedata.category(c) == "Cn" or self.tokenizer.normalizer.normalize_str(c) != (" " if c.isspace() else c.lower()):
+            return False
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        beside = [text.replace("?", c.lower()) for text in ("a?a", "0?0", "!?!", "??", "'?")]
+        return all([text[a:b] for _, (a, b) in cut(text)] == PIECES.findall(text) for text in beside)
+
+    def whole(self, text: str) -> bool:
+        """Whether a text, not of plain ASCII alone, may be cut as a whole."""
+        held = set(text)
+        if not held <= self.alike:
+            for c in held - self.alike - self.unlike:
+                (self.alike if self.same(c) else self.unlike).add(c)
+        return held <= self.alike and unicodedata.is_normalized("NFC", text)
 
     def of_word(self, raw: bytes) -> bytes:
         word = raw.decode()
@@ -76,11 +119,14 @@ class WordIds:
     def encode(self, batch: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text. Splitting bytes cuts at ASCII white space only."""
         for text in batch:
-            for held in (self.pieces, self.known):
-                if len(held) > REMEMBERED:
-                    held.clear()
-            if text.isascii() and not CONTROLS.search(text) and not self.special.search(text):
+            self.pieces.start_over(REMEMBERED)
+            self.known.start_over(REMEMBERED // 2)
+            special = self.special.search(text)
+            if not special and text.isascii() and not CONTROLS.search(text):
                 yield b"".join(map(self.pieces.__getitem__, ASCII_PIECES.findall(text.lower())))
+            elif not special and self.whole(text):
+                # The tokenizer knows no final sigma.
+                yield b"".join(map(self.pieces.__getitem__, PIECES.findall(text.replace("\u03a3", "\u03c3").lower())))
             else:
                 yield b"".join(map(self.known.__getitem__, text.encode().split()))
 

@@ -447,6 +447,28 @@ def test_packing_holds_little(monkeypatch, spark):
         assert b"".join(x for _, x in sorted(ids[k])) == np.array([*want, packing.END], "<u4").tobytes()
 
 
+def test_packing_cuts_whole_texts_of_all_scripts(monkeypatch):
+    """Texts of characters that Python classes as the tokenizer does are not cut word by word; all others still are. The ids
+    are those of the tokenizer either way, and also where pieces are forgotten and come back."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    own = packing.WordIds(WORD_BPE)
+    lines = ["Übergröße naïve Œuvre, l'été n'est-ce pas? 12 ½", "ΟΔΟΣ Σίσυφος ΣΑΣ", "Съешь ещё этих мягких булок 42", "東京都は 日本の首都。", "a\xa0b\u2003c\u2028d é"]
+    plain = [x for x in lines if "½" not in x] + ["é'S _x_ “quoted” — 😀😀"]
+    odd = [lines[0], "e\u0301te", "a\x1cb é", "İstanbul ²x x² ⅷ", "\u1112\u1161\u11ab", "K (\u212a)", "é<|endoftext|>é", "\u0378é"]
+    rng = random.Random(5)
+    pool = [c for c in map(chr, range(1, 0x3000)) if c.isprintable() or c.isspace()] + list("THE'S é ß Σ ") * 150
+    mixed = ["".join(rng.choices(pool, k=rng.randint(1, 60))) for _ in range(500)]
+    want = Tokenizer.from_file(WORD_BPE)
+    for texts in (plain, odd, mixed, plain):
+        for text, ids in zip(texts, own.encode(texts)):
+            assert ids == np.array(want.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    fresh = packing.WordIds(WORD_BPE)
+    list(fresh.encode(plain))
+    assert fresh.pieces and not fresh.known
+
+
 def test_packing_of_plain_and_odd_ascii():
     own = packing.word_ids(WORD_BPE)
     odd = ["Don't we'LL I'D\tgo\x0b12ab\r\n!!a,b", "a\x1cb c\x00d \x7f", "x<|endoftext|>y <|startoftext|>", "", " \n ", "é Don't A1"]
